@@ -68,8 +68,8 @@ def left_lookup(
         return df.join(F.broadcast(right), same_key, "left").drop("_lookup_key")
 
     hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)))
-    replicas = right.withColumn("_lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
+    replicas = right.withColumn("_lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     same_salt = F.col("_salt") == F.col("_lookup_salt")
     joined = salted.join(replicas.hint("merge"), same_key & same_salt, "left")
     return joined.drop("_lookup_key", "_salt", "_lookup_salt")

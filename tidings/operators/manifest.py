@@ -79,14 +79,16 @@ def download_plan(
 ) -> DataFrame:
     """Manifest rows of a date range with ``date_str, filename, file_url, local_filepath``.
 
-    The file name is rebuilt from the date; the listed name is kept but not used.
+    The file name is rebuilt from the date and takes the place of the listed ``FileName``.
     """
     day = F.date_format("Date", "yyyyMMdd")
     name = F.concat(day, F.lit(ARCHIVE_SUFFIX))
     return in_date_range(manifest, start, end).select(
-        "*",
-        day.alias("date_str"),
+        "id",
+        "FileSizeMB",
         name.alias("filename"),
+        "Date",
+        day.alias("date_str"),
         F.concat(F.lit(base_url), name).alias("file_url"),
         F.concat(F.lit(output_dir), F.lit("/"), name).alias("local_filepath"),
     )

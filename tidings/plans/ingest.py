@@ -6,7 +6,6 @@ import datetime as dt
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidings.operators import SizedLookup, download_plan, plan_chunks, status_counts
 from tidings.plans.enrich import enrich_events
@@ -52,9 +51,8 @@ def ingest_archives(
 
     ``table`` is partitioned by file date, and a range loaded again replaces its dates.
     """
-    lines = expand_archives(spark, landing)
+    lines = expand_archives(spark, landing, dates=(start, end))
     events = archive_events(lines, file_date_column=FILE_DATE)
-    events = events.filter(F.col(FILE_DATE).between(F.lit(start), F.lit(end)))
     if events.isEmpty():
         return False
     enriched = enrich_events(events, publishers, actions, columns, terms, search_columns, carry=[FILE_DATE])

@@ -7,6 +7,7 @@ not grow with an archive. A zip member is one deflate stream and cannot be split
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,11 +22,17 @@ BAD_ZIP = "BAD_ZIP"
 _LINES = "archive string, member string, line string, status string"
 
 
-def expand_archives(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """Lines of all members of the ``*.zip`` files below ``path``: ``archive, member, line, status``.
+def expand_archives(
+    spark: SparkSession,
+    path: str,
+    encoding: str = "UTF-8",
+    dates: tuple[dt.date, dt.date] | None = None,
+) -> DataFrame:
+    """Lines of all members of the ``*.zip`` files in ``path``: ``archive, member, line, status``.
 
     A damaged archive contributes a single ``BAD_ZIP`` row and no lines; a member without
-    lines one row with a NULL line. Archives stay where they are.
+    lines one row with a NULL line. Archives stay where they are. ``dates`` leaves out, by
+    file name, the archives outside an inclusive date range.
     """
     ok, bad = OK, BAD_ZIP
 
@@ -79,6 +86,8 @@ def expand_archives(spark: SparkSession, path: str, encoding: str = "UTF-8") ->
                                 yield from member_rows(archive, entry.filename, stream)
 
     archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
+    if dates:
+        archives = archives.filter(file_date("_metadata.file_name").between(*map(F.lit, dates)))
     return archives.select("path").mapInArrow(lines_of, _LINES)
 
 

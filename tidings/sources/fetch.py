@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def http_get(url: str) -> Iterator[bytes]:
@@ -71,4 +71,4 @@ def fetch_files(
             yield from done.to_batches()
 
     spread = plan.repartition(tasks or plan.sparkSession.sparkContext.defaultParallelism)
-    return spread.mapInArrow(store, spread.schema.add("download_status", StringType()))
+    return spread.mapInArrow(store, StructType([*plan.schema, StructField("download_status", StringType())]))
