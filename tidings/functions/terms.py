@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,8 +14,16 @@ def contains_any(columns: Sequence[Column | str], terms: Sequence[str]) -> Colum
 
     NULL counts as the empty string, wildcards are literal, and the empty term matches
     every row. Both sequences must be non-empty.
+
+    The columns are joined by a character that no term contains and searched once for all
+    terms, so the cost grows little with the number of terms and each column is read once.
     """
     if not columns or not terms:
         raise ValueError("contains_any needs at least one column and one term")
-    lowered = [F.lower(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))) for c in columns]
-    return reduce(or_, [text.contains(term.lower()) for text in lowered for term in terms])
+    wanted = sorted({term.lower() for term in terms})
+    if "" in wanted:
+        return F.lit(True)
+    separator = next(mark for mark in map(chr, range(1, 0x10000)) if not any(mark in term for term in wanted))
+    first_characters = "".join(sorted({re.escape(term[0]) for term in wanted}))
+    pattern = f"(?=[{first_characters}])(?:{'|'.join(map(re.escape, wanted))})"
+    return F.rlike(F.lower(F.concat_ws(separator, *columns)), F.lit(pattern))

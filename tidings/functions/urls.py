@@ -24,27 +24,18 @@ COUNTRY_BY_LAST_LABEL: dict[str, str] = {
 }
 
 
-def _host(url: Column) -> Column:
-    """Text between ``http(s)://`` and the next slash; '' without a scheme, NULL for NULL.
-
-    Nearly every address starts with its scheme, so it is cut by position. The regular
-    expression decides only the rest: a scheme further inside the text, or none at all.
-    """
-    leading = (
-        F.when(F.startswith(url, F.lit("https://")), F.substring_index(F.substr(url, F.lit(9)), "/", 1))
-        .when(F.startswith(url, F.lit("http://")), F.substring_index(F.substr(url, F.lit(8)), "/", 1))
-    )
-    return F.coalesce(F.nullif(leading, F.lit("")), F.regexp_extract(url, r"https?://([^/]+)", 1))
+# The host starts behind the first scheme that is not followed by a slash at once. One leading
+# "www." is passed over, and a colon ends the name only where nothing but digits follows it.
+_DOMAIN = r"https?://(?=[^/])(?:www\.)?([^/:]*+(?::(?!\d+(?![^/]))[^/:]*+)*+)"
 
 
 def domain_of(url: Column | str) -> Column:
     """Host name of ``url`` without one leading ``www.`` and without a trailing port.
 
-    Case and user information stay as they are; no scheme gives '' and NULL gives NULL.
+    Case and user information stay as they are; no scheme gives '' and NULL gives NULL. The
+    address is matched once: every further expression over it is evaluated for every event.
     """
-    host = _host(F.col(url) if isinstance(url, str) else url)
-    bare = F.when(F.startswith(host, F.lit("www.")), F.substr(host, F.lit(5))).otherwise(host)
-    return F.when(F.contains(bare, F.lit(":")), F.regexp_replace(bare, r":\d+$", "")).otherwise(bare)
+    return F.regexp_extract(url, _DOMAIN, 1)
 
 
 def country_from_tld(domain: Column | str) -> Column:

@@ -1,10 +1,11 @@
 """Per-article summary of events.
 
 One article may carry a third of all events, and an array with all of them fits no task.
-So articles are counted first (a partial aggregation, which shuffles one row per task and
-article). Without an article above the bound the summary is a single aggregation. With
-one, its lists are laid out over several rows of about ``max_items`` events each; its
-scalar columns come from the counting pass and are complete on every such row.
+So events are counted per hash of the address first: a partial aggregation over a single
+column that shuffles one pair of numbers per task and article. Without a hash above the
+bound the summary is a single aggregation. Otherwise the events of those articles are set
+apart and their lists laid out over several rows of about ``max_items`` events each, while
+their scalar columns, which combine before the shuffle, stay complete on every such row.
 """
 
 from __future__ import annotations
@@ -63,7 +64,9 @@ def _in_one_row(events: DataFrame) -> DataFrame:
     return events.groupBy("SOURCEURL").agg(*_statistics(), items).withColumn(_PART, F.lit(0).cast("long"))
 
 
-def _in_parts(events: DataFrame, large: DataFrame, max_items: int) -> DataFrame:
+def _in_parts(events: DataFrame, max_items: int, salts: int) -> DataFrame:
+    totals = events.groupBy("SOURCEURL").agg(F.count("*").alias("events"), *_statistics())
+    articles = size_lookup(settled(totals.withColumnRenamed("SOURCEURL", "url")))
     # Exact copies of an event share every hash. They are counted before the shuffle, and a
     # large count is cut into pieces that can be told apart.
     copies = events.groupBy("SOURCEURL", _item().alias("item")).agg(F.count("*").alias("copies"))
@@ -73,7 +76,7 @@ def _in_parts(events: DataFrame, large: DataFrame, max_items: int) -> DataFrame:
         "copies",
         F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / max_items))).alias("piece"),
     ).withColumn("repeats", F.least(F.lit(max_items), F.col("copies") - F.col("piece") * max_items))
-    counted = left_lookup(pieces, size_lookup(large), F.col("SOURCEURL"), "url", null_safe=True)
+    counted = left_lookup(pieces, articles, F.col("SOURCEURL"), "url", salts, null_safe=True)
     parts = F.ceil(F.col("events") / max_items)
     placed = counted.withColumn(_PART, F.pmod(F.xxhash64("item", "piece"), parts))
     repeated = F.array_repeat("item", F.col("repeats").cast("int"))
@@ -103,13 +106,14 @@ def summarize_articles(
     if max_items is None:
         return _lay_out(_in_one_row(events), part_column)
 
-    totals = events.groupBy("SOURCEURL").agg(F.count("*").alias("events"), *_statistics())
-    large = settled(totals.filter(F.col("events") > max_items)).withColumnRenamed("SOURCEURL", "url")
-    marks = size_lookup(large.select("url", F.lit(True).alias("_large")))
+    address = F.xxhash64("SOURCEURL")
+    counts = events.groupBy(address.alias("address")).agg(F.count("*").alias("events"))
+    large = settled(counts.filter(F.col("events") > max_items).select("address", F.lit(True).alias("_large")))
+    marks = size_lookup(large)
     if not marks.rows:
         return _lay_out(_in_one_row(events), part_column)
 
-    marked = left_lookup(events, marks, F.col("SOURCEURL"), "url", salts, null_safe=True)
+    marked = left_lookup(events, marks, address, "address", salts)
     ordinary = _in_one_row(marked.filter(F.col("_large").isNull()))
-    split = _in_parts(marked.filter(F.col("_large").isNotNull()), large, max_items)
+    split = _in_parts(marked.filter(F.col("_large").isNotNull()), max_items, salts)
     return _lay_out(ordinary.unionByName(split), part_column)

@@ -15,7 +15,7 @@ DateLike = dt.date | str
 
 
 def _tokens(lines: DataFrame) -> DataFrame:
-    return lines.select(F.split(F.trim(F.regexp_replace("value", r"\s+", " ")), " ").alias("token"))
+    return lines.select(F.regexp_extract_all("value", F.lit(r"\S+"), 0).alias("token"))
 
 
 def parse_manifest(lines: DataFrame) -> DataFrame:
@@ -25,19 +25,25 @@ def parse_manifest(lines: DataFrame) -> DataFrame:
     are dropped (``manifest_rejects`` counts them), as are files without a daily date. A
     size that is not a number gives NULL. ``id`` is unique but otherwise arbitrary.
     """
-    parts = _tokens(lines).filter(F.size("token") == 2)
-    size = F.col("token")[0].try_cast("float")
-    listed = parts.select(
-        F.monotonically_increasing_id().alias("id"),
+    name = F.try_element_at("token", F.lit(2))
+    size = F.try_element_at("token", F.lit(1)).try_cast("float")
+    listed = _tokens(lines).select(
+        (F.size("token") == 2).alias("complete"),
         F.round(size * F.lit(1e-6), 2).alias("FileSizeMB"),
-        F.col("token")[1].alias("FileName"),
+        name.alias("FileName"),
+        file_date(name).alias("Date"),
     )
-    return listed.withColumn("Date", file_date("FileName")).filter(F.col("Date").isNotNull())
+    # As a generator the test is not moved below the parsing, which would parse each line
+    # once more for every condition on a parsed column.
+    files = F.when(
+        F.col("complete") & F.col("Date").isNotNull(), F.array(F.struct("FileSizeMB", "FileName", "Date"))
+    )
+    return listed.select(F.inline(files)).select(F.monotonically_increasing_id().alias("id"), "*")
 
 
 def manifest_rejects(lines: DataFrame) -> DataFrame:
     """One row with the number of non-blank lines that ``parse_manifest`` cannot split in two."""
-    malformed = (F.size("token") != 2) & (F.col("token")[0] != "")
+    malformed = (F.size("token") != 2) & (F.size("token") > 0)
     return _tokens(lines).agg(F.count_if(malformed).alias("rejected"))
 
 

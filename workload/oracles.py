@@ -167,7 +167,7 @@ def _contains(columns: list[str], terms: list[str]) -> str:
 
 _ENRICHED_COLUMNS = f"{_SHORT}, domain_name, news_source_country, Cameo, Cameo_full"
 _EVENTS = f"WITH {_raw('label')} SELECT {_SHORT} FROM raw"
-_MANIFEST_ROWS = f"WITH {_MANIFEST} SELECT FileSizeMB, FileName, strftime(Date, '%Y-%m-%d') AS Date FROM manifest"
+_MANIFEST_ROWS = f"WITH {_MANIFEST} SELECT coalesce(FileSizeMB, -1) AS FileSizeMB, FileName, strftime(Date, '%Y-%m-%d') AS Date FROM manifest"
 _ENRICH_CODES = f"""WITH {_raw('label')}, {_ACTIONS}
 SELECT GLOBALEVENTID, EventCode, short.description AS Cameo, whole.description AS Cameo_full FROM raw
 LEFT JOIN actions AS short ON short.code = regexp_extract(EventCode, '^[0-9]{{2}}')
@@ -230,7 +230,8 @@ FROM listed GROUP BY 1, 2""",
     "download_files": f"""WITH {_MANIFEST}
 SELECT day AS date_str, day || '.export.CSV.zip' AS filename,
   'http://files.example.org/' || day || '.export.CSV.zip' AS file_url,
-  '/landing/' || day || '.export.CSV.zip' AS local_filepath, FileSizeMB
+  '/landing/' || day || '.export.CSV.zip' AS local_filepath,
+  coalesce(FileSizeMB, -1) AS FileSizeMB
 FROM manifest WHERE {_IN_RANGE}""",
     "chunk_plan": """WITH bounds AS (SELECT min(CAST(ts AS DATE)) AS first, max(CAST(ts AS DATE)) AS last FROM events),
 chunks AS (SELECT first, last, unnest(range(0, (last - first) // 4 + 1)) AS chunk FROM bounds)

@@ -245,9 +245,13 @@ def term_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Manifest
 
 
+def _size():
+    return F.coalesce("FileSizeMB", F.lit(-1.0)).alias("FileSizeMB")
+
+
 def manifest_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = parse_manifest(manifest_lines(spark, sf_dir))
-    return listed.select("FileSizeMB", "FileName", F.date_format("Date", "yyyy-MM-dd").alias("Date"))
+    return listed.select(_size(), "FileName", F.date_format("Date", "yyyy-MM-dd").alias("Date"))
 
 
 def manifest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,7 +259,7 @@ def manifest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "manifest")
     manifest_lines(spark, sf_dir).write.text(path)
     listed = read_manifest(spark, path)
-    return listed.select("FileSizeMB", "FileName", F.date_format("Date", "yyyy-MM-dd").alias("Date"))
+    return listed.select(_size(), "FileName", F.date_format("Date", "yyyy-MM-dd").alias("Date"))
 
 
 def manifest_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,7 +291,7 @@ def file_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def download_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = parse_manifest(manifest_lines(spark, sf_dir))
     plan = download_plan(manifest, *RANGE, "http://files.example.org/", "/landing")
-    return plan.select("date_str", "filename", "file_url", "local_filepath", "FileSizeMB")
+    return plan.select("date_str", "filename", "file_url", "local_filepath", _size())
 
 
 def chunk_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
