@@ -20,10 +20,15 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """``df`` computed once and reread from a reliable checkpoint.
+    """A small ``df`` computed once and reread from a reliable checkpoint.
 
-    Without a checkpoint folder ``df`` itself is returned and recomputed on each use.
+    Its rows are packed into as few files as their size asks for. Without a checkpoint
+    folder ``df`` itself is returned and recomputed on each use.
     """
-    if df.sparkSession.conf.get(CHECKPOINT_SETTING, None):
-        return df.checkpoint(eager=True)
-    return df
+    folder = df.sparkSession.conf.get(CHECKPOINT_SETTING, None)
+    if not folder:
+        return df
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return df.hint("rebalance").checkpoint(eager=True)

@@ -47,7 +47,7 @@ def expand_archives(
         from pyarrow.fs import FileSystem
 
         block = 4 * 1024 * 1024
-        damage = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError)
+        damage = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError, ValueError)
 
         def rows(archive: str, member: str | None, lines: list, status: str):
             n = len(lines)
