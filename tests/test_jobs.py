@@ -6,7 +6,7 @@ import zipfile
 import pytest
 
 from tidings.operators import parse_manifest, size_lookup
-from tidings.plans import run_ingest
+from tidings.plans import ingest_archives, load_actions, load_publishers, run_ingest
 from tidings.schema import ENRICHMENT_COLUMNS, KEEP_SHORT, RAW_COLUMNS
 from tidings.sources import read_table
 
@@ -115,6 +115,27 @@ def test_range_without_events(spark, job):
     assert not os.path.exists(job.table)
 
 
+def test_rows_of_a_load(spark, job):
+    job(DAYS[0], DAYS[-1], download_only=True)
+    publishers = size_lookup(spark.createDataFrame([], "domain string, country_name string"))
+    actions = size_lookup(spark.createDataFrame([], "code string, description string"))
+    first, last = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    assert ingest_archives(spark, first, last, job.landing, job.table, publishers, actions) == 4
+    assert ingest_archives(spark, dt.date(2025, 1, 1), last, job.landing, job.table, publishers, actions) == 0
+
+
+def test_lookup_files(spark, tmp_path):
+    (tmp_path / "official.txt").write_text("nytimes.com\tUS\tUnited States\ncbc.ca\tCA\tCanada\n")
+    (tmp_path / "manual.csv").write_text("domain,country_name\ncbc.ca,Kanada\n")
+    (tmp_path / "codes").write_text('{"05": "ENGAGE IN DIPLOMATIC COOPERATION"}')
+    paths = str(tmp_path / "official.txt"), str(tmp_path / "manual.csv")
+    assert load_publishers(spark, *paths).rows == 3
+    assert sorted(load_publishers(spark, *paths, one_per_domain=True).df.collect()) == [
+        ("cbc.ca", "Kanada"), ("nytimes.com", "United States"),
+    ]
+    assert load_actions(spark, str(tmp_path / "codes"), {"106": "Demand withdrawal"}).rows == 2
+
+
 def test_order_of_dates(job):
     with pytest.raises(ValueError):
         job(DAYS[1], DAYS[0])

@@ -1,5 +1,6 @@
 import json
 import os
+import random
 import zipfile
 from urllib.error import HTTPError, URLError
 
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidings.schema import RAW_COLUMNS, RAW_SCHEMA
+from tidings.sinks import write_events
 from tidings.sources import (
     archive_events,
     archive_status,
@@ -171,6 +173,25 @@ def test_archives_equal_files(spark, tmp_path):
     assert zipped.exceptAll(plain).isEmpty()
 
 
+def test_any_text_survives(spark, tmp_path):
+    """Plain files, and zipped ones in a folder with a blank, keep every character of a field."""
+    rng = random.Random(11)
+    alphabet = ['"', "\\", "#", "'", " ", ",", ";", "a", "é", "%20", "\u2028", "\u0085", "€", "😀", "\\N", '""']
+    rows = [tuple("".join(rng.choices(alphabet, k=rng.randint(1, 6))) for _ in range(3)) for _ in range(500)]
+    rows = [(f"{n}", *row) for n, row in enumerate(rows)]
+    text = "".join("\t".join(row) + "\n" for row in rows)
+    folder = tmp_path / "with blank"
+    folder.mkdir()
+    (folder / "x.csv").write_bytes(text.encode())
+    _zip(folder / "x.zip", {"x.csv": text.encode()})
+    columns = ["n", "a", "b", "c"]
+    assert sorted(read_events(spark, str(folder), columns).collect()) == sorted(rows)
+    assert sorted(archive_events(expand_archives(spark, str(folder)), columns).collect()) == sorted(rows)
+    written = str(tmp_path / "written")
+    write_events(spark.createDataFrame(rows, columns), written, "tsv")
+    assert sorted(read_events(spark, written, columns).collect()) == sorted(rows)
+
+
 def _fetch(url):
     name = url.rsplit("/", 1)[1]
     failures = {

@@ -4,10 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from tidings.operators import SizedLookup, add_actions, add_publisher, filter_terms, select_existing
+from tidings.operators import (
+    SizedLookup,
+    add_actions,
+    add_publisher,
+    filter_terms,
+    one_country_per_domain,
+    publisher_lookup,
+    select_existing,
+    size_lookup,
+)
 from tidings.schema import KEEP_SHORT, SEARCH_COLUMNS
+from tidings.sources import read_action_codes, read_manual_lookup, read_official_lookup
+
+
+def load_publishers(
+    spark: SparkSession, official_path: str, manual_path: str, one_per_domain: bool = False
+) -> SizedLookup:
+    """The domain lookup of both files, measured once for a whole job."""
+    combine = one_country_per_domain if one_per_domain else publisher_lookup
+    return size_lookup(combine(read_official_lookup(spark, official_path), read_manual_lookup(spark, manual_path)))
+
+
+def load_actions(spark: SparkSession, path: str, corrections: dict[str, str] | None = None) -> SizedLookup:
+    """The action dictionary of a JSON file, measured once for a whole job."""
+    return size_lookup(read_action_codes(spark, path, corrections))
 
 
 def enrich_events(

@@ -5,7 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tidings.operators import SizedLookup, download_plan, plan_chunks, status_counts
 from tidings.plans.enrich import enrich_events
@@ -46,18 +47,20 @@ def ingest_archives(
     columns: Sequence[str] = KEEP_SHORT,
     terms: Sequence[str] = (),
     search_columns: Sequence[str] = SEARCH_COLUMNS,
-) -> bool:
-    """Enrich the landed archives of a date range into ``table``; False when there are no events.
+) -> int:
+    """Enrich the landed archives of a date range into ``table`` and return the rows written.
 
-    ``table`` is partitioned by file date, and a range loaded again replaces its dates.
+    ``table`` is partitioned by file date, and a range loaded again replaces its dates. A
+    range without events leaves it untouched. Rows are counted while they are written.
     """
     lines = expand_archives(spark, landing, dates=(start, end))
     events = archive_events(lines, file_date_column=FILE_DATE)
     if events.isEmpty():
-        return False
+        return 0
     enriched = enrich_events(events, publishers, actions, columns, terms, search_columns, carry=[FILE_DATE])
-    load_table(enriched, table)
-    return True
+    rows = Observation()
+    load_table(enriched.observe(rows, F.count(F.lit(1)).alias("rows")), table)
+    return rows.get["rows"]
 
 
 def run_ingest(

@@ -11,8 +11,11 @@ from tidings.sources.tables import read_table
 FILE_DATE = "file_date"
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 
+_UNTRIMMED = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 # Plain delimited text: no quoting and no escaping, NULL as the empty field.
-_PLAIN = {"sep": "\t", "quote": "\u0000", "escapeQuotes": "false", "nullValue": "", "emptyValue": ""}
+_PLAIN = {
+    "sep": "\t", "quote": "\u0000", "escapeQuotes": "false", "nullValue": "", "emptyValue": "", **_UNTRIMMED,
+}
 
 
 def append_table(df: DataFrame, path: str) -> None:
@@ -46,7 +49,7 @@ def write_events(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ap
     if fmt == "parquet":
         writer.write.mode(mode).parquet(path)
     elif fmt == "csv":
-        writer.write.mode(mode).option("header", True).csv(path)
+        writer.write.mode(mode).option("header", True).options(**_UNTRIMMED).csv(path)
     elif fmt == "tsv":
         writer.write.mode(mode).options(**_PLAIN).csv(path)
     else:

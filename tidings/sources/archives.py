@@ -44,11 +44,16 @@ def expand_archives(
         import zlib
 
         import pyarrow as pa
-        from pyarrow.fs import FileSystem
+        from pyarrow.fs import FileSystem, LocalFileSystem
 
         block = 4 * 1024 * 1024
         damage = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError, ValueError)
 
+        def located(uri: str):
+            if uri.startswith("file:"):
+                return LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+            return FileSystem.from_uri(uri)
+
         def rows(archive: str, member: str | None, lines: list, status: str):
             n = len(lines)
             columns = [pa.array([archive] * n), pa.array([member] * n, pa.string())]
@@ -69,7 +74,7 @@ def expand_archives(
 
         for batch in batches:
             for archive in batch.column(0).to_pylist():
-                files, name = FileSystem.from_uri(archive)
+                files, name = located(archive)
                 with files.open_input_file(name) as source:
                     try:
                         contents = zipfile.ZipFile(source)

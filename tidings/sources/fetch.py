@@ -35,10 +35,15 @@ def fetch_files(
         from urllib.error import HTTPError, URLError
 
         import pyarrow as pa
-        from pyarrow.fs import FileSystem
+        from pyarrow.fs import FileSystem, LocalFileSystem
+
+        def located(uri: str):
+            if uri.startswith("file:"):
+                return LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+            return FileSystem.from_uri(uri)
 
         def save(url: str, target: str) -> str:
-            files, path = FileSystem.from_uri(target)
+            files, path = located(target)
             partial = f"{path}.{uuid.uuid4().hex}.part"
             files.create_dir(posixpath.dirname(path), recursive=True)
             try:

@@ -151,10 +151,13 @@ def write_archives(lines: DataFrame, folder: str) -> int:
         import zipfile
 
         import pyarrow as pa
-        from pyarrow.fs import FileSystem
+        from pyarrow.fs import FileSystem, LocalFileSystem
         from pyspark import TaskContext
 
-        files, base = FileSystem.from_uri(folder)
+        if folder.startswith("file:"):
+            files, base = LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
+        else:
+            files, base = FileSystem.from_uri(folder)
         files.create_dir(base, recursive=True)
         for number, batch in enumerate(batches):
             stem = f"p{TaskContext.get().partitionId():06d}b{number:06d}.export.CSV"
