@@ -83,6 +83,14 @@ def test_ingest(spark, job):
     assert len([f for f in os.listdir(job.folder / "compact") if f.endswith(".parquet")]) == 1
 
 
+def test_ingest_keeps_the_compact_copy_partitioned(spark, job):
+    job(DAYS[0], DAYS[-1], compacted=str(job.folder / "compact"))
+    assert sorted(f for f in os.listdir(job.folder / "compact") if "=" in f) == [
+        "file_date=2024-01-01", "file_date=2024-01-02", "file_date=2024-01-04",
+    ]
+    assert _ids(spark, str(job.folder / "compact")) == EXPECTED
+
+
 def test_ingest_again_and_wider(spark, job):
     job(DAYS[0], DAYS[1])
     assert _ids(spark, job.table) == EXPECTED[:4]

@@ -51,6 +51,32 @@ def test_compaction_of_nested_folders(spark, tmp_path):
     assert compact_table(spark, str(tmp_path / "t"), str(tmp_path / "m"), recursive=True) == 2
 
 
+def test_compaction_by_date(spark, tmp_path):
+    offset = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5).cast("int")
+    dates = F.date_add(F.lit("2024-01-01").cast("date"), offset)
+    rows = spark.range(0, 1000, 1, 8).select("id", dates.alias("file_date"))
+    load_table(rows, str(tmp_path / "t"))
+    assert len(_files(tmp_path / "t" / "file_date=2024-01-01")) == 8
+    assert compact_table(spark, str(tmp_path / "t"), str(tmp_path / "m"), by="file_date") == 1000
+    assert len(_files(tmp_path / "m" / "file_date=2024-01-01")) == 1
+    assert read_table(spark, str(tmp_path / "m")).exceptAll(rows).isEmpty()
+
+
+def test_compaction_splits_a_large_date(spark, tmp_path):
+    rows = spark.range(0, 400_000, 1, 8).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+        F.when(F.col("id") % 10 < 9, "2024-01-01").otherwise("2024-01-02").cast("date").alias("file_date"),
+    )
+    load_table(rows, str(tmp_path / "t"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        assert compact_table(spark, str(tmp_path / "t"), str(tmp_path / "m"), by="file_date") == 400_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(_files(tmp_path / "m" / "file_date=2024-01-01")) > 3
+    assert read_table(spark, str(tmp_path / "m")).count() == 400_000
+
+
 def test_compaction_guards(spark, tmp_path):
     append_table(spark.range(1), str(tmp_path / "t"))
     with pytest.raises(ValueError):

@@ -42,19 +42,16 @@ def _item() -> Column:
 
 def _lay_out(grouped: DataFrame, part_column: str | None) -> DataFrame:
     """Split the sorted ``items`` into the list columns; NULL ids and descriptions are left out."""
-    def present(field: str) -> Column:
-        return F.filter(F.transform("items", lambda item: item[field]), lambda value: value.isNotNull())
-
     return grouped.select(
         "SOURCEURL",
         "FirstEventDate",
         "EventCount",
-        present("id").alias("EventIDs"),
+        F.array_compact("items.id").alias("EventIDs"),
         "GoldsteinMean",
         "AvgToneMean",
-        present("description").alias("EventDescriptions"),
-        F.transform("items", lambda item: item["actors"]).alias("ActorPairs"),
-        F.transform("items", lambda item: item["places"]).alias("GeoPairs"),
+        F.array_compact("items.description").alias("EventDescriptions"),
+        F.col("items.actors").alias("ActorPairs"),
+        F.col("items.places").alias("GeoPairs"),
         *([F.col(_PART).alias(part_column)] if part_column else []),
     )
 

@@ -87,7 +87,8 @@ def run_ingest(
     """Fetch, enrich, store and optionally compact a date range; returns the status counts.
 
     The range is fetched and loaded as a whole, which lets Spark spread all files at once.
-    ``chunk_days`` loads it window by window instead, for a landing area read in turns.
+    ``chunk_days`` loads it window by window instead, for a landing area read in turns. The
+    compact copy has ``num_files`` files, or stays partitioned by file date if none is given.
     """
     if start > end:
         raise ValueError("the start date cannot be after the end date")
@@ -104,5 +105,5 @@ def run_ingest(
             spark, first, last, landing, table, publishers, actions, columns, terms, search_columns
         )
     if compacted:
-        compact_table(spark, table, compacted, num_files)
+        compact_table(spark, table, compacted, num_files, by=None if num_files else FILE_DATE)
     return statuses

@@ -40,20 +40,25 @@ def _joined(name: str, kind: DataType):
     return F.array_join(column, ";").alias(name) if isinstance(kind, ArrayType) else column
 
 
-def write_events(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "append") -> None:
+def write_events(
+    df: DataFrame, path: str, fmt: str = "parquet", mode: str = "append", by: str | None = None
+) -> None:
     """Write ``df`` as Parquet, as CSV with a header, or as the plain TSV that ``read_events`` reads.
 
+    ``by`` names a partition column.
+
     CSV and TSV cannot hold arrays: their elements are joined by ';', struct fields by '|'.
     """
-    writer = df.select(*[_joined(f.name, f.dataType) for f in df.schema.fields]) if fmt != "parquet" else df
+    if fmt not in ("parquet", "csv", "tsv"):
+        raise ValueError(f"unknown format: {fmt}")
+    flat = df if fmt == "parquet" else df.select(*[_joined(f.name, f.dataType) for f in df.schema.fields])
+    writer = flat.write.mode(mode).partitionBy(*([by] if by else []))
     if fmt == "parquet":
-        writer.write.mode(mode).parquet(path)
+        writer.parquet(path)
     elif fmt == "csv":
-        writer.write.mode(mode).option("header", True).options(**_UNTRIMMED).csv(path)
-    elif fmt == "tsv":
-        writer.write.mode(mode).options(**_PLAIN).csv(path)
+        writer.option("header", True).options(**_UNTRIMMED).csv(path)
     else:
-        raise ValueError(f"unknown format: {fmt}")
+        writer.options(**_PLAIN).csv(path)
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
@@ -70,21 +75,27 @@ def compact_table(
     recursive: bool = False,
     shuffle: bool = False,
     fmt: str = "parquet",
+    by: str | None = None,
 ) -> int:
     """Rewrite a Parquet data set into ``num_files`` files and return its number of rows.
 
     ``num_files=None`` chooses the number from the stored size, for files of about 512 MB.
     Without ``shuffle`` neighbouring input is merged in place, which moves no data between
-    executors but cannot make more files than there are input splits. ``destination`` is
-    replaced; it must not be ``origin``.
+    executors but cannot make more files than there are input splits. ``by`` keeps a table
+    partitioned by that column instead: Spark packs each value into files of its advisory
+    partition size and splits a value that is larger, so no value is written by one task
+    alone. ``destination`` is replaced; it must not be ``origin``.
     """
     if origin.rstrip("/") == destination.rstrip("/"):
         raise ValueError("a table cannot be compacted onto itself")
-    if num_files is None:
+    if num_files is None and not by:
         num_files = max(1, -(-stored_bytes(spark, origin) // TARGET_FILE_BYTES))
     table = read_table(spark, origin, recursive)
     rows = Observation()
     counted = table.observe(rows, F.count(F.lit(1)).alias("rows"))
-    merged = counted.repartition(num_files) if shuffle else counted.coalesce(num_files)
-    write_events(merged, destination, fmt, mode="overwrite")
+    if by:
+        merged = counted.hint("rebalance", by)
+    else:
+        merged = counted.repartition(num_files) if shuffle else counted.coalesce(num_files)
+    write_events(merged, destination, fmt, mode="overwrite", by=by)
     return rows.get["rows"]

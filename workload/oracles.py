@@ -250,6 +250,8 @@ SELECT SOURCEURL, min(SQLDATE) AS FirstEventDate, count(*) AS EventCount,
 FROM enriched GROUP BY SOURCEURL""",
     "compaction": f"""WITH {_raw('label')}
 SELECT GLOBALEVENTID, IsRootEvent, SOURCEURL, 2 - CAST(IsRootEvent AS BIGINT) AS copies FROM raw""",
+    "compaction_by_date": f"""WITH {_raw('label')}
+SELECT SQLDATE, SQLDATE AS day, count(*) AS events, count(DISTINCT GLOBALEVENTID) AS ids FROM raw GROUP BY SQLDATE""",
     "idempotent_load": _EVENTS,
     "archive_expand": _EVENTS,
     "archive_lines": "SELECT 'OK' AS status, count(*) AS lines FROM events",

@@ -356,6 +356,17 @@ def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy("GLOBALEVENTID", "IsRootEvent", "SOURCEURL").agg(F.count("*").alias("copies"))
 
 
+def compaction_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table partitioned by date, compacted in place of its dates; rows per date."""
+    path, merged = new_folder(spark, "table"), new_folder(spark, "merged")
+    load_table(_short_events(spark, sf_dir).withColumn("file_date", F.to_date("SQLDATE", "yyyyMMdd")), path)
+    compact_table(spark, path, merged, by="file_date")
+    stored = read_table(spark, merged)
+    return stored.groupBy("SQLDATE", F.date_format("file_date", "yyyyMMdd").alias("day")).agg(
+        F.count("*").alias("events"), F.countDistinct("GLOBALEVENTID").alias("ids")
+    )
+
+
 def idempotent_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All dates loaded, then every date loaded again."""
     path = new_folder(spark, "table")
@@ -437,6 +448,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         latin1_round_trip,
         csv_round_trip,
         compaction,
+        compaction_by_date,
         idempotent_load,
         archive_expand,
         archive_lines,
