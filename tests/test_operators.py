@@ -102,6 +102,14 @@ def test_lookup_strategy_follows_size(spark):
     assert sorted(near.collect(), key=str) == sorted(far.collect(), key=str)
 
 
+def test_kept_lookup(spark):
+    derived = spark.range(100).groupBy((F.col("id") % 3).cast("string").alias("key")).count()
+    plain, kept = size_lookup(derived), size_lookup(derived, keep=True)
+    assert (kept.rows, kept.bytes) == (plain.rows, plain.bytes) == (3, 9)
+    assert "Range" not in _plan(kept.df) and sorted(kept.df.collect()) == sorted(derived.collect())
+    assert size_lookup(derived.filter("count < 0"), keep=True).rows == 0
+
+
 def test_salting_spreads_a_hot_key(spark):
     facts = spark.range(10_000).select(F.lit("hot").alias("k"), F.col("id"))
     lookup = size_lookup(spark.createDataFrame([("hot", "x")], "key string, name string"), max_rows=0)

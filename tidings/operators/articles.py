@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidings.operators.lookups import DEFAULT_SALTS, left_lookup, size_lookup
-from tidings.shared import settled
 
 DEFAULT_MAX_ITEMS = 50_000
 
@@ -63,7 +62,7 @@ def _in_one_row(events: DataFrame) -> DataFrame:
 
 def _in_parts(events: DataFrame, max_items: int, salts: int) -> DataFrame:
     totals = events.groupBy("SOURCEURL").agg(F.count("*").alias("events"), *_statistics())
-    articles = size_lookup(settled(totals.withColumnRenamed("SOURCEURL", "url")))
+    articles = size_lookup(totals.withColumnRenamed("SOURCEURL", "url"), keep=True)
     # Exact copies of an event share every hash. They are counted before the shuffle, and a
     # large count is cut into pieces that can be told apart.
     copies = events.groupBy("SOURCEURL", _item().alias("item")).agg(F.count("*").alias("copies"))
@@ -105,8 +104,8 @@ def summarize_articles(
 
     address = F.xxhash64("SOURCEURL")
     counts = events.groupBy(address.alias("address")).agg(F.count("*").alias("events"))
-    large = settled(counts.filter(F.col("events") > max_items).select("address", F.lit(True).alias("_large")))
-    marks = size_lookup(large)
+    large = counts.filter(F.col("events") > max_items).select("address", F.lit(True).alias("_large"))
+    marks = size_lookup(large, keep=True)
     if not marks.rows:
         return _lay_out(_in_one_row(events), part_column)
 

@@ -12,10 +12,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
 
+from tidings.shared import checkpoint_folder, settled
+
 BROADCAST_BYTES = 32 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
 DEFAULT_SALTS = 16
@@ -41,11 +43,25 @@ class SizedLookup:
 
 
 def size_lookup(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+    df: DataFrame,
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
+    keep: bool = False,
 ) -> SizedLookup:
-    """Measure ``df`` (one small aggregation job) against a broadcast bound."""
+    """Measure ``df`` against a broadcast bound with one job.
+
+    ``keep`` is for a lookup that is derived from much data: the job also checkpoints its
+    rows, so that they are not derived again for each join. A measurement taken on the way
+    may count the rows of a repeated task twice, which only errs towards the shuffled join.
+    """
     width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
-    size = df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    measures = [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")]
+    if keep and checkpoint_folder(df.sparkSession):
+        seen = Observation()
+        df = settled(df.observe(seen, *measures))
+        size = seen.get
+    else:
+        size = df.agg(*measures).first()
     return SizedLookup(df, size["rows"], size["bytes"], max_rows, max_bytes)
 
 

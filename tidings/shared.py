@@ -10,25 +10,26 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
+def checkpoint_folder(spark: SparkSession) -> str | None:
+    """The shared folder that the session names, if any."""
+    return spark.conf.get(CHECKPOINT_SETTING, None)
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path not used before, below the shared folder that the session names.
 
     Only a session that names none (a local test) gets a temporary folder of its machine.
     """
-    base = spark.conf.get(CHECKPOINT_SETTING, None) or tempfile.mkdtemp(prefix="tidings-")
+    base = checkpoint_folder(spark) or tempfile.mkdtemp(prefix="tidings-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
 def settled(df: DataFrame) -> DataFrame:
     """A small ``df`` computed once and reread from a reliable checkpoint.
 
-    Its rows are packed into as few files as their size asks for. Without a checkpoint
-    folder ``df`` itself is returned and recomputed on each use.
+    Its rows are packed into as few files as their size asks for. Needs a checkpoint folder.
     """
-    folder = df.sparkSession.conf.get(CHECKPOINT_SETTING, None)
-    if not folder:
-        return df
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(checkpoint_folder(df.sparkSession))
     return df.hint("rebalance").checkpoint(eager=True)

@@ -15,8 +15,22 @@ LABELS = [
 ]
 
 
+# Stated, so that no job reads footers before a query starts.
+SCHEMAS = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "pages": "page_id long, url string, html string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+        "o_orderpriority string"
+    ),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _digits(number: Column) -> Column:

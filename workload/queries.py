@@ -57,14 +57,12 @@ RANGE = (dt.date(1996, 1, 1), dt.date(1997, 12, 31))
 TERMS = ["USER1", "nation_3", "Site7."]
 
 
-def _publishers(spark: SparkSession, sf_dir: str, fan_out: bool = False, max_rows: int | None = None) -> SizedLookup:
-    pairs = publisher_lookup(*lookups(spark, sf_dir, fan_out))
-    return size_lookup(pairs) if max_rows is None else size_lookup(pairs, max_rows=max_rows)
+def _publishers(spark: SparkSession, sf_dir: str, fan_out: bool = False, **bounds) -> SizedLookup:
+    return size_lookup(publisher_lookup(*lookups(spark, sf_dir, fan_out)), keep=True, **bounds)
 
 
-def _actions(spark: SparkSession, sf_dir: str, max_rows: int | None = None) -> SizedLookup:
-    codes = parse_action_codes(action_documents(spark, sf_dir), "document")
-    return size_lookup(codes) if max_rows is None else size_lookup(codes, max_rows=max_rows)
+def _actions(spark: SparkSession, sf_dir: str, **bounds) -> SizedLookup:
+    return size_lookup(parse_action_codes(action_documents(spark, sf_dir), "document"), keep=True, **bounds)
 
 
 def _short_events(spark: SparkSession, sf_dir: str, addresses: str = "label") -> DataFrame:
