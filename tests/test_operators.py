@@ -89,6 +89,16 @@ def test_add_publisher(spark, max_rows):
     assert got == sorted(expected, key=str)
 
 
+def test_columns_named_like_the_lookup_survive(spark):
+    df = spark.createDataFrame([("http://b.ca/1", "01", "d", "n", "c", "t")], (
+        "SOURCEURL string, EventCode string, domain string, country_name string, code string, description string"
+    ))
+    publishers = size_lookup(spark.createDataFrame([("b.ca", "Peru")], "domain string, country_name string"))
+    actions = size_lookup(spark.createDataFrame([("01", "SAY")], "code string, description string"))
+    row = add_actions(add_publisher(df, publishers), actions).first()
+    assert row[:8] == ("http://b.ca/1", "01", "d", "n", "c", "t", "b.ca", "Peru") and row.Cameo == "SAY"
+
+
 def test_lookup_strategy_follows_size(spark):
     facts = spark.range(1000).select((F.col("id") % 7).cast("string").alias("k"), F.col("id"))
     lookup = spark.createDataFrame([("1", "one"), ("2", "two")], "key string, name string")

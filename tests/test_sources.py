@@ -63,6 +63,19 @@ def test_encodings(spark, tmp_path):
     assert read_events(spark, str(tmp_path), ["a", "b"]).first()[0] == "S�o"
 
 
+def test_latin1_path(spark, tmp_path):
+    (tmp_path / "events.txt").write_bytes("Bogotá\t1\n".encode("latin-1"))
+    assert read_events_latin1(spark, str(tmp_path / "events.txt"), ["a", "b"]).collect() == [("Bogotá", "1")]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_events_latin1(spark, str(tmp_path / "absent"), ["a", "b"])
+
+
+def test_lines_are_parsed_once(spark, tmp_path):
+    _landing(tmp_path)
+    events = archive_events(expand_archives(spark, str(tmp_path))).select("GLOBALEVENTID", "SQLDATE", "SOURCEURL")
+    assert events._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
+
+
 def test_only_needed_columns_are_read(spark, tmp_path):
     (tmp_path / "a.csv").write_text(_line("1") + "\n")
     plan = read_events(spark, str(tmp_path)).select("SOURCEURL")._jdf.queryExecution().executedPlan().toString()

@@ -25,5 +25,6 @@ def add_actions(df: DataFrame, dictionary: SizedLookup, salts: int = DEFAULT_SAL
     kept = [name for name in df.columns if name not in ("Cameo", "Cameo_full")]
     described = df.select(*kept)
     for key, name in ((root_code("EventCode"), "Cameo"), (F.col("EventCode"), "Cameo_full")):
-        described = left_lookup(described, dictionary, key, "code", salts).withColumnRenamed("description", name)
+        named = dictionary.named(**{"_code": "code", name: "description"})
+        described = left_lookup(described, named, key, "_code", salts)
     return described.select(*kept, "Cameo", "Cameo_full")

@@ -10,7 +10,7 @@ salt; those are left to the skew-join splitting of adaptive execution.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -37,9 +37,9 @@ class SizedLookup:
     def broadcastable(self) -> bool:
         return self.rows <= self.max_rows and self.bytes <= self.max_bytes
 
-    @property
-    def columns(self) -> list[str]:
-        return self.df.columns
+    def named(self, **columns: str) -> SizedLookup:
+        """Only the given columns, under new names: ``named(new="old")``."""
+        return replace(self, df=self.df.select(*[F.col(old).alias(new) for new, old in columns.items()]))
 
 
 def size_lookup(

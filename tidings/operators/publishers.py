@@ -38,6 +38,7 @@ def add_publisher(df: DataFrame, lookup: SizedLookup, salts: int = DEFAULT_SALTS
     """
     kept = [name for name in df.columns if name not in ("domain_name", "news_source_country")]
     located = df.select(*kept, domain_of("SOURCEURL").alias("domain_name"))
-    matched = left_lookup(located, lookup, F.col("domain_name"), "domain", salts)
-    country = F.coalesce("country_name", country_from_tld("domain_name"), F.lit(UNKNOWN_COUNTRY))
+    countries = lookup.named(_domain="domain", _country="country_name")
+    matched = left_lookup(located, countries, F.col("domain_name"), "_domain", salts)
+    country = F.coalesce("_country", country_from_tld("domain_name"), F.lit(UNKNOWN_COUNTRY))
     return matched.select(*kept, "domain_name", country.alias("news_source_country"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.functions import file_date
@@ -15,6 +15,10 @@ from tidings.schema import RAW_COLUMNS, strings
 TSV_OPTIONS = {"sep": "\t", "header": "false", "quote": ""}
 
 
+def _tsv(spark: SparkSession, headers: Sequence[str], encoding: str) -> DataFrameReader:
+    return spark.read.schema(strings(list(headers))).options(**TSV_OPTIONS).option("encoding", encoding)
+
+
 def read_events(
     spark: SparkSession,
     path: str | list[str],
@@ -28,14 +32,12 @@ def read_events(
     shorter line lacks. A folder that is missing or has no such file gives an empty result
     with the same schema. ``file_date_column`` names a column for the date in the file name.
     """
-    schema = strings(list(headers))
-    reader = spark.read.schema(schema).options(**TSV_OPTIONS).option("encoding", encoding)
     try:
-        events = reader.option("pathGlobFilter", "*.[cC][sS][vV]").csv(path)
+        events = _tsv(spark, headers, encoding).option("pathGlobFilter", "*.[cC][sS][vV]").csv(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        events = spark.createDataFrame([], schema)
+        events = spark.createDataFrame([], strings(list(headers)))
         return events.withColumn(file_date_column, F.lit(None).cast("date")) if file_date_column else events
     if file_date_column:
         events = events.select("*", file_date("_metadata.file_name").alias(file_date_column))
@@ -45,5 +47,5 @@ def read_events(
 def read_events_latin1(
     spark: SparkSession, path: str | list[str], headers: Sequence[str] = RAW_COLUMNS
 ) -> DataFrame:
-    """Event files encoded in Latin-1."""
-    return read_events(spark, path, headers, encoding="ISO-8859-1")
+    """Latin-1 event files at ``path``, a file or a folder, whatever their extension."""
+    return _tsv(spark, headers, "ISO-8859-1").csv(path)
