@@ -132,6 +132,35 @@ def test_salting_spreads_a_hot_key(spark):
     assert sum(sizes) == 10_000 and len(sizes) > 4 and max(sizes) < 5000
 
 
+def test_copies_of_one_row_are_spread(spark):
+    """A third of all rows are copies with one key: counted before the shuffle, whole after the join."""
+    copy = F.col("id") % 3 == 0
+    facts = spark.range(0, 30_000, 1, 16).select(
+        F.when(copy, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 100)).alias("k"),
+        F.when(copy, F.lit(None)).otherwise(F.col("id")).alias("n"),
+    )
+    names = [("hot", "x"), ("hot", "y"), ("k1", "z"), ("absent", "w")]
+    table = spark.createDataFrame(names, "key string, name string")
+    near = left_lookup(facts, size_lookup(table), F.col("k"), "key")
+    far = left_lookup(facts, size_lookup(table, max_rows=0), F.col("k"), "key", max_copies=150)
+    assert far.columns == near.columns and far.count() == near.count() == 40_000
+    assert far.exceptAll(near).isEmpty() and near.exceptAll(far).isEmpty()
+    hot = far.filter("k = 'hot' and name = 'x'").withColumn("p", F.spark_partition_id())
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r["count"] for r in hot.groupBy("p").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 10_000 and len(sizes) > 4 and max(sizes) < 5000
+
+
+def test_shuffled_lookup_of_rows_with_maps(spark):
+    facts = spark.range(10).select((F.col("id") % 2).cast("string").alias("k"), F.create_map("id", "id").alias("m"))
+    lookup = size_lookup(spark.createDataFrame([("1", "x")], "key string, name string"), max_rows=0)
+    rows = left_lookup(facts, lookup, F.col("k"), "key").collect()
+    assert sorted((r.k, r.name) for r in rows if r.name) == [("1", "x")] * 5 and len(rows) == 10
+
+
 def test_null_safe_lookup(spark):
     facts = spark.createDataFrame([(None,), ("a",), ("b",)], "k string")
     table = spark.createDataFrame([(None, 1), ("a", 2)], "key string, n int")

@@ -195,6 +195,9 @@ QUALIFY row_number() OVER (PARTITION BY domain ORDER BY rank, country_name) = 1"
     "country_lookup": _pages_per_country(False),
     "lookup_fanout": _pages_per_country(True),
     "country_lookup_salted": _pages_per_country(True),
+    "lookup_copies": f"""WITH {_raw('page')}, {_lookups(True)},
+located AS (SELECT SOURCEURL, {_domain('SOURCEURL')} AS domain_name FROM raw)
+SELECT SOURCEURL, domain_name, country_name FROM located LEFT JOIN publishers ON domain_name = domain""",
     "lookup_files": _pages_per_country(False),
     "action_dictionary": f"""WITH {_ACTIONS}
 SELECT code, description FROM actions WHERE code <> '106' UNION ALL SELECT '106', 'Demand withdrawal'""",

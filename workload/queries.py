@@ -16,6 +16,7 @@ from tidings.operators import (
     download_plan,
     filter_terms,
     in_date_range,
+    left_lookup,
     one_country_per_domain,
     parse_manifest,
     plan_chunks,
@@ -132,6 +133,13 @@ def country_lookup_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pages_per_country(spark, sf_dir, _publishers(spark, sf_dir, fan_out=True, max_rows=0))
 
 
+def lookup_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A shuffled lookup of rows with many exact copies, which are counted before the shuffle."""
+    pages = raw_events(spark, sf_dir, "page").select("SOURCEURL", domain_of("SOURCEURL").alias("domain_name"))
+    publishers = _publishers(spark, sf_dir, fan_out=True, max_rows=0)
+    return left_lookup(pages, publishers, F.col("domain_name"), "domain", max_copies=3)
+
+
 def lookup_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both lookups written in their file formats, read back and applied."""
     official, manual = lookups(spark, sf_dir)
@@ -421,6 +429,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         country_lookup,
         lookup_fanout,
         country_lookup_salted,
+        lookup_copies,
         lookup_files,
         action_dictionary,
         action_enrich,
