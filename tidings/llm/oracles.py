@@ -2,4 +2,69 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_OP4 = r"""
+WITH lines AS (
+    SELECT doc_id, coalesce(source, '') AS host, string_split(text, chr(10)) AS ls FROM documents
+), single AS (
+    SELECT doc_id, host, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM lines
+), boilerplate AS (
+    SELECT host, trim(line, ' ' || chr(9) || chr(13)) AS line
+    FROM single JOIN (SELECT host, count(*) AS host_pages FROM lines GROUP BY host) USING (host)
+    WHERE trim(line, ' ' || chr(9) || chr(13)) <> ''
+    GROUP BY host, trim(line, ' ' || chr(9) || chr(13)), host_pages
+    HAVING count(DISTINCT doc_id) >= 5 AND count(DISTINCT doc_id) > 0.1 * host_pages
+), marked AS (
+    SELECT s.doc_id, s.i, s.line, b.line IS NOT NULL AS dropped
+    FROM single s LEFT JOIN boilerplate b ON b.host = s.host AND b.line = trim(s.line, ' ' || chr(9) || chr(13))
+), cleaned AS (
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+        coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped), '') AS kept
+    FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped,
+    sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN cleaned USING (doc_id)
+"""
+
+_OP9 = r"""
+WITH w AS (
+    SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t,
+        list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+    FROM documents
+), windows AS (
+    SELECT doc_id, i, ws[i] AS a, ws[i + 1] AS b, ws[i + 2] AS c
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) >= 3)
+), again AS (
+    SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, a, b, c) > 1
+), repeated AS (
+    SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY doc_id
+), lined AS (
+    SELECT *, list_filter(string_split(t, chr(10)), lambda x: NOT regexp_full_match(x, '[\x20\x09-\x0D]*')) AS ls FROM w
+), figures AS (
+    SELECT l.doc_id, l.host, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, len(ls) AS n_lines,
+        (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words
+    FROM lined l LEFT JOIN repeated r USING (doc_id)
+), failures AS (
+    SELECT *, unnest([
+        {'rule': 1, 'failed': n_words < 50}, {'rule': 2, 'failed': 100 * n_repeat_words > 50 * n_words},
+        {'rule': 3, 'failed': 100 * n_dup_lines > 30 * n_lines}, {'rule': 4, 'failed': 100 * n_symbols > 100 * n_words}
+    ]) AS f FROM figures
+), hosts AS (
+    SELECT host, f.rule AS rule, count(*) AS n, count(*) FILTER (WHERE f.failed) AS k FROM failures GROUP BY ALL
+), moments AS (
+    SELECT rule, sum(k) / sum(n) AS mean, greatest(sum(k * k / n) / sum(n) - (sum(k) / sum(n)) ** 2, 0) AS spread
+    FROM hosts GROUP BY rule
+), prior AS (
+    SELECT rule, mean, CASE WHEN spread > 1e-12 THEN least(greatest(mean * (1 - mean) / spread - 1, 1), 1000) ELSE 1000 END AS s
+    FROM moments
+), verdicts AS (
+    SELECT host, max((k + mean * s) / (n + s)) <= 0.5 AS host_kept FROM hosts JOIN prior USING (rule) GROUP BY host
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND host_kept AS kept, host_kept
+FROM figures JOIN verdicts USING (host)
+"""
+
+ORACLES: dict[str, str] = {"op4_line_dedup": _OP4, "op9_quality_rules": _OP9}

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidings.llm.lines import drop_boilerplate
 from tidings.llm.packing import pack_documents
+from tidings.llm.rules import judge
 from tidings.llm.tokens import read_tokenizer, token_counts
 
 
@@ -29,12 +31,26 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, tokenizer()).select(columns)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines, those that its source repeats as boilerplate, and what is left."""
+    cleaned = drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The length histogram of ``documents`` with its suffix sums, one row for each length."""
     return token_counts(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's figures and whether it and its source pass the rules."""
+    figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judge(table(spark, sf_dir, "documents")).select("doc_id", *figures, "base_failed", "kept", "host_kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_line_dedup": op4_line_dedup,
     "op7_token_counts": op7_token_counts,
+    "op9_quality_rules": op9_quality_rules,
 }
