@@ -99,18 +99,18 @@ def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[in
 
 
 def spans(inside: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin and end of every run of marked bytes, none across a text's end; how many each text has."""
+    """Begin and end of every run of bytes of one class other than 0, none across a text's end; how
+    many each text has."""
     n = len(inside)
     if n == 0:
         empty = np.empty(0, np.int64)
         return empty, empty, np.zeros(len(bounds) - 1, np.int64)
     cut = np.zeros(n + 1, bool)
     cut[bounds] = True
-    begins = inside.copy()
-    begins[1:] &= ~inside[:-1] | cut[1:n]
-    ends = np.empty(n, bool)
-    ends[-1] = inside[-1]
-    ends[:-1] = inside[:-1] & (~inside[1:] | cut[1:n])
+    new = cut[1:n] | (inside[1:] != inside[:-1])
+    begins, ends = inside != 0, inside != 0
+    begins[1:] &= new
+    ends[:-1] &= new
     begin, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     return begin, end, np.diff(np.searchsorted(begin, bounds))
 
@@ -126,6 +126,9 @@ def byte_class(members: str | bytes, inverse: bool = False) -> np.ndarray:
 SPACED = byte_class(b" \t\n\x0b\x0c\r", inverse=True)
 #: Bytes of words of letters and digits: 0-9, a-z and everything beyond ASCII (texts are lower-cased first).
 ALNUM = byte_class(bytes([*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]))
+#: Words of letters and digits (either case) as class 1, runs of other marks as class 2.
+TEXT_AND_MARKS = np.where(SPACED, 2, 0).astype(np.uint8)
+TEXT_AND_MARKS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
 #: A-Z to a-z, all other bytes as they are.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from tidings.llm.lines import drop_boilerplate
 from tidings.llm.packing import pack_documents
+from tidings.llm.quality import score_quality, train_quality
 from tidings.llm.rules import judge
 from tidings.llm.tokens import read_tokenizer, token_counts
+from tidings.llm.toxicity import score_toxicity, train_toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +26,12 @@ def tokenizer() -> str:
     return read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score of every document, from labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, train_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces with their places in sequences of at most 1024 tokens."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -37,6 +45,12 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score of every document, from labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, train_quality(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The length histogram of ``documents`` with its suffix sums, one row for each length."""
     return token_counts(table(spark, sf_dir, "documents"), tokenizer())
@@ -49,8 +63,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_line_dedup": op4_line_dedup,
+    "op5_quality_classifier": op5_quality_classifier,
     "op7_token_counts": op7_token_counts,
     "op9_quality_rules": op9_quality_rules,
 }
