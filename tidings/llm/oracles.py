@@ -67,4 +67,34 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM figures JOIN verdicts USING (host)
 """
 
-ORACLES: dict[str, str] = {"op4_line_dedup": _OP4, "op9_quality_rules": _OP9}
+_OP10 = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), b AS (
+    SELECT item_id::VARCHAR AS item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[i:i + 9], ' ') AS phrase
+    FROM (SELECT *, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)
+), lengths AS (
+    SELECT DISTINCT n FROM windows
+), places AS (
+    SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS phrase
+    FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, lengths)
+), matches AS (
+    SELECT doc_id, i, n, item_id FROM places JOIN windows USING (n, phrase)
+), hits AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM matches) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names
+    FROM (SELECT DISTINCT doc_id, item_id FROM matches) GROUP BY doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op4_line_dedup": _OP4, "op9_quality_rules": _OP9, "op10_decontamination": _OP10}

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidings.llm.decontamination import find_items, items_digest
 from tidings.llm.lines import drop_boilerplate
 from tidings.llm.packing import pack_documents
 from tidings.llm.quality import score_quality, train_quality
@@ -62,6 +63,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).select("doc_id", *figures, "base_failed", "kept", "host_kept")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words inside occurrences of ten-word windows of ``benchmark``."""
+    found = find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", items_digest().alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -69,4 +78,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_classifier": op5_quality_classifier,
     "op7_token_counts": op7_token_counts,
     "op9_quality_rules": op9_quality_rules,
+    "op10_decontamination": op10_decontamination,
 }
