@@ -26,6 +26,32 @@ SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dropped, 0)
 FROM documents d LEFT JOIN cleaned USING (doc_id)
 """
 
+_OP8 = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), shingles AS MATERIALIZED (
+    SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS s, least(len(ws), 4) AS n
+    FROM (SELECT *, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM w WHERE len(ws) > 0)
+), sizes AS MATERIALIZED (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS MATERIALIZED (
+    SELECT x.a, x.b FROM (
+        SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS common
+        FROM shingles p JOIN shingles q ON p.s = q.s AND p.n = q.n AND p.doc_id <> q.doc_id GROUP BY ALL
+    ) x JOIN sizes sa ON sa.doc_id = x.a JOIN sizes sb ON sb.doc_id = x.b
+    WHERE 100 * common >= 80 * (sa.n + sb.n - common)
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, r.component_id, d.doc_id = r.component_id AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id)
+    JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)
+"""
+
 _OP9 = r"""
 WITH w AS (
     SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t,
@@ -97,4 +123,4 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op4_line_dedup": _OP4, "op9_quality_rules": _OP9, "op10_decontamination": _OP10}
+ORACLES: dict[str, str] = {"op4_line_dedup": _OP4, "op8_minhash_near_dedup": _OP8, "op9_quality_rules": _OP9, "op10_decontamination": _OP10}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidings.llm.decontamination import find_items, items_digest
 from tidings.llm.lines import drop_boilerplate
+from tidings.llm.near_duplicates import near_duplicates
 from tidings.llm.packing import pack_documents
 from tidings.llm.quality import score_quality, train_quality
 from tidings.llm.rules import judge
@@ -57,6 +58,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of near duplicates, by shingles of four words."""
+    return near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's figures and whether it and its source pass the rules."""
     figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -77,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_quality_classifier": op5_quality_classifier,
     "op7_token_counts": op7_token_counts,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
 }
