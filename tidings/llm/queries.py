@@ -13,6 +13,7 @@ from tidings.llm.near_duplicates import near_duplicates
 from tidings.llm.packing import pack_documents
 from tidings.llm.quality import score_quality, train_quality
 from tidings.llm.rules import judge
+from tidings.llm.suffixes import remove_repeats
 from tidings.llm.tokens import read_tokenizer, token_counts
 from tidings.llm.toxicity import score_toxicity, train_toxicity
 
@@ -53,6 +54,11 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, train_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes that a repeated string of 100 bytes covers, as a digest."""
+    return remove_repeats(table(spark, sf_dir, "documents"), 100)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The length histogram of ``documents`` with its suffix sums, one row for each length."""
     return token_counts(table(spark, sf_dir, "documents"), tokenizer())
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_line_dedup": op4_line_dedup,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
