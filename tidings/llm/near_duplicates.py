@@ -251,3 +251,25 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     linked_row = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     found = found.withColumn("component_id", F.when(linked_row, F.col("class_component")).otherwise(F.col("doc_id")))
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each component, its smallest id, with all columns.
+
+    Documents without words or without an id all stay. Where a kept id has several rows, one with
+    the smallest text stays; texts are shuffled for that only if there are such ids.
+    """
+    found = stored(near_duplicates(docs, size, percent), "components")
+    named = found.where("doc_id is not null and n_shingles > 0")
+    gone = named.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
+    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
+    repeated = named.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if repeated.isEmpty():
+        return left
+    ids = repeated.select(F.col("doc_id").alias("repeated_id"))
+    again = F.col("doc_id").cast("long") == F.col("repeated_id")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    several = left.join(ids, again, "left_semi")
+    one = several.groupBy("doc_id").agg(F.min_by(whole, F.col("text")).alias("row"))
+    one = one.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return left.join(ids, again, "left_anti").unionByName(one)

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidings.llm.chat import fit_chain, hide_roles, recover_turns
 from tidings.llm.decontamination import find_items, items_digest
+from tidings.llm.linear import fold
 from tidings.llm.lines import drop_boilerplate
 from tidings.llm.near_duplicates import near_duplicates
 from tidings.llm.packing import pack_documents
@@ -42,6 +44,16 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, tokenizer()).select(columns)
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of ``conversations``, found again in transcripts with missing speaker markers.
+
+    The chain is learned from the roles of conversations whose crc32 modulo 5 is not 0.
+    """
+    messages = hide_roles(table(spark, sf_dir, "conversations"))
+    chain = fit_chain(messages.where(fold(F.col("conv_id"), 5) != 0))
+    return recover_turns(messages.select("conv_id", "turn", "text"), chain)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's lines, those that its source repeats as boilerplate, and what is left."""
     cleaned = drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
@@ -86,6 +98,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_chat_formatting": op3_chat_formatting,
     "op4_line_dedup": op4_line_dedup,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
