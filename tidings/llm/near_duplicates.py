@@ -6,10 +6,11 @@ chunk is indexed four times, each time with one component left out, and all pair
 distance meet under some key. Of documents as similar as 0.8 about one pair in a million is
 farther apart, and nearly all of those meet as well. What meets is confirmed on full shingle sets.
 
-Equal sets are one class from the start. A group of near copies meets under many keys, so pairs
-are made in two steps: every class is first compared with one other only, the smallest id of the
-keys that it shares most; the links found join most of what is similar. Then only members of a
-key that are still in different components, and within the distance, are compared.
+Equal sets are one class from the start. A group of near copies meets under many keys, so it is
+not taken apart into pairs. First every class is compared with one other only, the most central
+member of the keys that it shares; the links found join most of what is similar. Members of a key
+that are still in different components, and within the distance, are then compared in blocks of
+documents, and a pair of blocks gives the links that join components, not all pairs.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from tidings.llm.tables import stored
 COMPONENTS, CHUNK, DISTANCE = 64, 4, 29
 #: Members of a key that one task compares with each other at once.
 BLOCK_MEMBERS = 1024
+#: Texts of a block; a task confirms two blocks at a time.
+BLOCK_TEXTS = 256
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, size: int) -> list[np.ndarray]:
@@ -108,11 +111,8 @@ def chunk_keys(classes: DataFrame) -> DataFrame:
     return classes.select("id", "signature").mapInArrow(run, "key long, id long")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The ``pairs`` (a, b) whose texts' full sets overlap by ``percent``: 100 |A and B| >= percent |A or B|.
-
-    Texts travel compressed, once for each end of a pair.
-    """
+def _packed(docs: DataFrame) -> DataFrame:
+    """(id, packed): texts compressed for the shuffle."""
 
     def shrink(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = zstandard.ZstdCompressor(level=1)
@@ -120,6 +120,16 @@ def confirm(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataF
             texts = [coder.compress((t or "").encode()) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], ["id", "packed"])
 
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
+    return texts.mapInArrow(shrink, "id long, packed binary")
+
+
+def confirm(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The ``pairs`` (a, b) whose texts' full sets overlap by ``percent``: 100 |A and B| >= percent |A or B|.
+
+    Texts travel compressed, once for each end of a pair.
+    """
+
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = zstandard.ZstdDecompressor()
 
@@ -141,43 +151,40 @@ def confirm(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataF
             kept = pa.array(np.flatnonzero(passed))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(kept), batch.column(1).take(kept)], ["a", "b"])
 
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
-    texts = texts.mapInArrow(shrink, "id long, packed binary")
+    texts = _packed(docs)
     one, two = (texts.select(F.col("id").alias(c), F.col("packed").alias(f"packed_{c}")) for c in "ab")
     return pairs.join(one, "a").join(two, "b").select("a", "b", "packed_a", "packed_b").mapInArrow(check, "a long, b long")
 
 
-def cross_pairs(members: DataFrame, distance: int = DISTANCE, block: int = BLOCK_MEMBERS) -> DataFrame:
-    """Distinct (a, b) of ``members`` (key, id, component, signature) that share a key, are in
-    different components, and whose signatures differ in at most ``distance`` components.
+def block_pairs(members: DataFrame, distance: int = DISTANCE, slice_members: int = BLOCK_MEMBERS) -> DataFrame:
+    """Distinct (one, two) of the blocks of ``members`` (key, id, component, block, signature) that
+    need a comparison: somewhere they share a key in different components, within ``distance``.
 
-    Keys of many members are compared block by block, every two blocks in a group of their own, so
-    that no task gets more than two blocks at once and no pair is left out or made beyond the filter.
+    Keys of many members are looked at slice by slice, every two slices in a group of their own,
+    so that no task gets more than two slices at once and no pair is left out. What leaves a group
+    is blocks, never its pairs.
     """
-    sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / slice_members).cast("int").alias("slices"))
+    dealt = members.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("id"), "slices").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
     dealt = dealt.select(
-        "key", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "id", "component", "signature"
+        "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "component", "block", "signature"
     )
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def group(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-            own, ids, parts = (rows.column(c).to_numpy() for c in ("own", "id", "component"))
-            marks = np.frombuffer(b"".join(rows.column("signature").to_pylist()), "<u4").reshape(len(ids), COMPONENTS)
-            mixed = rows.column("one")[0].as_py() != rows.column("two")[0].as_py()
-            a, b = [], []
-            for i in range(len(ids) - 1):
-                rest = parts[i + 1 :] != parts[i]
-                if mixed:
-                    rest &= own[i + 1 :] != own[i]
-                j = np.flatnonzero(rest) + 1 + i
+        def group(rows: pa.Table) -> set[tuple[int, int]]:
+            parts, blocks = (rows.column(c).to_numpy() for c in ("component", "block"))
+            if (parts == parts[0]).all():
+                return set()
+            marks = np.frombuffer(b"".join(rows.column("signature").to_pylist()), "<u4").reshape(len(parts), COMPONENTS)
+            found: set[tuple[int, int]] = set()
+            for i in range(len(parts) - 1):
+                j = np.flatnonzero(parts[i + 1 :] != parts[i]) + 1 + i
                 if len(j):
                     j = j[(marks[j] != marks[i]).sum(axis=1) <= distance]
-                    a.append(np.maximum(ids[j], ids[i]))
-                    b.append(np.minimum(ids[j], ids[i]))
-            empty = np.empty(0, np.int64)
-            return (np.concatenate(a), np.concatenate(b)) if a else (empty, empty)
+                    own = int(blocks[i])
+                    found.update((min(own, k), max(own, k)) for k in np.unique(blocks[j]).tolist())
+            return found
 
         rest = None
         for batch in _closed(batches):
@@ -186,18 +193,107 @@ def cross_pairs(members: DataFrame, distance: int = DISTANCE, block: int = BLOCK
                 table = pa.concat_tables([rest, table])
             if table is None or not table.num_rows:
                 continue
-            marks = [table.column(c).to_numpy() for c in ("key", "one", "two")]
+            marks = [table.column(c).to_numpy() for c in ("key", "low", "high")]
             cuts = np.flatnonzero(np.any([x[1:] != x[:-1] for x in marks], axis=0)) + 1
             edges = [0, *cuts.tolist(), table.num_rows]
             whole = edges if batch is None else edges[:-1]
             rest = None if batch is None else table.slice(edges[-2])
-            found = [group(table.slice(x, y - x)) for x, y in zip(whole[:-1], whole[1:])]
+            found = sorted(set().union(*(group(table.slice(x, y - x)) for x, y in zip(whole[:-1], whole[1:]))))
             if found:
-                a, b = (np.concatenate(x) for x in zip(*found))
+                one, two = zip(*found)
+                yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())], ["one", "two"])
+
+    ordered = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "id")
+    return ordered.mapInArrow(compare, "one long, two long").distinct()
+
+
+def confirm_blocks(
+    pairs: DataFrame, placed: DataFrame, docs: DataFrame, size: int, percent: int, distance: int = DISTANCE
+) -> DataFrame:
+    """Links (a, b) that join the components of the documents of each pair of blocks.
+
+    ``placed`` has id, component, block and signature. Every text goes once to each pair that its block is
+    in; there its set is made once, and sets of different components within ``distance`` are
+    compared, nearest signatures first, as long as no other link has joined them. A pair of blocks
+    gives fewer links than it has documents.
+    """
+
+    def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = zstandard.ZstdDecompressor()
+
+        def group(rows: pa.Table) -> list[tuple[int, int]]:
+            ids, parts, blocks = (rows.column(c).to_pylist() for c in ("id", "component", "block"))
+            marks = np.frombuffer(b"".join(rows.column("signature").to_pylist()), "<u4").reshape(len(ids), COMPONENTS)
+            packed, sets = rows.column("packed"), {}
+            above = {p: p for p in parts}
+
+            def root(p: int) -> int:
+                while above[p] != p:
+                    above[p] = p = above[above[p]]
+                return p
+
+            def shingles(i: int) -> np.ndarray:
+                if i not in sets:
+                    text = coder.decompress(packed[i].as_py())
+                    sets[i] = shingle_sets(np.frombuffer(text, np.uint8), np.array([0, len(text)]), size)[0]
+                return sets[i]
+
+            own, part = np.asarray(blocks), np.asarray(parts)
+            near, left, right = [], [], []
+            for i in range(len(ids) - 1):
+                wanted = part[i + 1 :] != part[i]
+                if own[0] != own[-1]:
+                    wanted &= own[i + 1 :] != own[i]
+                j = np.flatnonzero(wanted) + 1 + i
+                far = (marks[j] != marks[i]).sum(axis=1)
+                j, far = j[far <= distance], far[far <= distance]
+                near.append(far)
+                left.append(np.full(len(j), i))
+                right.append(j)
+            links = []
+            if not near:
+                return links
+            near, left, right = map(np.concatenate, (near, left, right))
+            order = np.argsort(near, kind="stable")
+            for i, j in zip(left[order].tolist(), right[order].tolist()):
+                x, y = root(parts[i]), root(parts[j])
+                if x == y:
+                    continue
+                a, b = shingles(i), shingles(j)
+                if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+                    continue
+                if len(a) < len(b):
+                    a, b = b, a
+                common = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
+                if 100 * common >= percent * (len(a) + len(b) - common):
+                    above[x] = y
+                    links.append((ids[i], ids[j]))
+            return links
+
+        rest = None
+        for batch in _closed(batches):
+            table = rest if batch is None else pa.Table.from_batches([batch])
+            if batch is not None and rest is not None:
+                table = pa.concat_tables([rest, table])
+            if table is None or not table.num_rows:
+                continue
+            marks = [table.column(c).to_numpy() for c in ("one", "two")]
+            cuts = np.flatnonzero(np.any([x[1:] != x[:-1] for x in marks], axis=0)) + 1
+            edges = [0, *cuts.tolist(), table.num_rows]
+            whole = edges if batch is None else edges[:-1]
+            rest = None if batch is None else table.slice(edges[-2])
+            links = [link for x, y in zip(whole[:-1], whole[1:]) for link in group(table.slice(x, y - x))]
+            if links:
+                a, b = zip(*links)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    ordered = dealt.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two", "id")
-    return ordered.mapInArrow(compare, "a long, b long").distinct()
+    sides = pairs.select("one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"))
+    texts = _packed(docs)
+    rows = placed.join(pairs.select(F.explode(F.array("one", "two")).alias("block")).distinct(), "block", "left_semi")
+    rows = rows.join(texts, "id").join(sides, "block")
+    rows = rows.select("one", "two", "block", "id", "component", "signature", "packed")
+    ordered = rows.repartition("one", "two").sortWithinPartitions("one", "two", "block", "id")
+    return ordered.mapInArrow(check, "a long, b long")
 
 
 def _closed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
@@ -221,21 +317,37 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         full.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature")), "classes"
     )
     keys = chunk_keys(classes)
-    met = keys.groupBy("key").agg(F.min("id").alias("center"), F.max("id").alias("last")).where("center < last")
-    shared = stored(keys.join(met.select("key", "center"), "key"), "shared")
-    votes = shared.where("id <> center").groupBy("id", "center").agg(F.count(F.lit(1)).alias("n"))
+    sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = stored(keys.join(sizes, "key"), "shared")
+    # The member that meets most others under its keys is what near copies were made from, if anything is.
+    weights = shared.groupBy("id").agg(F.sum("n").alias("weight"))
+    met = shared.select("key", "id").join(weights, "id")
+    centers = met.groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("c"))).alias("best"))
+    centers = centers.select("key", (-F.col("best.c")).alias("center"))
+    votes = shared.join(centers, "key").where("id <> center").groupBy("id", "center").agg(F.count(F.lit(1)).alias("n"))
     chosen = votes.groupBy("id").agg(F.max(F.struct("n", (-F.col("center")).alias("c"))).alias("best"))
-    pairs = chosen.select(F.col("id").alias("a"), (-F.col("best.c")).alias("b"))
+    pairs = stored(chosen.select(F.col("id").alias("a"), (-F.col("best.c")).alias("b")), "pairs")
     linked = stored(confirm(pairs, docs, size, percent), "links")
     first = components(linked)
 
-    # Keys whose members are not all in one component yet.
-    parts = shared.select("key", "id").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    parts = stored(parts, "parts")
-    split = parts.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    members = parts.join(split.select("key"), "key").join(classes.select("id", "signature"), "id")
-    rest = stored(cross_pairs(members), "pairs").join(pairs, ["a", "b"], "left_anti")
-    more = confirm(rest, docs, size, percent)
+    # Keys whose members are not all in one component yet, in blocks of what had the same center.
+    parts = weights.select("id").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    parts = stored(parts.join(pairs.select(F.col("a").alias("id"), F.col("b").alias("home")), "id", "left"), "parts")
+    parts = parts.withColumn("home", F.coalesce("home", "id"))
+    joined = shared.select("key", "id").join(parts.select("id", "component"), "id")
+    split = joined.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    split = stored(split.where("low < high").select("key"), "split")
+    held = parts.groupBy("component").agg(F.count(F.lit(1)).alias("held"))
+    sized = parts.join(held, "component").withColumn("settled", F.when(F.col("held") > 1, F.col("component")))
+    groups = sized.groupBy("home", "settled").agg(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS).alias("blocks"))
+    groups = groups.select(F.col("home").alias("g_home"), F.col("settled").alias("g_settled"), "blocks")
+    same = (F.col("home") == F.col("g_home")) & F.col("settled").eqNullSafe(F.col("g_settled"))
+    placed = sized.join(groups, same).withColumn("slot", F.pmod(F.xxhash64("id"), "blocks"))
+    placed = placed.withColumn("block", F.xxhash64("home", "settled", "slot"))
+    placed = stored(placed.join(classes.select("id", "signature"), "id").select("id", "component", "block", "signature"), "placed")
+    members = shared.select("key", "id").join(split, "key").join(placed, "id")
+    blocks = stored(block_pairs(members), "blocks")
+    more = confirm_blocks(blocks, placed, docs, size, percent)
     one, two = (first.select(F.col("id").alias(c), F.col("component").alias(f"{c}_part")) for c in "ab")
     merged = more.join(one, "a", "left").join(two, "b", "left")
     merged = merged.select(F.coalesce("a_part", "a").alias("a"), F.coalesce("b_part", "b").alias("b"))
