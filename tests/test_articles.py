@@ -4,7 +4,8 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tidings.operators import summarize_articles
+from tidings.operators import article_lists, articles_in_one_row, summarize_articles
+from tidings.operators.articles import DEFAULT_MAX_ITEMS, LIST_COLUMNS, SCALAR_COLUMNS
 
 SCHEMA = (
     "GLOBALEVENTID string, SQLDATE string, SOURCEURL string, GoldsteinScale string, AvgTone string, "
@@ -63,80 +64,102 @@ def _expected(events):
     }
 
 
-def _merged(summary):
-    """Rows of one article put together; its scalars must agree on all of them."""
-    merged = {}
+def _scalars(summary):
+    rows = {}
     for row in summary.collect():
         means = [None if row[m] is None else round(row[m], 9) for m in ("GoldsteinMean", "AvgToneMean")]
-        scalars = (row.FirstEventDate, row.EventCount, *means)
+        assert row.SOURCEURL not in rows
+        rows[row.SOURCEURL] = (row.FirstEventDate, row.EventCount, *means)
+    return rows
+
+
+def _lists(summary):
+    """Rows of one article put together."""
+    merged = {}
+    for row in summary.collect():
         lists = [
             Counter(row.EventIDs),
             Counter(row.EventDescriptions),
             Counter(tuple(p) for p in row.ActorPairs),
             Counter(tuple(p) for p in row.GeoPairs),
         ]
-        if row.SOURCEURL in merged:
-            before, sums = merged[row.SOURCEURL]
-            assert before == scalars
-            lists = [a + b for a, b in zip(sums, lists)]
-        merged[row.SOURCEURL] = (scalars, lists)
-    return {url: (*scalars, *lists) for url, (scalars, lists) in merged.items()}
+        before = merged.get(row.SOURCEURL, [Counter()] * 4)
+        merged[row.SOURCEURL] = [a + b for a, b in zip(before, lists)]
+    return {url: tuple(lists) for url, lists in merged.items()}
 
 
 URLS = ["u1", "u2", "u3", None] + ["hot"] * 12
 
 
-@pytest.mark.parametrize("max_items", [None, 10_000, 20, 3])
-def test_summary_equals_brute_force(spark, max_items):
+def _events(spark):
     events = _random_events(7, URLS, 400) + [("copy", "20240105", "hot", "1", "1", "d", "x", "y", "z", "w")] * 150
-    df = spark.createDataFrame(events, SCHEMA).repartition(5)
-    summary = summarize_articles(df, max_items=max_items)
+    return events, spark.createDataFrame(events, SCHEMA).repartition(5)
+
+
+def test_scalars_equal_brute_force(spark):
+    events, df = _events(spark)
+    summary = summarize_articles(df)
+    assert summary.columns == SCALAR_COLUMNS
+    assert _scalars(summary) == {url: row[:4] for url, row in _expected(events).items()}
+
+
+@pytest.mark.parametrize("max_items", [DEFAULT_MAX_ITEMS, 20, 3, 1])
+def test_lists_equal_brute_force(spark, max_items):
+    """The same columns and grain at every bound; rows never longer than it, all but the last full."""
+    events, df = _events(spark)
+    lists = article_lists(df, max_items)
+    assert lists.columns == ["SOURCEURL", "part", *LIST_COLUMNS]
+    assert _lists(lists) == {url: row[4:] for url, row in _expected(events).items()}
+    sizes = defaultdict(dict)
+    for r in lists.collect():
+        assert r.part not in sizes[r.SOURCEURL]
+        sizes[r.SOURCEURL][r.part] = len(r.ActorPairs)
+    totals = Counter(e[2] for e in events)
+    for url, parts in sizes.items():
+        last = max(parts)
+        assert sorted(parts) == list(range(last + 1)) and sum(parts.values()) == totals[url]
+        assert all(n == max_items for part, n in parts.items() if part < last) and 0 < parts[last] <= max_items
+
+
+def test_one_row_equals_brute_force(spark):
+    events, df = _events(spark)
+    summary = articles_in_one_row(df)
     assert summary.columns == COLUMNS
-    assert _merged(summary) == _expected(events)
-    rows = Counter(r.SOURCEURL for r in summary.select("SOURCEURL").collect())
-    if max_items in (None, 10_000):
-        assert set(rows.values()) == {1}
-    else:
-        assert rows["hot"] > 5
-
-
-def test_hot_null_address_is_split(spark):
-    events = _random_events(3, ["u1", None, None, None], 300)
-    summary = summarize_articles(spark.createDataFrame(events, SCHEMA), max_items=15, part_column="part")
-    assert summary.columns == [*COLUMNS, "part"]
-    assert _merged(summary) == _expected(events)
-    parts = [(r.SOURCEURL, r.part) for r in summary.collect()]
-    assert len(set(parts)) == len(parts)
+    expected = _expected(events)
+    assert _scalars(summary) == {url: row[:4] for url, row in expected.items()}
+    assert _lists(summary) == {url: row[4:] for url, row in expected.items()}
 
 
-def test_rows_stay_bounded(spark):
-    """A hot article of copies of one event and of distinct events: no row far above the bound."""
-    copies = [("copy", "20240105", "hot", "1", "1", "d", "x", "y", "z", "w")] * 3000
-    others = [(str(i), "20240105", "hot", "1", "1", "d", "x", "y", "z", "w") for i in range(3000)]
-    summary = summarize_articles(spark.createDataFrame(copies + others, SCHEMA), max_items=100)
-    sizes = [r[0] for r in summary.select(F.size("EventIDs")).collect()]
-    assert sum(sizes) == 6000 and max(sizes) <= 600
+def test_grain_does_not_follow_the_data(spark):
+    """An article beyond the default bound keeps one scalar row with its whole count."""
+    big = spark.range(DEFAULT_MAX_ITEMS + 1).select(
+        F.col("id").cast("string").alias("GLOBALEVENTID"), F.lit("20240101").alias("SQLDATE"), F.lit("u").alias("SOURCEURL"),
+        *[F.lit("1").alias(c) for c in ("GoldsteinScale", "AvgTone", "Cameo_full", "Actor1Name", "Actor2Name", "Actor1Geo_FullName", "Actor2Geo_FullName")],
+    )
+    assert [r.EventCount for r in summarize_articles(big).collect()] == [DEFAULT_MAX_ITEMS + 1]
+    assert sorted((r.part, len(r.EventIDs)) for r in article_lists(big).collect()) == [(0, DEFAULT_MAX_ITEMS), (1, 1)]
 
 
 def test_copies_collapse_before_the_shuffle(spark):
     events = [("copy", "20240105", "hot", "1", "1", "d", "x", "y", "z", "w")] * 2000
-    summary = summarize_articles(spark.createDataFrame(events, SCHEMA), max_items=50)
-    assert sum(r[0] for r in summary.select(F.size("EventIDs")).collect()) == 2000
+    lists = article_lists(spark.createDataFrame(events, SCHEMA), 50)
+    assert sorted(r[0] for r in lists.select(F.size("EventIDs")).collect()) == [50] * 40
 
 
 def test_lists_share_one_order(spark):
     events = [
         (str(i), "20240101", "u", "1", "1", f"d{i}", f"a{i}", f"b{i}", f"p{i}", f"q{i}") for i in (3, 1, 2, 5, 4)
     ]
-    row = summarize_articles(spark.createDataFrame(events, SCHEMA)).first()
-    assert row.EventIDs == ["1", "2", "3", "4", "5"]
-    assert row.EventDescriptions == [f"d{i}" for i in range(1, 6)]
-    assert [p.Actor1Name for p in row.ActorPairs] == [f"a{i}" for i in range(1, 6)]
-    assert [p.Actor2Geo_FullName for p in row.GeoPairs] == [f"q{i}" for i in range(1, 6)]
+    df = spark.createDataFrame(events, SCHEMA)
+    for row in (articles_in_one_row(df).first(), article_lists(df).first()):
+        assert row.EventIDs == ["1", "2", "3", "4", "5"]
+        assert row.EventDescriptions == [f"d{i}" for i in range(1, 6)]
+        assert [p.Actor1Name for p in row.ActorPairs] == [f"a{i}" for i in range(1, 6)]
+        assert [p.Actor2Geo_FullName for p in row.GeoPairs] == [f"q{i}" for i in range(1, 6)]
 
 
 def test_schema(spark):
-    types = dict(summarize_articles(spark.createDataFrame([], SCHEMA)).dtypes)
+    types = dict(articles_in_one_row(spark.createDataFrame([], SCHEMA)).dtypes)
     assert types["EventCount"] == "bigint" and types["GoldsteinMean"] == "double"
     assert types["EventIDs"] == types["EventDescriptions"] == "array<string>"
     assert types["ActorPairs"] == "array<struct<Actor1Name:string,Actor2Name:string>>"

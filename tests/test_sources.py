@@ -1,3 +1,4 @@
+import io
 import json
 import os
 import random
@@ -22,7 +23,9 @@ from tidings.sources import (
     read_manual_lookup,
     read_official_lookup,
     read_table,
+    whole_lines,
 )
+from tidings.sources.fetch import body_blocks
 
 
 def _line(*cells, width=58):
@@ -149,18 +152,20 @@ def test_archives(spark, tmp_path):
     _landing(tmp_path)
     lines = expand_archives(spark, str(tmp_path))
     status = {(os.path.basename(r.archive)[:8], r.status): r.lines for r in archive_status(lines).collect()}
+    partly = status["20240106", "BAD_ZIP"]
     assert status == {
         ("20240101", "OK"): 6,
         ("20240102", "OK"): 2,
         ("20240104", "OK"): 0,
         ("20240105", "BAD_ZIP"): 0,
-        ("20240106", "BAD_ZIP"): 0,
+        ("20240106", "BAD_ZIP"): partly,
     }
-    events = archive_events(lines, file_date_column="file_date")
+    assert partly < 5000
+    events = archive_events(whole_lines(lines), file_date_column="file_date")
     assert events.columns == [*RAW_COLUMNS, "file_date"]
     got = sorted((r[0], r[1], r[2], r.file_date.day) for r in events.collect())
     assert got == [
-        ("010", "y", None, 1), ("1", '"q', "x", 1), ("2", "z", None, 1), ("3", None, None, 2), ("4", None, None, 3),
+        ("010", "y", None, 1), ("1", '"q', "x", 1), ("2", "z", None, 1), ("3", None, None, 2), ("4", None, None, 2),
     ]
     assert sorted(os.listdir(tmp_path))[0] == "20240101.export.CSV.zip"
 
@@ -205,6 +210,27 @@ def test_any_text_survives(spark, tmp_path):
     assert sorted(read_events(spark, written, columns).collect()) == sorted(rows)
 
 
+class _Response:
+    """What a server sent, and the length that it announced."""
+
+    def __init__(self, body, announced):
+        self.headers = {} if announced is None else {"Content-Length": str(announced)}
+        self._body = io.BytesIO(body)
+
+    def read(self, n):
+        return self._body.read(n)
+
+
+def test_short_bodies_are_errors():
+    body = b"x" * 20_000
+    assert b"".join(body_blocks(_Response(body, 20_000))) == body
+    assert b"".join(body_blocks(_Response(body, None))) == body
+    with pytest.raises(ConnectionError):
+        list(body_blocks(_Response(body, 20_001)))
+    with pytest.raises(ConnectionError):
+        list(body_blocks(_Response(b"", 5)))
+
+
 def _fetch(url):
     name = url.rsplit("/", 1)[1]
     failures = {

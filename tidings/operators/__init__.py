@@ -1,7 +1,7 @@
 """Operators: DataFrame in, DataFrame out."""
 
 from tidings.operators.actions import add_actions
-from tidings.operators.articles import summarize_articles
+from tidings.operators.articles import article_lists, articles_in_one_row, summarize_articles
 from tidings.operators.chunks import plan_chunks
 from tidings.operators.columns import select_existing
 from tidings.operators.lookups import SizedLookup, left_lookup, size_lookup
@@ -14,6 +14,8 @@ __all__ = [
     "SizedLookup",
     "add_actions",
     "add_publisher",
+    "article_lists",
+    "articles_in_one_row",
     "download_plan",
     "filter_terms",
     "in_date_range",

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidings.functions import root_code
-from tidings.operators.lookups import DEFAULT_SALTS, SizedLookup, left_lookup
+from tidings.operators.lookups import SizedLookup, left_lookup
 
 log = logging.getLogger(__name__)
 
 
-def add_actions(df: DataFrame, dictionary: SizedLookup, salts: int = DEFAULT_SALTS) -> DataFrame:
+def add_actions(df: DataFrame, dictionary: SizedLookup) -> DataFrame:
     """Append ``Cameo`` (description of the root code) and ``Cameo_full`` (of the whole code).
 
     ``dictionary`` has one row per ``code`` with its ``description``. Codes that are NULL or
@@ -26,5 +26,5 @@ def add_actions(df: DataFrame, dictionary: SizedLookup, salts: int = DEFAULT_SAL
     described = df.select(*kept)
     for key, name in ((root_code("EventCode"), "Cameo"), (F.col("EventCode"), "Cameo_full")):
         named = dictionary.named(**{"_code": "code", name: "description"})
-        described = left_lookup(described, named, key, "_code", salts)
+        described = left_lookup(described, named, key, "_code")
     return described.select(*kept, "Cameo", "Cameo_full")

@@ -1,24 +1,28 @@
-"""Per-article summary of events.
-
-One article may carry a third of all events, and an array with all of them fits no task.
-So events are counted per hash of the address first: a partial aggregation over a single
-column that shuffles one pair of numbers per task and article. Without a hash above the
-bound the summary is a single aggregation. Otherwise the events of those articles are set
-apart and their lists laid out over several rows of about ``max_items`` events each, while
-their scalar columns, which combine before the shuffle, stay complete on every such row.
+"""Per-article summaries of events.
+
+Three results, none of which changes its grain with the data. ``summarize_articles`` has one row
+per article with its scalars: they combine before the shuffle, so an article of any size is one
+small row. ``article_lists`` has the events of an article in numbered rows of a bounded length.
+``articles_in_one_row`` puts scalars and whole lists into one row per article, for articles whose
+lists fit a task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidings.operators.lookups import DEFAULT_SALTS, left_lookup, size_lookup
-
 DEFAULT_MAX_ITEMS = 50_000
+#: Ranges of hash values in which the events of one article are numbered side by side.
+RUNS = 1024
 
-_SCALARS = ["FirstEventDate", "EventCount", "GoldsteinMean", "AvgToneMean"]
-_PART = "_part"
+# Names of the summary columns, in output order.
+SCALAR_COLUMNS = ["SOURCEURL", "FirstEventDate", "EventCount", "GoldsteinMean", "AvgToneMean"]
+LIST_COLUMNS = ["EventIDs", "EventDescriptions", "ActorPairs", "GeoPairs"]
+ARTICLE_COLUMNS = [
+    "SOURCEURL", "FirstEventDate", "EventCount", "EventIDs", "GoldsteinMean", "AvgToneMean", "EventDescriptions",
+    "ActorPairs", "GeoPairs",
+]
 
 
 def _statistics() -> list[Column]:
@@ -39,77 +43,61 @@ def _item() -> Column:
     )
 
 
-def _lay_out(grouped: DataFrame, part_column: str | None) -> DataFrame:
-    """Split the sorted ``items`` into the list columns; NULL ids and descriptions are left out."""
-    return grouped.select(
-        "SOURCEURL",
-        "FirstEventDate",
-        "EventCount",
+def _lists() -> list[Column]:
+    """List columns of sorted ``items``; NULL ids and descriptions are left out of theirs."""
+    return [
         F.array_compact("items.id").alias("EventIDs"),
-        "GoldsteinMean",
-        "AvgToneMean",
         F.array_compact("items.description").alias("EventDescriptions"),
         F.col("items.actors").alias("ActorPairs"),
         F.col("items.places").alias("GeoPairs"),
-        *([F.col(_PART).alias(part_column)] if part_column else []),
-    )
+    ]
 
 
-def _in_one_row(events: DataFrame) -> DataFrame:
-    items = F.sort_array(F.collect_list(_item())).alias("items")
-    return events.groupBy("SOURCEURL").agg(*_statistics(), items).withColumn(_PART, F.lit(0).cast("long"))
+def summarize_articles(events: DataFrame) -> DataFrame:
+    """One row per ``SOURCEURL``: first date, number of events with an id, and mean scores.
+
+    ``FirstEventDate`` is the smallest ``SQLDATE``. NULL addresses form one group; scores that
+    are not numbers do not enter the means.
+    """
+    return events.groupBy("SOURCEURL").agg(*_statistics())
+
 
+def article_lists(events: DataFrame, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
+    """The lists of every article, in rows (``SOURCEURL``, ``part``) of at most ``max_items`` events.
 
-def _in_parts(events: DataFrame, max_items: int, salts: int) -> DataFrame:
-    totals = events.groupBy("SOURCEURL").agg(F.count("*").alias("events"), *_statistics())
-    articles = size_lookup(totals.withColumnRenamed("SOURCEURL", "url"), keep=True)
-    # Exact copies of an event share every hash. They are counted before the shuffle, and a
-    # large count is cut into pieces that can be told apart.
+    ``part`` counts from 0, and every part but an article's last is full. The lists of a row share
+    one order, ascending by event id; parts are not ordered among each other. No event is
+    dropped, copies included.
+
+    Copies are counted before the shuffle. Distinct events are numbered in ranges of hash values,
+    many for a large article, each range continuing where those before it end.
+    """
     copies = events.groupBy("SOURCEURL", _item().alias("item")).agg(F.count("*").alias("copies"))
-    pieces = copies.select(
-        "SOURCEURL",
-        "item",
-        "copies",
-        F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / max_items))).alias("piece"),
-    ).withColumn("repeats", F.least(F.lit(max_items), F.col("copies") - F.col("piece") * max_items))
-    counted = left_lookup(pieces, articles, F.col("SOURCEURL"), "url", salts, null_safe=True)
-    parts = F.ceil(F.col("events") / max_items)
-    placed = counted.withColumn(_PART, F.pmod(F.xxhash64("item", "piece"), parts))
-    repeated = F.array_repeat("item", F.col("repeats").cast("int"))
-    return placed.groupBy("SOURCEURL", _PART).agg(
-        *[F.max(name).alias(name) for name in _SCALARS],
-        F.sort_array(F.flatten(F.collect_list(repeated))).alias("items"),
+    runs = copies.withColumn("run", F.pmod(F.xxhash64("item"), F.lit(RUNS)).cast("int"))
+    earlier_runs = Window.partitionBy("SOURCEURL").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    totals = runs.groupBy("SOURCEURL", "run").agg(F.sum("copies").alias("n"))
+    before = totals.select(
+        F.col("SOURCEURL").alias("url"), F.col("run").alias("own_run"), F.coalesce(F.sum("n").over(earlier_runs), F.lit(0)).alias("before")
     )
+    earlier = Window.partitionBy("SOURCEURL", "run").orderBy("item").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = runs.withColumn("ahead", F.coalesce(F.sum("copies").over(earlier), F.lit(0)))
+    same = F.col("SOURCEURL").eqNullSafe(F.col("url")) & (F.col("run") == F.col("own_run"))
+    first = F.col("before") + F.col("ahead")
+    placed = numbered.join(before, same).select("SOURCEURL", "item", first.alias("first"), (first + F.col("copies")).alias("end"))
+    parts = placed.select(
+        "*", F.explode(F.sequence(F.floor(F.col("first") / max_items), F.floor((F.col("end") - 1) / max_items))).alias("part")
+    )
+    low, high = F.greatest("first", F.col("part") * max_items), F.least("end", (F.col("part") + 1) * max_items)
+    repeated = F.array_repeat("item", (high - low).cast("int"))
+    grouped = parts.groupBy("SOURCEURL", "part").agg(F.sort_array(F.flatten(F.collect_list(repeated))).alias("items"))
+    return grouped.select("SOURCEURL", "part", *_lists())
 
 
-def summarize_articles(
-    events: DataFrame,
-    max_items: int | None = DEFAULT_MAX_ITEMS,
-    part_column: str | None = None,
-    salts: int = DEFAULT_SALTS,
-) -> DataFrame:
-    """One row per ``SOURCEURL`` with its first date, event count, mean scores and lists.
-
-    ``FirstEventDate`` is the smallest ``SQLDATE``. The lists of a row share one order
-    (ascending by event id), and NULL ids and descriptions are left out of theirs. NULL
-    addresses form one group; scores that are not numbers do not enter the means.
+def articles_in_one_row(events: DataFrame) -> DataFrame:
+    """One row per ``SOURCEURL`` with scalars and whole lists, however long they are.
 
-    An article with more than ``max_items`` events takes several rows: each repeats the
-    scalars of the whole article and holds a share of the lists, numbered in
-    ``part_column`` if one is named (0 for every other article). ``max_items=None`` never
-    splits and needs no counting pass.
+    An explicit choice: all events of an article meet in one task and must fit an array. Use
+    :func:`summarize_articles` and :func:`article_lists` where articles are not known to be small.
     """
-    if max_items is None:
-        return _lay_out(_in_one_row(events), part_column)
-
-    address = F.xxhash64("SOURCEURL")
-    counts = events.groupBy(address.alias("address")).agg(F.count("*").alias("events"))
-    large = counts.filter(F.col("events") > max_items).select("address", F.lit(True).alias("_large"))
-    marks = size_lookup(large, keep=True)
-    if not marks.rows:
-        return _lay_out(_in_one_row(events), part_column)
-
-    marked = left_lookup(events, marks, address, "address", salts)
-    ordinary = _in_one_row(marked.filter(F.col("_large").isNull()))
-    split = _in_parts(marked.filter(F.col("_large").isNotNull()), max_items, salts)
-    return _lay_out(ordinary.unionByName(split), part_column)
+    items = F.sort_array(F.collect_list(_item())).alias("items")
+    return events.groupBy("SOURCEURL").agg(*_statistics(), items).select("*", *_lists()).select(*ARTICLE_COLUMNS)

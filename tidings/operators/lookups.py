@@ -1,12 +1,9 @@
 """Left lookups whose join strategy follows from the measured size of the lookup.
 
-A lookup is measured once per job. Within the bound it is broadcast, so the (huge) other
-side is never shuffled. Beyond it both sides are shuffled on the key plus a salt: rows of
-one hot key are spread over ``salts`` partitions by a hash of their content, and the lookup
-is repeated once per salt. The salt depends on row content only, so a task that is retried
-on another executor sends every row to the same partition again. Whole-row copies would
-share a salt: a row with very many copies is reduced to counted pieces before the shuffle
-and repeated after the join.
+A lookup is measured once per job. Within the bound it is broadcast, so the (huge) other side is
+never shuffled. Beyond it both sides are shuffled once, on the key, and Spark divides the
+partitions of hot keys while the join runs: it cuts them by map output, so exact copies of a row
+are spread as well.
 """
 
 from __future__ import annotations
@@ -15,14 +12,11 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, VariantType
 
-from tidings.shared import checkpoint_folder, settled
+from tidings.shared import settled
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
-DEFAULT_SALTS = 16
-MAX_COPIES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -58,7 +52,7 @@ def size_lookup(
     """
     width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
     measures = [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")]
-    if keep and checkpoint_folder(df.sparkSession):
+    if keep:
         seen = Observation()
         df = settled(df.observe(seen, *measures))
         size = seen.get
@@ -67,58 +61,13 @@ def size_lookup(
     return SizedLookup(df, size["rows"], size["bytes"], max_rows, max_bytes)
 
 
-def _salted_join(df: DataFrame, right: DataFrame, same_key: Column, content: list[str], salts: int) -> DataFrame:
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*content), F.lit(salts)).cast("int"))
-    replicas = right.withColumn("_lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    same_salt = F.col("_salt") == F.col("_lookup_salt")
-    joined = salted.join(replicas.hint("merge"), same_key & same_salt, "left")
-    return joined.drop("_lookup_key", "_salt", "_lookup_salt")
-
-
-def _counted_pieces(df: DataFrame, max_copies: int) -> DataFrame:
-    """Distinct rows of ``df`` in numbered pieces that stand for at most ``max_copies`` copies."""
-    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
-    last = F.floor((F.col("_copies") - 1) / max_copies)
-    pieces = counted.withColumn("_piece", F.explode(F.sequence(F.lit(0), last)))
-    repeats = F.least(F.lit(max_copies), F.col("_copies") - F.col("_piece") * max_copies)
-    return pieces.withColumn("_repeats", repeats.cast("int")).drop("_copies")
-
-
-def left_lookup(
-    df: DataFrame,
-    lookup: SizedLookup,
-    key: Column,
-    lookup_key: str,
-    salts: int = DEFAULT_SALTS,
-    null_safe: bool = False,
-    max_copies: int = MAX_COPIES,
-) -> DataFrame:
+def left_lookup(df: DataFrame, lookup: SizedLookup, key: Column, lookup_key: str, null_safe: bool = False) -> DataFrame:
     """``df`` left-joined with ``lookup`` on ``key = lookup_key``; the lookup key is dropped.
 
     A key with several lookup rows multiplies the rows of ``df``; a key without any keeps
-    them once with NULLs. ``null_safe`` lets a NULL key meet a NULL lookup key. A shuffled
-    join first counts the rows per content hash and sets apart those with more than
-    ``max_copies`` copies.
+    them once with NULLs. ``null_safe`` lets a NULL key meet a NULL lookup key. Lazy: no job runs.
     """
     right = lookup.df.withColumnRenamed(lookup_key, "_lookup_key")
     same_key = key.eqNullSafe(F.col("_lookup_key")) if null_safe else key == F.col("_lookup_key")
-    if lookup.broadcastable:
-        return df.join(F.broadcast(right), same_key, "left").drop("_lookup_key")
-
-    # Maps can be neither hashed nor grouped.
-    content = [f.name for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
-    if content != df.columns:
-        return _salted_join(df, right, same_key, content, salts)
-    row = F.xxhash64(*content)
-    counts = df.groupBy(row.alias("_row")).agg(F.count("*").alias("copies"))
-    copied = size_lookup(counts.filter(F.col("copies") > max_copies).select("_row"), keep=True)
-    if not copied.rows:
-        return _salted_join(df, right, same_key, content, salts)
-
-    # One hash in a million rows at most, so the list stays small however large the data.
-    hot = F.broadcast(copied.df) if copied.broadcastable else copied.df
-    others = _salted_join(df.join(hot, row == F.col("_row"), "left_anti"), right, same_key, content, salts)
-    pieces = _counted_pieces(df.join(hot, row == F.col("_row"), "left_semi"), max_copies)
-    joined = _salted_join(pieces, right, same_key, [*content, "_piece"], salts)
-    repeated = joined.withColumn("_repeat", F.explode(F.sequence(F.lit(1), F.col("_repeats"))))
-    return others.unionByName(repeated.drop("_piece", "_repeats", "_repeat"))
+    joined = F.broadcast(right) if lookup.broadcastable else right.hint("merge")
+    return df.join(joined, same_key, "left").drop("_lookup_key")

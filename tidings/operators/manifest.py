@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidings.functions import file_date
 
+# Fixed value: how daily archives are named.
 ARCHIVE_SUFFIX = ".export.CSV.zip"
 
 DateLike = dt.date | str
@@ -42,9 +43,20 @@ def parse_manifest(lines: DataFrame) -> DataFrame:
 
 
 def manifest_rejects(lines: DataFrame) -> DataFrame:
-    """One row with the number of non-blank lines that ``parse_manifest`` cannot split in two."""
+    """One row that counts what ``parse_manifest`` drops or cannot read.
+
+    ``rejected``: non-blank lines that do not split in two; ``undated``: names that begin with eight
+    digits which are no date; ``unsized``: daily files whose size is not a number.
+    """
     malformed = (F.size("token") != 2) & (F.size("token") > 0)
-    return _tokens(lines).agg(F.count_if(malformed).alias("rejected"))
+    name = F.try_element_at("token", F.lit(2))
+    pair, date = F.size("token") == 2, file_date(name)
+    sized = F.try_element_at("token", F.lit(1)).try_cast("float").isNotNull()
+    return _tokens(lines).agg(
+        F.count_if(malformed).alias("rejected"),
+        F.count_if(pair & date.isNull() & F.rlike(name, F.lit(r"^[0-9]{8}\."))).alias("undated"),
+        F.count_if(pair & date.isNotNull() & ~sized).alias("unsized"),
+    )
 
 
 def _as_date(value: DateLike) -> Column:
@@ -87,6 +99,7 @@ def download_plan(
 
     The file name is rebuilt from the date and takes the place of the listed ``FileName``.
     """
+    # The names of the added columns.
     day = F.date_format("Date", "yyyyMMdd")
     name = F.concat(day, F.lit(ARCHIVE_SUFFIX))
     return in_date_range(manifest, start, end).select(

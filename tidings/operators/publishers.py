@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidings.functions import country_from_tld, domain_of
-from tidings.operators.lookups import DEFAULT_SALTS, SizedLookup, left_lookup
+from tidings.operators.lookups import SizedLookup, left_lookup
 
 UNKNOWN_COUNTRY = "Unknown"
 
@@ -30,7 +30,7 @@ def one_country_per_domain(official: DataFrame, manual: DataFrame) -> DataFrame:
     return named.groupBy("domain").agg(first.alias("country_name"))
 
 
-def add_publisher(df: DataFrame, lookup: SizedLookup, salts: int = DEFAULT_SALTS) -> DataFrame:
+def add_publisher(df: DataFrame, lookup: SizedLookup) -> DataFrame:
     """Append ``domain_name`` and ``news_source_country`` derived from ``SOURCEURL``.
 
     The country is the lookup's, else the one suggested by the top-level domain, else
@@ -39,6 +39,6 @@ def add_publisher(df: DataFrame, lookup: SizedLookup, salts: int = DEFAULT_SALTS
     kept = [name for name in df.columns if name not in ("domain_name", "news_source_country")]
     located = df.select(*kept, domain_of("SOURCEURL").alias("domain_name"))
     countries = lookup.named(_domain="domain", _country="country_name")
-    matched = left_lookup(located, countries, F.col("domain_name"), "_domain", salts)
+    matched = left_lookup(located, countries, F.col("domain_name"), "_domain")
     country = F.coalesce("_country", country_from_tld("domain_name"), F.lit(UNKNOWN_COUNTRY))
     return matched.select(*kept, "domain_name", country.alias("news_source_country"))

@@ -1,6 +1,15 @@
 """Jobs composed of sources, operators and sinks."""
 
 from tidings.plans.enrich import enrich_events, load_actions, load_publishers
-from tidings.plans.ingest import fetch_range, ingest_archives, run_ingest
+from tidings.plans.ingest import Loaded, fetch_range, ingest_archives, ingest_files, run_ingest
 
-__all__ = ["enrich_events", "fetch_range", "ingest_archives", "load_actions", "load_publishers", "run_ingest"]
+__all__ = [
+    "Loaded",
+    "enrich_events",
+    "fetch_range",
+    "ingest_archives",
+    "ingest_files",
+    "load_actions",
+    "load_publishers",
+    "run_ingest",
+]

@@ -4,16 +4,35 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidings.functions import file_date
 from tidings.operators import SizedLookup, download_plan, plan_chunks, status_counts
 from tidings.plans.enrich import enrich_events
-from tidings.schema import KEEP_SHORT, SEARCH_COLUMNS
-from tidings.sinks import compact_table, load_table
+from tidings.schema import KEEP_SHORT, RAW_COLUMNS, SEARCH_COLUMNS
+from tidings.shared import new_folder
+from tidings.sinks import compact_table, drop_dates, load_table
 from tidings.sinks.tables import FILE_DATE
-from tidings.sources import archive_events, expand_archives, fetch_files, http_get
+from tidings.sources import archive_events, expand_archives, fetch_files, http_get, read_events
+from tidings.sources.archives import BAD_ZIP, OK
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """What a load has done: rows written, dates replaced, and damaged archives, whose dates keep
+    the rows they had. ``statuses`` counts the downloads of a whole job."""
+
+    rows: int = 0
+    dates: list[dt.date] = field(default_factory=list)
+    damaged: list[str] = field(default_factory=list)
+    statuses: DataFrame | None = None
+
+    def __add__(self, other: Loaded) -> Loaded:
+        return Loaded(self.rows + other.rows, self.dates + other.dates, self.damaged + other.damaged, self.statuses)
 
 
 def fetch_range(
@@ -28,12 +47,64 @@ def fetch_range(
 ) -> DataFrame:
     """Download the files of a date range and count them per status.
 
-    The outcome of each file is written once to ``status_path``; counts are taken from the
-    written rows, so nothing is downloaded a second time.
+    The outcomes are written once, to a folder of their own below ``status_path`` that names the
+    range, and counted from there, so nothing is downloaded a second time. Outcomes of other
+    ranges stay.
     """
     plan = download_plan(manifest, start, end, base_url, landing)
-    fetch_files(plan, fetch, tasks).write.mode("overwrite").parquet(status_path)
-    return status_counts(manifest.sparkSession.read.parquet(status_path))
+    path = f"{status_path.rstrip('/')}/range={start}_{end}"
+    fetch_files(plan, fetch, tasks).write.mode("overwrite").parquet(path)
+    return status_counts(manifest.sparkSession.read.parquet(path))
+
+
+def _landed_dates(spark: SparkSession, path: str, start: dt.date, end: dt.date) -> list[dt.date]:
+    """Dates in a range of the event files in ``path``, empty ones included, from the listing alone."""
+    context = spark.sparkContext
+    every = context._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/*")
+    found = every.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(every) or []
+    names = [name for name in (status.getPath().getName() for status in found) if name.lower().endswith(".csv")]
+    days = {day for day in _named_dates(spark, names).values() if day and start <= day <= end}
+    return sorted(days)
+
+
+def _replace(spark: SparkSession, enriched: DataFrame, table: str, dates: list[dt.date]) -> int:
+    """Put the rows of ``enriched`` in the place of all ``dates`` of ``table``; returns their number.
+
+    Dates that have no rows any more are emptied, after the write of the others has succeeded.
+    """
+    if not dates:
+        return 0
+    rows = Observation()
+    measures = [F.count(F.lit(1)).alias("rows"), F.collect_set(FILE_DATE).alias("dates")]
+    load_table(enriched.where(F.col(FILE_DATE).isin(dates)).observe(rows, *measures), table)
+    filled = set(rows.get["dates"] or [])
+    drop_dates(spark, table, [d for d in dates if d not in filled])
+    return rows.get["rows"]
+
+
+def ingest_files(
+    spark: SparkSession,
+    start: dt.date,
+    end: dt.date,
+    landing: str,
+    table: str,
+    publishers: SizedLookup,
+    actions: SizedLookup,
+    columns: Sequence[str] = KEEP_SHORT,
+    terms: Sequence[str] = (),
+    search_columns: Sequence[str] = SEARCH_COLUMNS,
+    headers: Sequence[str] = RAW_COLUMNS,
+    encoding: str = "UTF-8",
+) -> Loaded:
+    """Enrich the landed plain event files of a date range into ``table``.
+
+    ``table`` is partitioned by the date in the file's name. The dates of the range's files are
+    replaced, also by nothing; other dates stay as they are. Files without a date are not read.
+    """
+    dates = _landed_dates(spark, landing, start, end)
+    events = read_events(spark, landing, headers, encoding, FILE_DATE)
+    enriched = enrich_events(events, publishers, actions, columns, terms, search_columns, carry=[FILE_DATE])
+    return Loaded(_replace(spark, enriched, table, dates), dates)
 
 
 def ingest_archives(
@@ -47,20 +118,43 @@ def ingest_archives(
     columns: Sequence[str] = KEEP_SHORT,
     terms: Sequence[str] = (),
     search_columns: Sequence[str] = SEARCH_COLUMNS,
-) -> int:
-    """Enrich the landed archives of a date range into ``table`` and return the rows written.
+    headers: Sequence[str] = RAW_COLUMNS,
+    encoding: str = "UTF-8",
+) -> Loaded:
+    """Enrich the landed archives of a date range into ``table``.
 
-    ``table`` is partitioned by file date, and a range loaded again replaces its dates. A
-    range without events leaves it untouched. Rows are counted while they are written.
+    ``table`` is partitioned by the date in the archive's name, whatever its members are called.
+    The dates of the range's archives are replaced, also by nothing; other dates stay as they are,
+    and so does a date with a damaged archive, which is reported. Archives are read once: their
+    rows are staged in the shared folder, and taken over when it is known which were whole.
     """
-    lines = expand_archives(spark, landing, dates=(start, end))
-    events = archive_events(lines, file_date_column=FILE_DATE)
-    if events.isEmpty():
-        return 0
+    try:
+        lines = expand_archives(spark, landing, encoding, dates=(start, end))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return Loaded()  # nothing has landed yet
+    states = Observation()
+    archive = F.when(F.col("member").isNull(), F.col("archive"))
+    watched = lines.observe(
+        states,
+        F.collect_set(F.when(F.col("status") == OK, archive)).alias("whole"),
+        F.collect_set(F.when(F.col("status") == BAD_ZIP, archive)).alias("damaged"),
+    )
+    events = archive_events(watched, headers, FILE_DATE)
+    staged = new_folder(spark, "staged")
     enriched = enrich_events(events, publishers, actions, columns, terms, search_columns, carry=[FILE_DATE])
-    rows = Observation()
-    load_table(enriched.observe(rows, F.count(F.lit(1)).alias("rows")), table)
-    return rows.get["rows"]
+    enriched.write.partitionBy(FILE_DATE).parquet(staged)
+    whole, damaged = (_named_dates(spark, states.get[k] or []) for k in ("whole", "damaged"))
+    dates = sorted(set(whole.values()) - set(damaged.values()))
+    names = sorted(path.rsplit("/", 1)[1] for path in damaged)
+    rows = spark.read.schema(enriched.schema).parquet(staged)
+    return Loaded(_replace(spark, rows, table, dates), dates, names)
+
+
+def _named_dates(spark: SparkSession, paths: list[str]) -> dict[str, dt.date]:
+    named = spark.createDataFrame([(p,) for p in paths], "path string")
+    return {r["path"]: r["day"] for r in named.select("path", file_date(F.substring_index("path", "/", -1)).alias("day")).collect()}
 
 
 def run_ingest(
@@ -77,33 +171,36 @@ def run_ingest(
     columns: Sequence[str] = KEEP_SHORT,
     terms: Sequence[str] = (),
     search_columns: Sequence[str] = SEARCH_COLUMNS,
+    headers: Sequence[str] = RAW_COLUMNS,
+    encoding: str = "UTF-8",
     compacted: str | None = None,
     num_files: int | None = None,
     chunk_days: int | None = None,
     download_only: bool = False,
     fetch: Callable[[str], Iterable[bytes]] = http_get,
     tasks: int | None = None,
-) -> DataFrame:
-    """Fetch, enrich, store and optionally compact a date range; returns the status counts.
+) -> Loaded:
+    """Fetch, enrich, store and optionally compact a date range.
 
-    The range is fetched and loaded as a whole, which lets Spark spread all files at once.
+    Returns the counts by download status, the rows stored, the dates replaced and the damaged
+    archives. The range is fetched and loaded as a whole, which lets Spark spread all files at once.
     ``chunk_days`` loads it window by window instead, for a landing area read in turns. The
     compact copy has ``num_files`` files, or stays partitioned by file date if none is given.
     """
     if start > end:
         raise ValueError("the start date cannot be after the end date")
-    statuses = fetch_range(manifest, start, end, base_url, landing, status_path, fetch, tasks)
+    result = Loaded(statuses=fetch_range(manifest, start, end, base_url, landing, status_path, fetch, tasks))
     if download_only:
-        return statuses
+        return result
     windows = [(start, end)]
     if chunk_days:
         bounds = spark.createDataFrame([(start, end)], "start_date date, end_date date")
         chunks = plan_chunks(bounds, chunk_days).orderBy("chunk").select("chunk_start", "chunk_end")
         windows = [tuple(row) for row in chunks.collect()]
     for first, last in windows:
-        ingest_archives(
-            spark, first, last, landing, table, publishers, actions, columns, terms, search_columns
+        result += ingest_archives(
+            spark, first, last, landing, table, publishers, actions, columns, terms, search_columns, headers, encoding
         )
-    if compacted:
+    if compacted and result.dates:
         compact_table(spark, table, compacted, num_files, by=None if num_files else FILE_DATE)
-    return statuses
+    return result

@@ -1,5 +1,5 @@
 """Sinks: DataFrames to stored tables."""
 
-from tidings.sinks.tables import append_table, compact_table, load_table, write_events
+from tidings.sinks.tables import append_table, compact_table, drop_dates, load_table, write_events
 
-__all__ = ["append_table", "compact_table", "load_table", "write_events"]
+__all__ = ["append_table", "compact_table", "drop_dates", "load_table", "write_events"]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
@@ -24,14 +27,22 @@ def append_table(df: DataFrame, path: str) -> None:
 
 
 def load_table(df: DataFrame, path: str, by: str = FILE_DATE) -> None:
-    """Write Parquet partitioned by file date, replacing the dates that ``df`` contains.
+    """Write Parquet partitioned by file date, replacing the dates that ``df`` has rows of.
 
-    Loading the same files again leaves the table as it was. Rows are written by the tasks
+    Dates without rows stay as they are (see :func:`drop_dates`), so ``by`` must not be NULL. Rows are written by the tasks
     that hold them, without a shuffle by date, so a very large day is written in parallel.
     """
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
+def drop_dates(spark: SparkSession, path: str, dates: Iterable[dt.date], by: str = FILE_DATE) -> None:
+    """Remove the partitions of ``dates`` from a table of :func:`load_table`; absent ones are skipped."""
+    context = spark.sparkContext
+    for date in dates:
+        folder = context._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{by}={date.isoformat()}")
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _joined(name: str, kind: DataType):
     column = F.col(name)
     if isinstance(kind, ArrayType) and isinstance(kind.elementType, StructType):
@@ -71,15 +82,16 @@ def compact_table(
     spark: SparkSession,
     origin: str,
     destination: str,
-    num_files: int | None = 1,
+    num_files: int | None = None,
     recursive: bool = False,
     shuffle: bool = False,
     fmt: str = "parquet",
     by: str | None = None,
 ) -> int:
-    """Rewrite a Parquet data set into ``num_files`` files and return its number of rows.
+    """Rewrite a Parquet data set into few files and return its number of rows.
 
-    ``num_files=None`` chooses the number from the stored size, for files of about 512 MB.
+    The number of files follows from the stored size, for files of about 512 MB; ``num_files``
+    asks for another, such as 1 for a small table.
     Without ``shuffle`` neighbouring input is merged in place, which moves no data between
     executors but cannot make more files than there are input splits. ``by`` keeps a table
     partitioned by that column instead: Spark packs each value into files of its advisory

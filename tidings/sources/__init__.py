@@ -1,6 +1,6 @@
 """Sources: files to DataFrames."""
 
-from tidings.sources.archives import archive_events, archive_status, expand_archives
+from tidings.sources.archives import archive_events, archive_status, expand_archives, whole_lines
 from tidings.sources.events import read_events, read_events_latin1
 from tidings.sources.fetch import fetch_files, http_get
 from tidings.sources.lookups import (
@@ -26,4 +26,5 @@ __all__ = [
     "read_manual_lookup",
     "read_official_lookup",
     "read_table",
+    "whole_lines",
 ]

@@ -1,8 +1,9 @@
 """Zipped event files.
 
 Spark lists the archives and packs them into tasks by size without reading their content.
-Each task streams its archives from the shared file system in blocks, so its memory does
-not grow with an archive. A zip member is one deflate stream and cannot be split further.
+Each task streams its archives from the shared file system in blocks and reads them once, so
+its memory does not grow with an archive. A zip member is one deflate stream and cannot be split
+further. Whether an archive is whole is known at its end, so its state is its last row.
 """
 
 from __future__ import annotations
@@ -30,9 +31,11 @@ def expand_archives(
 ) -> DataFrame:
     """Lines of all members of the ``*.zip`` files in ``path``: ``archive, member, line, status``.
 
-    A damaged archive contributes a single ``BAD_ZIP`` row and no lines; a member without
-    lines one row with a NULL line. Archives stay where they are. ``dates`` leaves out, by
-    file name, the archives outside an inclusive date range.
+    Rows of lines have a member. Each archive ends with one row without a member and a line: ``OK``
+    if it was read whole, ``BAD_ZIP`` if it is damaged. Lines in front of the damage come before
+    that row, and whoever stores them has to discard them (:func:`whole_lines`, or the ingest job).
+    Archives stay where they are. ``dates`` leaves out, by file name, the archives outside an
+    inclusive date range.
     """
     ok, bad = OK, BAD_ZIP
 
@@ -62,33 +65,29 @@ def expand_archives(
 
         def member_rows(archive: str, member: str, stream):
             decoder = io.IncrementalNewlineDecoder(codecs.getincrementaldecoder(encoding)("replace"), True)
-            rest, empty = "", True
+            rest = ""
             while data := stream.read(block):
                 *whole, rest = (rest + decoder.decode(data)).split("\n")
                 if whole:
-                    empty = False
                     yield rows(archive, member, whole, ok)
             rest += decoder.decode(b"", True)
-            if rest or empty:
-                yield rows(archive, member, [rest or None], ok)
+            if rest:
+                yield rows(archive, member, [rest], ok)
 
         for batch in batches:
             for archive in batch.column(0).to_pylist():
                 files, name = located(archive)
+                status = ok
                 with files.open_input_file(name) as source:
                     try:
                         contents = zipfile.ZipFile(source)
-                        # Checked before the first line leaves, so a damaged archive adds none.
-                        damaged = contents.testzip() is not None
+                        for entry in contents.infolist():
+                            if not entry.is_dir():
+                                with contents.open(entry) as stream:
+                                    yield from member_rows(archive, entry.filename, stream)
                     except damage:
-                        damaged = True
-                    if damaged:
-                        yield rows(archive, None, [None], bad)
-                        continue
-                    for entry in contents.infolist():
-                        if not entry.is_dir():
-                            with contents.open(entry) as stream:
-                                yield from member_rows(archive, entry.filename, stream)
+                        status = bad
+                yield rows(archive, None, [None], status)
 
     archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
     if dates:
@@ -96,20 +95,39 @@ def expand_archives(
     return archives.select("path").mapInArrow(lines_of, _LINES)
 
 
+def whole_lines(lines: DataFrame) -> DataFrame:
+    """``lines`` of undamaged archives only, without the rows of their states.
+
+    Reads ``lines`` twice; a job that stores them anyway takes the damaged archives from its own rows.
+    """
+    damaged = lines.filter(F.col("status") == BAD_ZIP).select("archive").distinct()
+    return lines.filter(F.col("member").isNotNull()).join(damaged, "archive", "left_anti")
+
+
 def archive_events(
-    lines: DataFrame, headers: Sequence[str] = RAW_COLUMNS, file_date_column: str | None = None
+    lines: DataFrame,
+    headers: Sequence[str] = RAW_COLUMNS,
+    file_date_column: str | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Events of expanded archives: what ``read_events`` gives for the unzipped members."""
-    name = F.substring_index("member", "/", -1)
+    """Events of expanded archives: what ``read_events`` gives for the unzipped members.
+
+    ``file_date_column`` names a column for the date in the name of the archive, by which archives
+    are also chosen; members may be named in any way. ``carry`` keeps columns of ``lines``.
+    """
+    member = F.lower(F.substring_index("member", "/", -1))
     # Text files have no rows for lines of blanks and control characters.
     filled = F.rlike("line", F.lit(r"[^\x00-\x20]"))
-    listed = lines.filter((F.col("status") == OK) & F.endswith(F.lower(name), F.lit(".csv")) & filled)
+    listed = lines.filter(F.endswith(member, F.lit(".csv")) & filled)
     columns = ", ".join(f"`{header}` string" for header in headers)
     event = F.from_csv("line", columns, {"sep": "\t", "quote": ""}).alias("event")
-    dated = [file_date(name).alias(file_date_column)] if file_date_column else []
-    return listed.select(event, *dated).select("event.*", *([file_date_column] if dated else []))
+    archive = F.substring_index("archive", "/", -1)
+    dated = [file_date(archive).alias(file_date_column)] if file_date_column else []
+    kept = [*([file_date_column] if dated else []), *carry]
+    return listed.select(event, *dated, *carry).select("event.*", *kept)
 
 
 def archive_status(lines: DataFrame) -> DataFrame:
-    """Number of lines per archive and status."""
-    return lines.groupBy("archive", "status").agg(F.count("line").alias("lines"))
+    """State of each archive and the number of lines read from it."""
+    state = F.max(F.when(F.col("member").isNull(), F.col("status"))).alias("status")
+    return lines.groupBy("archive").agg(state, F.count("line").alias("lines"))

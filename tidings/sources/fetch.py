@@ -9,12 +9,24 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 
 def http_get(url: str) -> Iterator[bytes]:
-    """Body of ``url`` in small blocks."""
+    """Body of ``url`` in small blocks; an error if it is shorter than the server announced."""
     from urllib.request import urlopen
 
     with urlopen(url, timeout=60) as response:
-        while block := response.read(8192):
-            yield block
+        yield from body_blocks(response)
+
+
+def body_blocks(response) -> Iterator[bytes]:
+    """Blocks of a response, held against its announced length.
+
+    A connection that closes early ends a read without an error, so the bytes are counted.
+    """
+    announced, received = response.headers.get("Content-Length"), 0
+    while block := response.read(8192):
+        received += len(block)
+        yield block
+    if announced is not None and received != int(announced):
+        raise ConnectionError(f"{received} of {announced} bytes received")
 
 
 def fetch_files(
@@ -23,8 +35,8 @@ def fetch_files(
     """Store each ``file_url`` at its ``local_filepath`` and append ``download_status``.
 
     Targets are paths of a file system that every worker reaches. A file appears under its
-    name only when complete, so a repeated or lost task leaves nothing partial behind. The
-    result is lazy and downloads again on each use: write it once and read the written rows.
+    name only when complete. A worker that is killed may leave a ``.part`` file, which nothing
+    reads. The result is lazy and downloads again on each use: write it once and read the written rows.
     """
 
     def store(batches: Iterator) -> Iterator:
@@ -59,6 +71,7 @@ def fetch_files(
             except Exception as error:
                 if files.get_file_info(partial).is_file:
                     files.delete_file(partial)
+                # The status texts.
                 if isinstance(error, HTTPError) and error.code != 404:
                     return f"FAILED: HTTP Error {error.code}"
                 if isinstance(error, (HTTPError, FileNotFoundError)):

@@ -153,8 +153,7 @@ def manifest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_lines(events: DataFrame) -> DataFrame:
     """Events as tab-separated lines in column ``line``."""
-    fields = [F.coalesce(name, F.lit("")) for name in events.columns]
-    return events.select(F.concat_ws("\t", *fields).alias("line"))
+    return events.select(_line(events).alias("line"))
 
 
 def write_archives(lines: DataFrame, folder: str) -> int:
@@ -183,3 +182,74 @@ def write_archives(lines: DataFrame, folder: str) -> int:
             yield pa.RecordBatch.from_arrays([pa.array([stem])], names=["archive"])
 
     return lines.mapInArrow(zipped, "archive string").count()
+
+
+def write_daily_archives(events: DataFrame, folder: str, member: str, damaged: str = "") -> None:
+    """One zip archive for each ``SQLDATE``, named after it, with all its events in ``member``.
+
+    Archives of days that end in ``damaged`` are cut short.
+    """
+    lines = events.select("SQLDATE", _line(events).alias("line"))
+
+    def zipped(day):
+        import io
+        import zipfile
+
+        import pyarrow as pa
+        from pyarrow.fs import FileSystem, LocalFileSystem
+
+        if folder.startswith("file:") or folder.startswith("/"):
+            files, base = LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
+        else:
+            files, base = FileSystem.from_uri(folder)
+        files.create_dir(base, recursive=True)
+        name = day.column("SQLDATE")[0].as_py()
+        content = io.BytesIO()
+        with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr(member, "".join(f"{line}\n" for line in day.column("line").to_pylist()))
+        data = content.getvalue()
+        if damaged and name.endswith(damaged):
+            data = data[: len(data) // 2]
+        with files.open_output_stream(f"{base}/{name}.export.CSV.zip") as out:
+            out.write(data)
+        return pa.table({"archive": [name]})
+
+    lines.groupBy("SQLDATE").applyInArrow(zipped, "archive string").count()
+
+
+def write_daily_files(events: DataFrame, folder: str) -> None:
+    """One plain event file for each ``SQLDATE``, named after it, written like the archives."""
+    lines = events.select("SQLDATE", _line(events).alias("line"))
+
+    def written(day):
+        import pyarrow as pa
+        from pyarrow.fs import FileSystem, LocalFileSystem
+
+        if folder.startswith("file:") or folder.startswith("/"):
+            files, base = LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
+        else:
+            files, base = FileSystem.from_uri(folder)
+        files.create_dir(base, recursive=True)
+        name = day.column("SQLDATE")[0].as_py()
+        with files.open_output_stream(f"{base}/{name}.export.CSV") as out:
+            out.write("".join(f"{line}\n" for line in day.column("line").to_pylist()).encode())
+        return pa.table({"file": [name]})
+
+    lines.groupBy("SQLDATE").applyInArrow(written, "file string").count()
+
+
+def _line(events: DataFrame) -> Column:
+    return F.concat_ws("\t", *[F.coalesce(name, F.lit("")) for name in events.columns])
+
+
+def read_blocks(url: str):
+    """Blocks of a published file on the shared file system, in the place of a server."""
+    from pyarrow.fs import FileSystem, LocalFileSystem
+
+    if url.startswith("file:") or url.startswith("/"):
+        files, path = LocalFileSystem(), "/" + url.removeprefix("file:").lstrip("/")
+    else:
+        files, path = FileSystem.from_uri(url)
+    with files.open_input_stream(path) as source:
+        while block := source.read(1 << 16):
+            yield block

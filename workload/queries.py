@@ -13,6 +13,8 @@ from tidings.operators import (
     SizedLookup,
     add_actions,
     add_publisher,
+    article_lists,
+    articles_in_one_row,
     download_plan,
     filter_terms,
     in_date_range,
@@ -28,7 +30,7 @@ from tidings.operators import (
     summarize_articles,
 )
 from tidings.operators.manifest import manifest_rejects
-from tidings.plans import enrich_events, fetch_range
+from tidings.plans import Loaded, enrich_events, fetch_range, ingest_archives, ingest_files, run_ingest
 from tidings.schema import KEEP_LARGE, KEEP_SHORT
 from tidings.shared import new_folder
 from tidings.sinks import append_table, compact_table, load_table, write_events
@@ -37,12 +39,14 @@ from tidings.sources import (
     archive_status,
     expand_archives,
     parse_action_codes,
+    read_action_codes,
     read_events,
     read_events_latin1,
     read_manifest,
     read_manual_lookup,
     read_official_lookup,
     read_table,
+    whole_lines,
 )
 from workload.derive import (
     action_documents,
@@ -50,8 +54,11 @@ from workload.derive import (
     lookups,
     manifest_lines,
     raw_events,
+    read_blocks,
     table,
     write_archives,
+    write_daily_archives,
+    write_daily_files,
 )
 
 RANGE = (dt.date(1996, 1, 1), dt.date(1997, 12, 31))
@@ -134,10 +141,10 @@ def country_lookup_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lookup_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A shuffled lookup of rows with many exact copies, which are counted before the shuffle."""
+    """A shuffled lookup of rows with many exact copies."""
     pages = raw_events(spark, sf_dir, "page").select("SOURCEURL", domain_of("SOURCEURL").alias("domain_name"))
     publishers = _publishers(spark, sf_dir, fan_out=True, max_rows=0)
-    return left_lookup(pages, publishers, F.col("domain_name"), "domain", max_copies=3)
+    return left_lookup(pages, publishers, F.col("domain_name"), "domain")
 
 
 def lookup_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +162,12 @@ def lookup_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def action_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_action_codes(action_documents(spark, sf_dir), "document", {"106": "Demand withdrawal"})
+    """The dictionary of all documents, written as one JSON object per file and read back with a correction."""
+    path = new_folder(spark, "codes")
+    codes = parse_action_codes(action_documents(spark, sf_dir), "document")
+    entries = codes.agg(F.map_from_entries(F.collect_list(F.struct("code", "description"))).alias("m"))
+    entries.select(F.to_json("m").alias("value")).write.text(path)
+    return read_action_codes(spark, path, {"106": "Demand withdrawal"})
 
 
 def action_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,28 +217,48 @@ def _flat(summary: DataFrame) -> DataFrame:
 
 
 def article_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(summarize_articles(_enriched(spark, sf_dir, "page")))
+    return _flat(articles_in_one_row(_enriched(spark, sf_dir, "page")))
 
 
 def article_summary_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(summarize_articles(_enriched(spark, sf_dir)))
+    return _flat(articles_in_one_row(_enriched(spark, sf_dir)))
 
 
-def article_summary_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Articles of more than ten events in several rows, put together again."""
-    summary = summarize_articles(_enriched(spark, sf_dir), max_items=10, part_column="part")
-    pairs = F.arrays_zip("EventIDs", "ActorPairs", "GeoPairs")
-    event = summary.select("SOURCEURL", "FirstEventDate", "EventCount", F.explode(pairs).alias("event"))
-    return event.select(
-        "SOURCEURL",
-        "FirstEventDate",
-        "EventCount",
-        F.col("event.EventIDs").alias("event_id"),
-        F.col("event.ActorPairs.Actor2Name").alias("actor"),
-        F.col("event.GeoPairs.Actor2Geo_FullName").alias("place"),
+def article_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scalars of every article, with their number of events over the whole result."""
+    summary = summarize_articles(_enriched(spark, sf_dir))
+    total = summary.agg(F.sum("EventCount")).scalar().alias("AllEvents")
+    return summary.select("SOURCEURL", "FirstEventDate", "EventCount", _mean("GoldsteinMean"), _mean("AvgToneMean"), total)
+
+
+def _together(lists: DataFrame) -> DataFrame:
+    """The parts of each article put together: all lists sorted, and the length of the longest part."""
+
+    def shown(name: str, *fields: str):
+        items = F.flatten(F.collect_list(name))
+        if fields:
+            items = F.transform(items, lambda p: F.concat_ws("|", *[F.coalesce(p[f], F.lit("-")) for f in fields]))
+        return F.array_join(F.array_sort(items), ";").alias(name)
+
+    return lists.groupBy("SOURCEURL").agg(
+        F.count("*").alias("parts"),
+        F.max(F.size("ActorPairs")).cast("long").alias("longest"),
+        shown("EventIDs"),
+        shown("EventDescriptions"),
+        shown("ActorPairs", "Actor1Name", "Actor2Name"),
+        shown("GeoPairs", "Actor1Geo_FullName", "Actor2Geo_FullName"),
     )
 
 
+def article_lists_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _together(article_lists(_enriched(spark, sf_dir)))
+
+
+def article_summary_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles in parts of at most ten events, put together again."""
+    return _together(article_lists(_enriched(spark, sf_dir), max_items=10))
+
+
 # Enrichment
 
 
@@ -340,13 +372,13 @@ def latin1_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The article summary as CSV, arrays joined."""
     path = new_folder(spark, "csv")
-    write_events(summarize_articles(_enriched(spark, sf_dir, "page")), path, "csv")
+    write_events(articles_in_one_row(_enriched(spark, sf_dir, "page")), path, "csv")
     columns = (
         "SOURCEURL string, FirstEventDate string, EventCount long, EventIDs string, GoldsteinMean double, "
         "AvgToneMean double, EventDescriptions string, ActorPairs string, GeoPairs string"
     )
     stored = spark.read.schema(columns).option("header", True).csv(path)
-    return stored.select("SOURCEURL", "FirstEventDate", "EventCount", "EventIDs", "ActorPairs")
+    return stored.withColumns({"GoldsteinMean": _mean("GoldsteinMean"), "AvgToneMean": _mean("AvgToneMean")})
 
 
 def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,7 +391,9 @@ def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     append_table(events.filter(~root), f"{parts}/other")
     compact_table(spark, parts, merged, num_files=None, recursive=True)
     stored = read_table(spark, merged)
-    return stored.groupBy("GLOBALEVENTID", "IsRootEvent", "SOURCEURL").agg(F.count("*").alias("copies"))
+    files = stored.select(F.input_file_name().alias("file")).distinct().count()
+    copies = stored.groupBy("GLOBALEVENTID", "IsRootEvent", "SOURCEURL").agg(F.count("*").alias("copies"))
+    return copies.withColumn("files", F.lit(files).cast("long"))
 
 
 def compaction_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -395,8 +429,122 @@ def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.groupBy("status").agg(F.sum("lines").alias("lines"))
 
 
+def archive_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of one day each, cut short on days that end in 5: events of the whole ones, by archive."""
+    folder = new_folder(spark, "archives")
+    write_daily_archives(_short_events(spark, sf_dir), folder, "events.csv", damaged="5")
+    lines = whole_lines(expand_archives(spark, folder))
+    events = archive_events(lines, KEEP_SHORT, "file_date")
+    return events.groupBy(F.date_format("file_date", "yyyyMMdd").alias("day")).agg(
+        F.count("*").alias("events"), F.countDistinct("SQLDATE").alias("dates")
+    )
+
+
+# Jobs
+
+
+def _bounds(spark: SparkSession, sf_dir: str) -> tuple[dt.date, dt.date]:
+    day = F.col("ts").cast("date")
+    return tuple(table(spark, sf_dir, "events").agg(F.min(day), F.max(day)).first())
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    stored = read_table(spark, path)
+    return stored.select("GLOBALEVENTID", "SOURCEURL", "news_source_country", F.date_format("file_date", "yyyyMMdd").alias("day"))
+
+
+def _loads(spark: SparkSession, sf_dir: str, member: str = "events.csv", damaged: str = "") -> dict:
+    folder = new_folder(spark, "landing")
+    write_daily_archives(_short_events(spark, sf_dir), folder, member, damaged)
+    return dict(
+        landing=folder, table=new_folder(spark, "table"), publishers=_publishers(spark, sf_dir), actions=_actions(spark, sf_dir),
+        headers=KEEP_SHORT,
+    )
+
+
+def ingest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives with members that carry no date, loaded window by window; the stored table."""
+    first, last = _bounds(spark, sf_dir)
+    job = _loads(spark, sf_dir)
+    while first <= last:
+        ingest_archives(spark, first, first + dt.timedelta(days=6), **job)
+        first += dt.timedelta(days=7)
+    return _stored(spark, job["table"])
+
+
+def ingest_again_with_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days loaded, then loaded again with search terms: nothing else stays, also of days without a hit."""
+    first, last = _bounds(spark, sf_dir)
+    job = _loads(spark, sf_dir)
+    ingest_archives(spark, first, last, **job)
+    ingest_archives(spark, first, last, **job, terms=["USER10 ", "user77"])
+    return _stored(spark, job["table"])
+
+
+def ingest_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days loaded; then again from archives of which some are damaged: those days keep their rows."""
+    first, last = _bounds(spark, sf_dir)
+    job = _loads(spark, sf_dir)
+    ingest_archives(spark, first, last, **job)
+    again = _loads(spark, sf_dir, damaged="5") | {"table": job["table"]}
+    ingest_archives(spark, first, last, **again, terms=["user7"])
+    return _stored(spark, job["table"])
+
+
+def ingest_plain_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed plain event files, one a day, loaded twice; the stored table."""
+    first, last = _bounds(spark, sf_dir)
+    job = _loads(spark, sf_dir)
+    plain = new_folder(spark, "plain")
+    write_daily_files(_short_events(spark, sf_dir), plain)
+    for _ in range(2):
+        ingest_files(spark, first, last, **(job | {"landing": plain}))
+    return _stored(spark, job["table"])
+
+
+def _whole_job(spark: SparkSession, sf_dir: str, **options) -> tuple[Loaded, str, str]:
+    """Every day of ``events`` listed in a manifest, published as archives, fetched and loaded."""
+    source, folder = new_folder(spark, "published"), new_folder(spark, "job")
+    write_daily_archives(_short_events(spark, sf_dir), source, "events.csv")
+    first, last = _bounds(spark, sf_dir)
+    days = table(spark, sf_dir, "events").select(F.date_format("ts", "yyyyMMdd").alias("day")).distinct()
+    manifest = parse_manifest(days.select(F.concat(F.lit("1000000 "), "day", F.lit(".export.CSV.zip")).alias("value")))
+    done = run_ingest(
+        spark, options.pop("start", first), options.pop("end", last), manifest, f"{source}/", f"{folder}/landing",
+        f"{folder}/status", f"{folder}/table", _publishers(spark, sf_dir), _actions(spark, sf_dir), fetch=read_blocks,
+        headers=KEEP_SHORT, compacted=f"{folder}/compact", **options,
+    )
+    return done, f"{folder}/table", f"{folder}/compact"
+
+
+def job_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the whole job returns: downloads by status, rows stored and days replaced."""
+    done, _, _ = _whole_job(spark, sf_dir, chunk_days=11)
+    return done.statuses.select(
+        "download_status", "count", F.lit(done.rows).cast("long").alias("rows"), F.lit(len(done.dates)).cast("long").alias("days")
+    )
+
+
+def job_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The compact copy that the whole job leaves."""
+    return _stored(spark, _whole_job(spark, sf_dir)[2])
+
+
+def job_empty_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range without files: no downloads, and nothing stored; one row from ``events`` beside it."""
+    first, _ = _bounds(spark, sf_dir)
+    early = first - dt.timedelta(days=400)
+    done, _, _ = _whole_job(spark, sf_dir, start=early, end=early + dt.timedelta(days=5))
+    files = done.statuses.agg(F.coalesce(F.sum("count"), F.lit(0))).scalar()
+    events = table(spark, sf_dir, "events").agg(F.count("*").alias("events"))
+    return events.select("events", files.alias("files"), F.lit(done.rows).cast("long").alias("rows"))
+
+
 def fetch_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every listed day fetched once, from a publisher that lacks some days and has empty ones."""
+    """Every listed day fetched once, from a publisher that lacks some days and has empty ones.
+
+    Beside each status: its files, and how many stored files have the text that was sent.
+    """
 
     def publisher(url: str):
         day = url.rsplit("/", 1)[1][6:8]
@@ -408,9 +556,12 @@ def fetch_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     manifest = parse_manifest(manifest_lines(spark, sf_dir)).dropDuplicates(["Date"])
     folder = new_folder(spark, "fetch")
-    return fetch_range(
-        manifest, *RANGE, "http://files.example.org/", f"{folder}/landing", f"{folder}/status", publisher
-    )
+    base = "http://files.example.org/"
+    counts = fetch_range(manifest, *RANGE, base, f"{folder}/landing", f"{folder}/status", publisher)
+    files = spark.read.text(f"{folder}/landing", wholetext=True).select("value", F.col("_metadata.file_name").alias("name"))
+    right = files.where(F.concat(F.lit(base), "name") == F.col("value")).agg(F.count("*")).scalar()
+    stored = F.when(F.col("download_status") == "SUCCESS", right).otherwise(F.lit(0)).alias("stored")
+    return counts.select("download_status", "count", stored)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -437,6 +588,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         events_per_root,
         article_summary,
         article_summary_labels,
+        article_scalars,
+        article_lists_whole,
         article_summary_split,
         enrich_all,
         enrich_filtered,
@@ -459,6 +612,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         idempotent_load,
         archive_expand,
         archive_lines,
+        archive_damaged,
+        ingest_windows,
+        ingest_again_with_terms,
+        ingest_damaged,
+        ingest_plain_files,
+        job_counts,
+        job_compacted,
+        job_empty_range,
         fetch_status,
     )
 }
