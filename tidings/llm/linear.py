@@ -129,27 +129,29 @@ def present(texts: np.ndarray, keys: np.ndarray, bits: int, n: int) -> list[np.n
     return [low[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
 
-def train(rows: DataFrame, features: Features, p: Ftrl) -> Model:
-    """A model from ``rows`` (doc_id, text, label 0/1): texts of any length, nulls as empty.
+def train(docs: DataFrame, known: DataFrame, features: Features, p: Ftrl) -> Model:
+    """A model from the texts of ``docs`` (doc_id, text) whose labels are ``known`` (doc_id, label 0/1).
 
-    Rows with a null label or doc_id are left out. No rows: a model without weights, which scores
-    0 throughout. Two passes over a stored sample of about ``p.sample_rows`` rows at most. In the
+    Texts may have any length, a null text is an empty one. Of several rows of a doc_id the smallest
+    text counts. Labels without a document teach nothing. Nothing to learn from: a model without
+    weights, which scores 0 throughout. The labels are thinned out to about ``p.sample_rows`` at
+    most before they are broadcast, so only texts of the sample leave their tasks.
+
+    Two passes over the stored sample. In the
     first, shards of rows follow the leader on their own; their summed gradients and squares add
     up over the shards, and coordinates without proof in the sums get no weight. In the second one
     task fits the rest, from the sample's rows with only those coordinates.
     """
-    rows = rows.where(F.col("label").isNotNull() & F.col("doc_id").isNotNull())
-    total = rows.count()
-    if not total:
-        return Model(p.bits)
+    total = known.count()
     key = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(1 << 40))
     if total > p.sample_rows:
-        rows = rows.where(key < int((1 << 40) * p.sample_rows / total))
+        known = known.where(key < int((1 << 40) * p.sample_rows / total))
     shards = max(1, min(total, p.sample_rows) // p.shard_rows)
-    sample = stored(
-        rows.select((key % shards).alias("shard"), F.col("text").cast("string").alias("text"), F.col("label").cast("double").alias("label")),
-        "sample",
-    )
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(known), "doc_id")
+    rows = texts.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.max("label").alias("label"))
+    sample = stored(rows.select((key % shards).alias("shard"), "text", F.col("label").cast("double").alias("label")), "sample")
+    if sample.isEmpty():
+        return Model(p.bits)
     size = 1 << p.bits
 
     def read(batches: Iterable[pa.RecordBatch]) -> tuple[list[np.ndarray], np.ndarray]:
@@ -230,7 +232,7 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """doc_id, text, label of the documents that ``labels`` has; of several labels the largest."""
-    known = labels.where(F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(F.col(label)).alias("label"))
-    return docs.select("doc_id", "text").join(known, "doc_id")
+def known_labels(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label) of the rows of ``labels`` that have both; of several labels the largest."""
+    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+    return known.groupBy("doc_id").agg(F.max(F.col(label)).alias("label"))

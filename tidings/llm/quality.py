@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidings.llm.kernels import TEXT_AND_MARKS
-from tidings.llm.linear import Ftrl, Model, fold, labelled, score, train, word_features
+from tidings.llm.linear import Ftrl, Model, fold, known_labels, score, train, word_features
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.7
 PARAMETERS = Ftrl(proof=2.5)
@@ -19,8 +19,8 @@ def train_quality(docs: DataFrame, labels: DataFrame, p: Ftrl = PARAMETERS) -> M
     Only texts are features. Runs of letters and digits and runs of other marks are words of
     their own, and case matters: shouting and symbol noise are what quality is about.
     """
-    rows = labelled(docs, labels, "quality")
-    return train(rows.where(fold(F.col("doc_id"), FOLDS) != HELD_OUT), FEATURES, p)
+    known = known_labels(labels, "quality").where(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
+    return train(docs, known, FEATURES, p)
 
 
 def score_quality(docs: DataFrame, model: Model) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidings.llm.kernels import ALNUM
-from tidings.llm.linear import Ftrl, Model, fold, labelled, score, train, word_features
+from tidings.llm.linear import Ftrl, Model, fold, known_labels, score, train, word_features
 
 FOLDS, HELD_OUT, THRESHOLD = 5, 0, 0.5
 PARAMETERS = Ftrl()
@@ -19,8 +19,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, p: Ftrl = PARAMETERS) ->
     Only texts are features. Words are runs of letters and digits; the features present count,
     not how often, so that one insult weighs the same in a long text.
     """
-    rows = labelled(docs, labels, "toxic")
-    return train(rows.where(fold(F.col("doc_id"), FOLDS) != HELD_OUT), FEATURES, p)
+    known = known_labels(labels, "toxic").where(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
+    return train(docs, known, FEATURES, p)
 
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
