@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.llm.kernels import RangeHash, ragged, text_blocks
+from tidings.llm.tables import stored
 
 #: Cached segments per worker: slots of a direct-mapped table, and the ids after which it starts anew.
 SLOTS = 1 << 20
@@ -206,13 +207,12 @@ def length_report(lengths: DataFrame, column: str = "encoded_length", run: int =
     ``tokens_lost``. Between two lengths every total is linear, so these rows answer all limits.
     Null lengths count for nothing; an empty table gives no rows.
 
-    Documents meet only as counts by length. Sums over lengths run in runs of ``run`` lengths and
+    Documents meet only as counts by length, which are stored, so lengths are made once. Sums over lengths run in runs of ``run`` lengths and
     then over the runs, so that no task sorts all lengths.
     """
+    histogram = lengths.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("long").alias("encoded_length"))
     counted = (
-        lengths.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("long").alias("encoded_length"))
-        .agg(F.count(F.lit(1)).alias("n_documents"))
+        stored(histogram.agg(F.count(F.lit(1)).alias("n_documents")), "lengths")
         .withColumn("n_tokens", F.col("encoded_length") * F.col("n_documents"))
         .withColumn("run", F.floor(F.col("encoded_length") / run))
     )
