@@ -308,8 +308,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     of ``size`` words, or its whole sequence if it has fewer. Documents are linked whose sets
     overlap by ``percent`` or more. component_id is the smallest doc_id that is linked, directly or
     over others; kept says whether that is the document itself. Documents without words (null,
-    empty or blank texts) are linked with nothing. Rows of one doc_id are one document of the graph. A null
-    doc_id is linked with nothing, and kept.
+    empty or blank texts) are linked with nothing. Equal rows get equal results; rows of one doc_id
+    with different texts are judged each for itself. A null doc_id is linked with nothing, and kept.
     """
     marked = stored(sign(docs, size), "signatures")
     full = marked.where("n_shingles > 0 and doc_id is not null")

@@ -207,8 +207,8 @@ def length_report(lengths: DataFrame, column: str = "encoded_length", run: int =
     ``tokens_lost``. Between two lengths every total is linear, so these rows answer all limits.
     Null lengths count for nothing; an empty table gives no rows.
 
-    Documents meet only as counts by length, which are stored, so lengths are made once. Sums over lengths run in runs of ``run`` lengths and
-    then over the runs, so that no task sorts all lengths.
+    Documents meet only as counts by length, which are stored, so lengths are made once. Sums run
+    over runs of ``run`` lengths and then over the runs, so that no task sorts all lengths.
     """
     histogram = lengths.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("long").alias("encoded_length"))
     counted = (
