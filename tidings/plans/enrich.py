@@ -23,9 +23,10 @@ from tidings.sources import read_action_codes, read_manual_lookup, read_official
 def load_publishers(
     spark: SparkSession, official_path: str, manual_path: str, one_per_domain: bool = False
 ) -> SizedLookup:
-    """The domain lookup of both files, measured once for a whole job."""
+    """The domain lookup of both files, derived, measured and kept once for a whole job."""
     combine = one_country_per_domain if one_per_domain else publisher_lookup
-    return size_lookup(combine(read_official_lookup(spark, official_path), read_manual_lookup(spark, manual_path)))
+    pairs = combine(read_official_lookup(spark, official_path), read_manual_lookup(spark, manual_path))
+    return size_lookup(pairs, keep=True)
 
 
 def load_actions(spark: SparkSession, path: str, corrections: dict[str, str] | None = None) -> SizedLookup:
