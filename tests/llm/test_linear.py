@@ -67,3 +67,12 @@ def test_folds_follow_crc32_of_the_id_as_text(spark, folds, rest):
 
     rows = spark.range(50).select("id", fold(F.col("id"), folds).alias("f")).collect()
     assert all(r["f"] == zlib.crc32(str(r["id"]).encode()) % folds for r in rows)
+
+
+def test_evidence_spread_over_shards_adds_up(spark, make_docs):
+    texts = [f"plain own{i}" + " calm" * (i % 40 == 1) for i in range(2000)]
+    docs = make_docs([(i, text, "s") for i, text in enumerate(texts)])
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(2000)], "doc_id long, toxic int")
+    model = train_toxicity(docs, labels, Ftrl(shard_rows=50))
+    calm, plain = [r["score"] for r in score_toxicity(make_docs([(1, "calm", "s"), (2, "plain", "s")]).coalesce(1), model).collect()]
+    assert len(model.index) and calm < plain - 0.05

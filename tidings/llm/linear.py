@@ -164,7 +164,7 @@ def train(docs: DataFrame, known: DataFrame, features: Features, p: Ftrl) -> Mod
 
     def learn(table: pa.Table) -> pa.Table:
         z, n = descend(*read(table.to_batches()), p, size, 1, p.proof, 0.0)
-        told = np.flatnonzero(np.abs(z) >= 1.2)
+        told = np.flatnonzero(n[:size])
         return pa.table({"index": told, "z": z[told], "n": n[told]})
 
     summed = (
@@ -172,7 +172,7 @@ def train(docs: DataFrame, known: DataFrame, features: Features, p: Ftrl) -> Mod
         .applyInArrow(learn, "index long, z double, n double")
         .groupBy("index")
         .agg(F.sum("z").alias("z"), F.sum("n").alias("n"))
-        .where((F.abs("z") > p.proof * (p.beta + F.sqrt("n"))) & (F.col("index") < size))
+        .where(F.abs("z") > p.proof * (p.beta + F.sqrt("n")))
     )
     chosen = np.sort(summed.select("index").toArrow().column(0).to_numpy()) if p.proof else np.arange(size)
 
