@@ -76,3 +76,13 @@ def test_evidence_spread_over_shards_adds_up(spark, make_docs):
     model = train_toxicity(docs, labels, Ftrl(shard_rows=50))
     calm, plain = [r["score"] for r in score_toxicity(make_docs([(1, "calm", "s"), (2, "plain", "s")]).coalesce(1), model).collect()]
     assert len(model.index) and calm < plain - 0.05
+
+
+def test_toxicity_recall_by_language(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    scored = score_toxicity(docs, train_toxicity(docs, labels)).where("held_out").join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    rows = scored.where("toxic = 1").groupBy("lang").agg(F.sum("predicted").alias("n"), F.count("*").alias("of")).collect()
+    found = {r["lang"]: (r["n"], r["of"]) for r in rows}
+    print(found, scored.where("toxic = 0 and predicted = 1").count())
+    floors = {"en": 0.8, "fr": 0.6, "de": 0.5, "es": 0.3}
+    assert all(found[lang][0] >= floor * found[lang][1] for lang, floor in floors.items())

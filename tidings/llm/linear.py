@@ -29,10 +29,11 @@ class Ftrl:
     ``bits``: 2**bits coordinates. ``sample_rows``: about so many labelled rows are used at most
     (chosen by a hash of doc_id; all of them where there are fewer). ``shard_rows``: rows that one
     task learns from in the first pass. ``alpha``, ``beta``: the rate of a coordinate falls with
-    its own gradients as alpha / (beta + sqrt(sum of squares)). ``proof``: a coordinate gets a
+    its own gradients as alpha / (beta + sqrt(sum of squares)). ``proofs``: a coordinate gets a
     weight only if its summed gradients are so many times the root of their squares, an l1 bound
-    that scales with the coordinate's rate. ``l1``, ``l2``, ``epochs``: regularisation and passes of
-    the final fit.
+    that scales with the coordinate's rate; of several bounds, ascending, the one with the least
+    loss in ``folds`` folds of the learned rows is taken. ``l1``, ``l2``, ``epochs``: regularisation
+    and passes of a fit.
     """
 
     bits: int = 20
@@ -41,7 +42,8 @@ class Ftrl:
     epochs: int = 6
     alpha: float = 0.5
     beta: float = 1.0
-    proof: float = 3.0
+    proofs: tuple[float, ...] = (1.5, 2.0, 2.5, 3.0)
+    folds: int = 3
     l1: float = 0.5
     l2: float = 0.1
 
@@ -116,9 +118,21 @@ def fit_proven(rows: list[np.ndarray], labels: np.ndarray, p: Ftrl, size: int) -
     return w, float(-z[size] / ((p.beta + np.sqrt(n[size])) / p.alpha))
 
 
-def proven(z: np.ndarray, n: np.ndarray, p: Ftrl) -> np.ndarray:
-    """Which coordinates have gradients that chance does not explain."""
-    return np.abs(z) > p.proof * (p.beta + np.sqrt(n))
+def proven(z: np.ndarray, n: np.ndarray, proof: float, p: Ftrl) -> np.ndarray:
+    """Which coordinates have gradients that chance does not explain; all that are told for a bound of 0."""
+    return np.abs(z) > proof * (p.beta + np.sqrt(n)) if proof else n > 0
+
+
+def narrowed(rows: list[np.ndarray], kept: np.ndarray) -> list[np.ndarray]:
+    """The coordinates of ``rows`` as places among those that the mask ``kept`` has."""
+    place = np.cumsum(kept) - 1
+    return [place[row[kept[row]]] for row in rows]
+
+
+def log_loss(rows: list[np.ndarray], labels: np.ndarray, w: np.ndarray, b: float) -> float:
+    """Summed logistic loss."""
+    total = np.array([w[x].sum() for x in rows]) + b
+    return float(np.logaddexp(0, np.where(labels > 0, -total, total)).sum())
 
 
 def present(texts: np.ndarray, keys: np.ndarray, bits: int, n: int) -> list[np.ndarray]:
@@ -137,16 +151,18 @@ def train(docs: DataFrame, known: DataFrame, features: Features, p: Ftrl) -> Mod
     weights, which scores 0 throughout. The labels are thinned out to about ``p.sample_rows`` at
     most before they are broadcast, so only texts of the sample leave their tasks.
 
-    Two passes over the stored sample. In the
-    first, shards of rows follow the leader on their own; their summed gradients and squares add
-    up over the shards, and coordinates without proof in the sums get no weight. In the second one
-    task fits the rest, from the sample's rows with only those coordinates.
+    Two passes over the stored sample. In the first, shards of rows, each within one fold, follow
+    the leader on their own; their summed gradients and squares add up over the shards, and
+    coordinates without proof in the sums get no weight. In the second one task fits the rest, from
+    the sample's rows with only those coordinates. Of several bounds one is chosen before: for each
+    fold a task proves by the shards of the other folds, fits their rows, and sums the loss over its own.
     """
     total = known.count()
     key = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(1 << 40))
     if total > p.sample_rows:
         known = known.where(key < int((1 << 40) * p.sample_rows / total))
-    shards = max(1, min(total, p.sample_rows) // p.shard_rows)
+    folds = p.folds if len(p.proofs) > 1 else 1
+    shards = folds * max(1, -(-(min(total, p.sample_rows) // p.shard_rows) // folds))
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(known), "doc_id")
     rows = texts.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.max("label").alias("label"))
     sample = stored(rows.select((key % shards).alias("shard"), "text", F.col("label").cast("double").alias("label")), "sample")
@@ -162,36 +178,66 @@ def train(docs: DataFrame, known: DataFrame, features: Features, p: Ftrl) -> Mod
             labels.append(batch.column(2).to_numpy(zero_copy_only=False))
         return found, np.concatenate(labels) if labels else np.empty(0)
 
+    lowest = min(p.proofs)
+
     def learn(table: pa.Table) -> pa.Table:
-        z, n = descend(*read(table.to_batches()), p, size, 1, p.proof, 0.0)
+        z, n = descend(*read(table.to_batches()), p, size, 1, lowest, 0.0)
         told = np.flatnonzero(n[:size])
-        return pa.table({"index": told, "z": z[told], "n": n[told]})
-
-    summed = (
-        sample.groupBy("shard")
-        .applyInArrow(learn, "index long, z double, n double")
-        .groupBy("index")
-        .agg(F.sum("z").alias("z"), F.sum("n").alias("n"))
-        .where(F.abs("z") > p.proof * (p.beta + F.sqrt("n")))
-    )
-    chosen = np.sort(summed.select("index").toArrow().column(0).to_numpy()) if p.proof else np.arange(size)
+        fold = np.full(len(told), table.column(0)[0].as_py() % folds)
+        return pa.table({"fold": fold, "index": told, "z": z[told], "n": n[told]})
+
+    # Sums over all shards (0) and, of several folds, over the shards outside each (1 and up).
+    told = sample.groupBy("shard").applyInArrow(learn, "fold long, index long, z double, n double")
+    inside = [F.lit(True), *[F.col("fold") != k for k in range(folds) if folds > 1]]
+    sums = [F.sum(F.when(i, F.col(c)).otherwise(0.0)).alias(f"{c}{j}") for j, i in enumerate(inside) for c in "zn"]
+    some = F.lit(not lowest)
+    for j in range(len(inside)):
+        some |= F.abs(f"z{j}") > lowest * (p.beta + F.sqrt(f"n{j}"))
+    summed = told.groupBy("index").agg(*sums).where(some).toArrow().sort_by("index")
+    index = summed.column("index").to_numpy()
+    masks = [[proven(summed.column(f"z{j}").to_numpy(), summed.column(f"n{j}").to_numpy(), c, p) for c in p.proofs] for j in range(len(inside))]
 
     def narrow(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, labels = read([batch])
-            kept = [np.flatnonzero(np.isin(chosen, row, assume_unique=True)).astype(np.int32) for row in found]
-            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.list_(pa.int32())), pa.array(labels)], ["at", "label"])
+            kept = [np.flatnonzero(np.isin(index, row, assume_unique=True)).astype(np.int32) for row in found]
+            fold = pa.array(batch.column(0).to_numpy() % folds, pa.int64())
+            yield pa.RecordBatch.from_arrays([fold, pa.array(kept, pa.list_(pa.int32())), pa.array(labels)], ["fold", "at", "label"])
+
+    def fields(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        at = table.column("at").combine_chunks()
+        bounds, flat = at.offsets.to_numpy(), at.values.to_numpy()
+        rows = [flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        return rows, table.column("label").to_numpy(), table.column("fold").to_numpy()
+
+    def weigh(table: pa.Table) -> pa.Table:
+        rows, labels, fold = fields(table)
+        k = table.column("trial")[0].as_py()
+        own, others = np.flatnonzero(fold == k), np.flatnonzero(fold != k)
+        losses = []
+        for kept in masks[k + 1]:
+            few = narrowed(rows, kept)
+            w, b = fit_proven([few[i] for i in others], labels[others], p, int(kept.sum()))
+            losses.append(log_loss([few[i] for i in own], labels[own], w, b))
+        return pa.table({"losses": pa.array([losses], pa.list_(pa.float64()))})
+
+    few = sample.mapInArrow(narrow, "fold long, at array<int>, label double")
+    best = 0
+    if folds > 1:
+        few = stored(few, "narrowed")
+        trials = few.withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
+        losses = trials.groupBy("trial").applyInArrow(weigh, "losses array<double>").toArrow().column(0).to_pylist()
+        lost = np.sum(losses, axis=0)
+        best = int(np.flatnonzero(lost <= lost.min())[-1])
+    mask = masks[0][best]
 
     def fit(table: pa.Table) -> pa.Table:
-        kept = [np.asarray(row, np.int64) for row in table.column(0).to_pylist()]
-        w, b = fit_proven(kept, table.column(1).to_numpy(), p, len(chosen))
-        return pa.table({"weight": [w], "intercept": [b], "n": [len(kept)]})
-
-    narrowed = sample.mapInArrow(narrow, "at array<int>, label double").groupBy().applyInArrow(
-        fit, "weight array<double>, intercept double, n long"
-    )
-    found = narrowed.first()
-    weight = np.asarray(found["weight"], np.float32)
+        rows, labels, _ = fields(table)
+        w, b = fit_proven(narrowed(rows, mask), labels, p, int(mask.sum()))
+        return pa.table({"weight": [w], "intercept": [b], "n": [len(rows)]})
+
+    found = few.groupBy().applyInArrow(fit, "weight array<double>, intercept double, n long").first()
+    weight, chosen = np.asarray(found["weight"], np.float32), index[mask]
     return Model(p.bits, chosen[weight != 0], weight[weight != 0], found["intercept"], found["n"])
 
 

@@ -9,7 +9,7 @@ from tidings.llm.kernels import TEXT_AND_MARKS
 from tidings.llm.linear import Ftrl, Model, fold, known_labels, score, train, word_features
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.7
-PARAMETERS = Ftrl(proof=2.5)
+PARAMETERS = Ftrl(proofs=(2.5,))
 FEATURES = word_features(TEXT_AND_MARKS, lower=False, order=2, skips=0)
 
 
