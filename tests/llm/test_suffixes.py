@@ -61,3 +61,12 @@ def test_removed_bytes_against_brute_force(make_docs, length, hot, array):
 def test_no_documents(no_docs, odd_docs):
     assert remove_repeats(no_docs).count() == 0
     assert remove_repeats(odd_docs).count() == odd_docs.count()
+
+
+def test_windows_of_an_anchor_may_be_many(make_docs):
+    rng = random.Random(5)
+    passage = "".join(rng.choices("abcdefgh ", k=900))
+    rows = [(i, "".join(rng.choices("abc ", k=rng.randint(0, 90))) + passage[rng.randint(0, 300) : rng.randint(600, 900)] + "xyz"[i % 3], "s") for i in range(30)]
+    rows += [(100, "a" * 1000, None), (101, passage * 2, None)]
+    found = {r["doc_id"]: (r["doc_id"], r["n_bytes"], r["n_removed"]) for r in remove_repeats(make_docs(rows), 200).collect()}
+    assert found == {doc: row[:3] for doc, row in brute([(i, t) for i, t, _ in rows], 200).items()}

@@ -23,6 +23,9 @@ from tidings.llm.kernels import RangeHash, mix, ragged, signed, spans, text_bloc
 from tidings.llm.tables import stored
 
 GRAM = 32
+#: A place and a number of windows share a long; both fit in 31 bits, as a text has less than 2 GB.
+WINDOW_BITS = 31
+WINDOWS = (1 << WINDOW_BITS) - 1
 #: Bytes of fragments that one suffix array covers, and fragments of one anchor beyond which its
 #: windows are settled by hash and count instead, so that no task holds a hot anchor whole.
 ARRAY_BYTES = 4 << 20
@@ -69,8 +72,8 @@ def _firsts(keys: tuple[np.ndarray, ...]) -> np.ndarray:
 
 
 def gather_fragments(docs: DataFrame, length: int) -> DataFrame:
-    """Rows (anchor, fragment, doc, at): at = 128 * first window + windows, or, for bytes that this
-    block alone shows to be repeated, at = 128 * begin and fragment = end.
+    """Rows (anchor, fragment, doc, at): at = first window << WINDOW_BITS | windows, or, for bytes that
+    this block alone shows to be repeated, at = begin << WINDOW_BITS and fragment = end.
 
     Of the equal fragments of a block only the earliest goes on, so a passage that a third of all
     documents share is sent once for each block of text.
@@ -98,7 +101,7 @@ def gather_fragments(docs: DataFrame, length: int) -> DataFrame:
                         pa.array(np.concatenate([signed(anchor[sent]), signed(mix(ids[first:last][owner].astype(np.uint64) + b.astype(np.uint64)))])),
                         pa.array(np.concatenate([signed(fragment[sent]), e - bounds[owner]])),
                         pa.array(np.concatenate([own[sent], ids[first:last][owner]])),
-                        pa.array(np.concatenate([lo[sent] * 128 + count[sent], (b - bounds[owner]) * 128])),
+                        pa.array(np.concatenate([(lo[sent] << WINDOW_BITS) + count[sent], (b - bounds[owner]) << WINDOW_BITS])),
                     ],
                     ["anchor", "fragment", "doc", "at"],
                 )
@@ -115,8 +118,8 @@ def settle_fragments(gathered: DataFrame, length: int) -> DataFrame:
         carried, asked = None, False
         for batch in batches:
             columns = [c.to_numpy() for c in batch.columns]
-            known = (columns[3] & 127) == 0
-            begin, end, doc = columns[3][known] >> 7, columns[1][known], columns[2][known]
+            known = (columns[3] & WINDOWS) == 0
+            begin, end, doc = columns[3][known] >> WINDOW_BITS, columns[1][known], columns[2][known]
             anchor, fragment, own, at = (c[~known] for c in columns)
             out = [(doc, begin, end, None)]
             if len(anchor):
@@ -124,7 +127,7 @@ def settle_fragments(gathered: DataFrame, length: int) -> DataFrame:
                     anchor, fragment, own, at = (np.concatenate([[x], c]) for x, c in zip(carried, (anchor, fragment, own, at)))
                 new = _firsts((anchor, fragment))
                 lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-                again = (own != own[lead]) | (at >> 7 != at[lead] >> 7)
+                again = (own != own[lead]) | (at >> WINDOW_BITS != at[lead] >> WINDOW_BITS)
                 heads = np.flatnonzero(new)
                 group = _firsts((anchor[heads],))
                 sizes = np.diff(np.flatnonzero(group), append=len(heads))
@@ -135,8 +138,8 @@ def settle_fragments(gathered: DataFrame, length: int) -> DataFrame:
                 asked = bool(several[-1]) or (carried is not None and asked and heads[-1] == 0)
                 carried = tuple(c[heads[-1]] for c in (anchor, fragment, own, at))
                 for rows, named in ((np.flatnonzero(again), False), (wanted, True)):
-                    b = at[rows] >> 7
-                    out.append((own[rows], b, b + (at[rows] & 127) + length - 1, anchor[rows] if named else None))
+                    b = at[rows] >> WINDOW_BITS
+                    out.append((own[rows], b, b + (at[rows] & WINDOWS) + length - 1, anchor[rows] if named else None))
             parts = [
                 pa.RecordBatch.from_arrays(
                     [pa.array(d), pa.array(b), pa.array(e), pa.nulls(len(d), pa.int64()) if a is None else pa.array(a)],
