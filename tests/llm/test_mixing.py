@@ -1,0 +1,114 @@
+"""Mixing by capped water-filling, against plain loops over all documents."""
+
+import hashlib
+import re
+from collections import defaultdict
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidings.llm.mixing import mix_sources, numbered_sources, water_filling
+
+
+def words(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def place(doc_id, text):
+    told = f"0:{'' if doc_id is None else doc_id}:{text or ''}"
+    return int(hashlib.md5(told.encode()).hexdigest()[:15], 16)
+
+
+def brute(rows, max_epochs=3):
+    """doc_id, source, size, source_size, target, taken of (doc_id, text, source) rows."""
+    sizes = defaultdict(int)
+    for _, text, source in rows:
+        sizes[source] += words(text)
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: i % 3 + 1 for i, s in enumerate(names)}
+    clamped = {s for s in names if sizes[s] == 0}
+    while True:
+        free = [s for s in names if s not in clamped]
+        left = sum(sizes.values()) - max_epochs * sum(sizes[s] for s in clamped)
+        level = Fraction(left, sum(weight[s] for s in free)) if free else Fraction(0)
+        above = {s for s in free if level * weight[s] > max_epochs * sizes[s]}
+        if not above:
+            break
+        clamped |= above
+    target = {s: max_epochs * sizes[s] if s in clamped else level * weight[s] for s in names}
+    out = []
+    for s in names:
+        own = sorted((place(i, t), i, words(t)) for i, t, source in rows if source == s)
+        wanted = min(int(target[s] + Fraction(1, 2)), max_epochs * sizes[s])
+        whole, part = divmod(wanted, sizes[s]) if sizes[s] else (0, 0)
+        ties, before = defaultdict(int), 0
+        for p, _, n in own:
+            ties[p] += n
+        for p in sorted(ties):
+            for q, i, n in own:
+                if q == p:
+                    given = n if before + ties[p] <= part else max(0, part - before) * n // ties[p] if ties[p] else 0
+                    out.append((i, s, n, sizes[s], float(target[s]), whole * n + given))
+            before += ties[p]
+    return sorted(out, key=repr)
+
+
+def rows_of(mixed):
+    return sorted((tuple(r) for r in mixed.select("doc_id", "source", "size", "source_size", "target", "taken").collect()), key=repr)
+
+
+def equal(got, expected):
+    assert len(got) == len(expected)
+    for x, y in zip(got, expected):
+        assert x[:4] == y[:4] and x[5] == y[5] and x[4] == pytest.approx(y[4], rel=1e-12)
+
+
+CASES = {
+    "even": [(i, "a b c d", "xyz"[i % 3]) for i in range(60)],
+    "one source holds most": [(i, "w " * (i % 9), "hot" if i % 10 else f"s{i % 7}") for i in range(300)],
+    "clamped in turn": [(i, "w " * 2**j, f"s{j}") for j in range(9) for i in (10 * j, 10 * j + 1)],
+    "one long document": [(0, "w " * 50_000, "a"), (1, "w", "a"), (2, "w " * 400, "b"), (3, "w " * 30_000, None)],
+    "repeated rows": [(1, "x y z", "a")] * 40 + [(None, "x y z", "a")] * 31 + [(None, "u v", None)] * 9 + [(2, "u " * 500, "b")],
+    "no words": [(1, None, "a"), (2, "", None), (3, " \n ", "b")],
+    "names": [(i, "w " * (5 + i), s) for i, s in enumerate(["Z", "a", "é", "", None, "\U0001f600", "zz", "￮"])],
+}
+
+
+@pytest.mark.parametrize("name", list(CASES))
+def test_against_brute_force(make_docs, name):
+    equal(rows_of(mix_sources(make_docs(CASES[name]))), brute(CASES[name]))
+
+
+def test_odd_documents(odd_docs, no_docs):
+    rows = [(r["doc_id"], r["text"], r["source"]) for r in odd_docs.collect()]
+    equal(rows_of(mix_sources(odd_docs)), brute(rows))
+    assert mix_sources(no_docs).collect() == []
+
+
+def test_targets_are_met_and_reruns_agree(make_docs):
+    docs = make_docs([(i, "w " * (1 + i * i % 97), f"s{i % 4 * (i % 3)}") for i in range(2000)])
+    mixed = mix_sources(docs)
+    for row in mixed.groupBy("source").agg(F.sum("taken").alias("n"), F.max("target").alias("target")).collect():
+        assert abs(row["n"] - row["target"]) <= 2
+    assert mixed.where("taken > 3 * size or taken < repeats * size").count() == 0
+    assert rows_of(mixed) == rows_of(mix_sources(docs.repartition(5)))
+    assert rows_of(mixed) != rows_of(mix_sources(docs, seed=1))
+
+
+def test_weights_and_total_are_arguments(make_docs):
+    docs = make_docs([(i, "a b c d", "pq"[i % 2]) for i in range(100)])
+    mixed = mix_sources(docs, weights=F.when(F.col("number") == 0, 9).otherwise(1), total=100)
+    assert {(r["source"], r["target"]) for r in mixed.select("source", "target").collect()} == {("p", 90.0), ("q", 10.0)}
+
+
+def test_many_sources_are_numbered_in_order(spark):
+    names = [f"h{i * 7919 % 5000}" for i in range(5000)] + [None]
+    numbered = numbered_sources(spark.createDataFrame([(n,) for n in names], "source string")).collect()
+    expected = {s: i for i, s in enumerate(sorted(set(names) - {None}))} | {None: 5000}
+    assert {r["source"]: r["number"] for r in numbered} == expected
+
+
+def test_all_clamped_gives_less(spark):
+    sources = spark.createDataFrame([("a", 10, 1), ("b", 0, 5)], "source string, source_size long, weight int")
+    assert [(r["source"], r["target"]) for r in water_filling(sources, 1000, 2).orderBy("source").collect()] == [("a", 20.0), ("b", 0.0)]

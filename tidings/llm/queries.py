@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.llm.chat import fit_chain, hide_roles, recover_turns
+from tidings.llm.clusters import cluster, with_inertia
 from tidings.llm.decontamination import find_items, items_digest
 from tidings.llm.linear import fold
 from tidings.llm.lines import drop_boilerplate
+from tidings.llm.mixing import mix_sources
 from tidings.llm.near_duplicates import near_duplicates
 from tidings.llm.packing import pack_documents
 from tidings.llm.quality import score_quality, train_quality
@@ -18,6 +20,7 @@ from tidings.llm.rules import judge
 from tidings.llm.suffixes import remove_repeats
 from tidings.llm.tokens import read_tokenizer, token_counts
 from tidings.llm.toxicity import score_toxicity, train_toxicity
+from tidings.llm.trie import prefix_trie, rebuilt_turns
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,6 +98,24 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words and how many of them a mix of all sources by weight takes."""
+    mixed = mix_sources(table(spark, sf_dir, "documents"), max_epochs=3)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of ``conversations``, each of which begins with up to eight turns of the first of its five."""
+    conv_id = F.col("conv_id")
+    borrowed = F.crc32(conv_id.cast("string").cast("binary")) % 9
+    return prefix_trie(*rebuilt_turns(table(spark, sf_dir, "conversations"), borrowed, conv_id - conv_id % 5, most=8))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's centroid after ten rounds, its distance, and the inertia."""
+    return with_inertia(cluster(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -106,4 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
+    "op11_source_mix": op11_source_mix,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
