@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidings.llm.chat import ROLES, START, best_path, fit_chain, hide_roles, line_symbols, recover_turns, split_marker
+from tidings.llm.chat import ROLES, START, SYMBOLS, best_path, fit_chain, hide_roles, line_symbols, recover_turns, split_marker
 from tidings.llm.linear import fold
 
 SF = "/root/testdata/sf0.01"
@@ -66,6 +66,30 @@ def test_every_line_is_in_one_turn_and_rendered(messages, chain):
         assert r["rendered"] == f"<|{r['role']}|>\n{r['text']}\n<|end|>" and r["role"] in ROLES
 
 
+def test_many_messages_without_id_or_turn_are_cut_into_chunks(spark, chain):
+    rows = [(None, None if i % 2 else 5, "user", f"User: line {i}") for i in range(900)] + [(1, 10**12, "user", "User: far")]
+    odd = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    one, two = (sorted(map(tuple, recover_turns(odd, chain, n).collect()), key=repr) for n in (16, 10_000))
+    assert one == two and sum(r[3] for r in one) == 901
+
+
+def test_counts_of_the_chain_against_plain_counts(messages):
+    """Every probability from a walk over all messages, line by line."""
+    rows = sorted((r["conv_id"], r["turn"], r["role"], r["text"]) for r in messages.where("conv_id < 30").collect())
+    step, show, ended = np.full((START + 1, START), 0.1), np.full((START, SYMBOLS), 0.1), {}
+    for conv, turn, role, text in rows:
+        state = 2 * ROLES.index(role)
+        for i, symbol in enumerate(line_symbols(text)):
+            own = state + (i > 0)
+            step[ended.get((conv, turn - 1), START) if i == 0 else last, own] += 1
+            show[own, symbol] += 1
+            last = own
+        ended[conv, turn] = last
+    fitted = fit_chain(messages.where("conv_id < 30"))
+    assert np.allclose(fitted.step[:, :START], np.log(step / step.sum(axis=1, keepdims=True)))
+    assert np.allclose(fitted.show[:START], np.log(show / show.sum(axis=1, keepdims=True)))
+
+
 def test_odd_messages(spark, chain):
     rows = [(1, 0, "user", None), (1, 1, "user", ""), (None, 0, None, "User: hi"), (None, None, "x", "hm"), (2, 5, "user", "a"), (2, 5, "user", "a")]
     odd = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("chunk", F.lit("clash"))

@@ -58,6 +58,16 @@ def test_proximity(spark, make_docs):
     assert {r["doc_id"]: r["n_items"] for r in find_items(docs, items, size=10).collect()} == {0: 0, 1: 0, 2: 0, 3: 0}
 
 
+def test_rows_go_for_their_own_text_and_items_may_lack_an_id(spark, make_docs):
+    items = _items(spark, [(None, "a b c d e f g h i j"), (7, "b c d e f g h i j k"), (None, "q r s t")])
+    bad, clean = "x a b c d e f g h i j k y", "nothing of the kind"
+    docs = make_docs([(None, bad, "s"), (None, clean, "s"), (3, clean, "s"), (3, bad, "s"), (None, None, "s"), (4, "q r s t", "s")])
+    found = {(r["doc_id"], r["n_hit"]): r["items"] for r in find_items(docs, items).collect()}
+    assert found[3, 11] == ["", "7"] and found[4, 4] == [""] and found[3, 0] == []
+    kept = sorted(((r["doc_id"], r["text"]) for r in drop_contaminated(docs, items).collect()), key=repr)
+    assert kept == sorted([(None, clean), (3, clean), (None, None)], key=repr)
+
+
 def test_odd_tables(spark, odd_docs, no_docs):
     items = _items(spark, [(1, "a b c d e f g h i j")])
     hit = [r["doc_id"] for r in find_items(odd_docs, items).collect() if r["n_hit"]]

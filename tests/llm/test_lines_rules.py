@@ -67,3 +67,10 @@ def test_rules_of_odd_documents(odd_docs, no_docs):
     assert len(rows) == odd_docs.count()
     assert all(r["kept"] is not None for r in rows)
     assert judge(no_docs).count() == 0
+
+
+def test_a_line_on_a_twentieth_of_a_host_goes_and_chance_stays(make_docs):
+    rows = [(i, f"own {i}\n{'Subscribe now' if i % 20 == 0 else 'text'} \nlast {i}\n" + ("met by chance" if i in (3, 5) else f"x{i}"), "a") for i in range(400)]
+    rows += [(1000 + i, "Subscribe now" if i == 0 else f"w{i}", "b") for i in range(100)]
+    got = {r["doc_id"]: r["text"] for r in drop_boilerplate(make_docs(rows)).collect()}
+    assert got[40] == "own 40\nlast 40\nx40" and got[3] == "own 3\nlast 3\nmet by chance" and got[1000] == "Subscribe now"

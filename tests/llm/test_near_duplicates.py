@@ -1,11 +1,12 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidings.llm.graph import components
-from tidings.llm.near_duplicates import block_pairs, confirm_blocks, drop_near_duplicates, near_duplicates, sign
+from tidings.llm.near_duplicates import COMPONENTS, DISTANCE, block_pairs, chunk_keys, confirm_blocks, drop_near_duplicates, near_duplicates, sieved, sign
 
 
 def shingles(text, size):
@@ -88,7 +89,8 @@ def test_odd_documents(odd_docs, no_docs):
 def test_slices_of_a_hot_key_lose_no_block(spark, make_docs):
     base = [f"w{i}" for i in range(80)]
     docs = make_docs([(i, " ".join([*base, f"x{i}"]), "s") for i in range(40)])
-    marked = sign(docs, 4).select("doc_id", "signature")
+    marked = sign(docs, 4)
+    texts = marked.select(F.col("doc_id").alias("id"), "packed")
     own = F.col("doc_id")
     members = marked.select(F.lit(7).cast("long").alias("key"), own.alias("id"), own.alias("component"), (own % 10).alias("block"), "signature")
     for part in (1000, 7):
@@ -96,11 +98,43 @@ def test_slices_of_a_hot_key_lose_no_block(spark, make_docs):
         assert pairs == {(a, b) for b in range(10) for a in range(b + 1)}
     one = members.withColumn("component", F.lit(0).cast("long"))
     assert block_pairs(one, slice_members=7).count() == 0
-    links = confirm_blocks(block_pairs(members), members.drop("key"), docs, 4, 80)
+    links = confirm_blocks(block_pairs(members), members.drop("key"), texts, 4, 80)
     assert {r["component"] for r in components(links).collect()} == {0}
     assert links.count() < 40 * 55
 
 
+@pytest.mark.parametrize("differing,meet", [(0, True), (29, True), (30, True), (31, True), (32, False)])
+def test_signatures_within_the_distance_meet(spark, differing, meet):
+    """The differing components are dealt evenly over the chunks, which is the hardest case."""
+    rng = np.random.default_rng(differing)
+    one = rng.integers(0, 1 << 32, COMPONENTS, np.uint32)
+    two = one.copy()
+    at = np.arange(COMPONENTS).reshape(-1, 4).T.ravel()[:differing]
+    two[at] ^= 1
+    rows = [(1, 1, 1, bytearray(one.tobytes())), (2, 2, 2, bytearray(two.tobytes()))]
+    members = spark.createDataFrame(rows, "id long, component long, block long, signature binary")
+    members = chunk_keys(members).join(members, "id")
+    assert [tuple(r) for r in block_pairs(members).collect()] == [(1, 2)] * meet
+    assert DISTANCE == 31
+
+
+def test_rows_of_one_id_are_judged_by_their_texts(make_docs):
+    text = {k: " ".join(f"{k}{i}" for i in range(60)) for k in "abcd"}
+    rows = [(3, text["a"], "s"), (5, text["a"], "s"), (5, text["b"], "s"), (9, text["c"], "s"), (9, text["d"], "s"), (9, text["d"], "s"),
+            (2, text["d"] + " more", "s"), (None, text["a"], "s"), (None, text["a"], "s"), (7, text["b"] + " x", "t")]
+    got = sorted((r["doc_id"] or 0, (r["text"] or "")[:2]) for r in drop_near_duplicates(make_docs(rows)).collect())
+    assert got == [(0, "a0"), (0, "a0"), (2, "d0"), (3, "a0"), (5, "b0"), (9, "c0")]
+    found = sorted((r["doc_id"], r["component_id"]) for r in near_duplicates(make_docs(rows)).collect() if r["doc_id"])
+    assert found == [(2, 2), (3, 3), (5, 3), (5, 5), (7, 5), (9, 2), (9, 2), (9, 9)]
+
+
+def test_the_sieve_keeps_what_is_wanted(spark):
+    texts = spark.range(-500, 500).select("id", F.lit(b"x").alias("packed"))
+    kept = {r["id"] for r in sieved(texts, spark.createDataFrame([(-400,), (7,), (7,)], "id long")).collect()}
+    assert {-400, 7} <= kept and len(kept) < 10
+    assert sieved(texts, texts.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components_of_random_graphs(spark, seed):
     rng = random.Random(seed)

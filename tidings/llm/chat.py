@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidings.llm.numbering import numbered
 from tidings.llm.tables import stored
 
 ROLES = ("system", "user", "assistant")
@@ -157,16 +158,19 @@ def recover_turns(messages: DataFrame, chain: Chain, chunk: int = CHUNK) -> Data
     conv_id, turn (from 0), role, n_lines, text (without markers and outer blank lines), rendered
     (``<|role|>``, the text and ``<|end|>`` on lines of their own). A line belongs to exactly one
     turn; a message may be split or go on with the turn before. A null text is one blank line.
-    Messages of one number, also repeated rows, are ordered by their text. Null conv_ids are one
-    conversation; a null turn comes first.
+    Messages of one number, also repeated rows, are ordered by a hash of their text. Null conv_ids are one
+    conversation; null turns come first.
     """
     ordered = messages.select(
         F.col("conv_id").cast("string").alias("conv"),
-        F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("at"),
+        F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    ).withColumn("chunk", F.floor(F.col("at") / chunk))
+    )
+    # Chunks are cut by the number of messages: turns may be null, repeated or far apart.
+    ordered = numbered(ordered.withColumn("digest", F.xxhash64("text")), ["conv"], ["turn", "digest"], "at")
+    ordered = ordered.select("conv", "at", "text", F.floor((F.col("at") - 1) / chunk).alias("chunk"))
     parts = stored(with_symbols(ordered), "messages")
-    in_order = _sorted(parts, ["conv", "chunk"], "at", "text")
+    in_order = _sorted(parts, ["conv", "chunk"], "at")
 
     def matrices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
@@ -223,18 +227,18 @@ def recover_turns(messages: DataFrame, chain: Chain, chunk: int = CHUNK) -> Data
     edges = edges.select(F.col("conv").alias("c_conv"), F.col("chunk").alias("c_chunk"), "before", "last")
     joined = parts.join(edges, F.col("conv").eqNullSafe(F.col("c_conv")) & (F.col("chunk") == F.col("c_chunk")))
     joined = joined.select("conv", "chunk", "at", "text", "symbols", "before", "last")
-    dealt = _sorted(joined, ["conv", "chunk"], "at", "text").select("conv", "chunk", "text", "symbols", "before", "last")
+    dealt = _sorted(joined, ["conv", "chunk"], "at").select("conv", "chunk", "text", "symbols", "before", "last")
     segments = stored(dealt.mapInArrow(decode, _ddl(_SEGMENTS)), "segments")
     earlier = Window.partitionBy("conv").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     counts = segments.groupBy("conv", "chunk").agg(F.max("own").alias("n"))
     counts = counts.withColumn("earlier", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
     counts = counts.select(F.col("conv").alias("c_conv"), F.col("chunk").alias("c_chunk"), "earlier")
-    numbered = segments.join(counts, F.col("conv").eqNullSafe(F.col("c_conv")) & (F.col("chunk") == F.col("c_chunk")))
-    numbered = numbered.select(
+    owned = segments.join(counts, F.col("conv").eqNullSafe(F.col("c_conv")) & (F.col("chunk") == F.col("c_chunk")))
+    owned = owned.select(
         "conv", (F.col("earlier") + F.col("own") - 1).alias("turn"), "role", "n_lines", F.struct("chunk", "place", "text").alias("part")
     )
     text = F.array_join(F.transform(F.array_sort(F.collect_list("part")), lambda p: p["text"]), "\n")
-    turns = numbered.groupBy("conv", "turn").agg(F.first("role").alias("role"), F.sum("n_lines").alias("n_lines"), text.alias("text"))
+    turns = owned.groupBy("conv", "turn").agg(F.first("role").alias("role"), F.sum("n_lines").alias("n_lines"), text.alias("text"))
     body = F.regexp_replace("text", r"^(?:[ \t\r]*\n)+|\s+$", "")
     rendered = F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n"), body, F.lit("\n<|end|>"))
     return turns.select(

@@ -43,7 +43,8 @@ def item_windows(items: DataFrame, size: int = 10) -> DataFrame:
     """The windows of ``items`` (item_id, text): item_id as text, window, and the terms in order.
 
     A window is ``size`` consecutive words; an item of fewer words, but not none, is one window.
-    Terms are 64-bit hashes of lower-cased words. Null texts and items without words give none.
+    Terms are 64-bit hashes of lower-cased words. Null texts and items without words give none. Items
+    without an item_id are one item, whose id is the empty text.
     """
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,7 +62,8 @@ def item_windows(items: DataFrame, size: int = 10) -> DataFrame:
                     [names, pa.array(window, pa.int32()), pa.ListArray.from_arrays(offsets, terms)], ["item_id", "window", "terms"]
                 )
 
-    return items.select(F.col("item_id").cast("string"), F.col("text").cast("string")).mapInArrow(cut, _ITEMS)
+    named = F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id")
+    return items.select(named, F.col("text").cast("string")).mapInArrow(cut, _ITEMS)
 
 
 def build_index(docs: DataFrame, terms: np.ndarray | None) -> DataFrame:
@@ -300,7 +302,9 @@ def items_digest(items: str = "items") -> Column:
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
     """The rows of ``docs`` that no benchmark window hits, with all their columns.
 
-    Rows of one doc_id, or without one, share their fate.
+    Rows are searched under a 64-bit hash of their doc_id and text, so that a row goes for its own
+    text only, whatever rows share its doc_id or have none.
     """
-    hit = find_items(docs, items, size).where(F.col("n_hit") > 0).select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, F.col("doc_id").cast("long").eqNullSafe(F.col("hit_id")), "left_anti")
+    marked = F.xxhash64(F.col("doc_id").cast("string"), F.lit("text"), F.col("text").cast("string"))
+    hit = find_items(docs.select(marked.alias("doc_id"), "text"), items, size).where(F.col("n_hit") > 0)
+    return docs.join(hit.select(F.col("doc_id").alias("hit_mark")).distinct(), marked == F.col("hit_mark"), "left_anti")

@@ -6,6 +6,7 @@ weights of a fixed number of coordinates. Scoring is one pass over whole texts w
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -88,16 +89,46 @@ def _leader(z: np.ndarray, n: np.ndarray, slack: np.ndarray | float, p: Ftrl) ->
     return np.where(np.abs(z) <= slack, 0.0, (np.sign(z) * slack - z) / ((p.beta + np.sqrt(n)) / p.alpha + p.l2))
 
 
+@dataclass(frozen=True)
+class Rows:
+    """Coordinates of the features present in each of some texts, one text after the other."""
+
+    at: np.ndarray
+    bounds: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.bounds) - 1
+
+    def narrowed(self, place: np.ndarray) -> Rows:
+        """Without the coordinates whose ``place`` is negative, the others moved to their place."""
+        moved = place[self.at]
+        kept = moved >= 0
+        before = np.zeros(len(kept) + 1, np.int32)
+        np.cumsum(kept, dtype=np.int32, out=before[1:])
+        return Rows(moved[kept], before[self.bounds])
+
+    def totals(self, w: np.ndarray) -> np.ndarray:
+        """For each text the sum of the weights of its coordinates."""
+        sums = np.concatenate([[0.0], np.cumsum(w[self.at], dtype=np.float64)])
+        return sums[self.bounds[1:]] - sums[self.bounds[:-1]]
+
+
+def places(kept: np.ndarray) -> np.ndarray:
+    """For each coordinate its place among those that the mask ``kept`` has, or -1."""
+    return np.where(kept, np.cumsum(kept) - 1, -1).astype(np.int32)
+
+
 def descend(
-    rows: list[np.ndarray], labels: np.ndarray, p: Ftrl, size: int, epochs: int, proof: float, l1: float
+    rows: Rows, chosen: np.ndarray, labels: np.ndarray, p: Ftrl, size: int, epochs: int, proof: float, l1: float
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Summed gradients and their squares of ``size`` coordinates and, last, of the intercept."""
+    """Summed gradients and their squares of ``size`` coordinates and, last, of the intercept, from
+    the ``chosen`` rows."""
     z, n = np.zeros(size + 1), np.zeros(size + 1)
-    order = np.arange(len(rows))
+    order = chosen.copy()
     for epoch in range(epochs):
         np.random.default_rng(epoch).shuffle(order)
         for i in order.tolist():
-            x = rows[i]
+            x = rows.at[rows.bounds[i] : rows.bounds[i + 1]]
             zx, nx = z[x], n[x]
             root = np.sqrt(nx)
             w = _leader(zx, nx, l1 + proof * (p.beta + root) if proof else l1, p)
@@ -111,9 +142,9 @@ def descend(
     return z, n
 
 
-def fit_proven(rows: list[np.ndarray], labels: np.ndarray, p: Ftrl, size: int) -> tuple[np.ndarray, float]:
+def fit_proven(rows: Rows, chosen: np.ndarray, labels: np.ndarray, p: Ftrl, size: int) -> tuple[np.ndarray, float]:
     """Weights of the ``size`` proven coordinates, and the intercept."""
-    z, n = descend(rows, labels, p, size, p.epochs, 0.0, p.l1)
+    z, n = descend(rows, chosen, labels, p, size, p.epochs, 0.0, p.l1)
     w = _leader(z[:size], n[:size], p.l1, p)
     return w, float(-z[size] / ((p.beta + np.sqrt(n[size])) / p.alpha))
 
@@ -123,24 +154,17 @@ def proven(z: np.ndarray, n: np.ndarray, proof: float, p: Ftrl) -> np.ndarray:
     return np.abs(z) > proof * (p.beta + np.sqrt(n)) if proof else n > 0
 
 
-def narrowed(rows: list[np.ndarray], kept: np.ndarray) -> list[np.ndarray]:
-    """The coordinates of ``rows`` as places among those that the mask ``kept`` has."""
-    place = np.cumsum(kept) - 1
-    return [place[row[kept[row]]] for row in rows]
-
+def log_loss(rows: Rows, chosen: np.ndarray, labels: np.ndarray, w: np.ndarray, b: float) -> float:
+    """Summed logistic loss over the ``chosen`` rows."""
+    total = rows.totals(w)[chosen] + b
+    return float(np.logaddexp(0, np.where(labels[chosen] > 0, -total, total)).sum())
 
-def log_loss(rows: list[np.ndarray], labels: np.ndarray, w: np.ndarray, b: float) -> float:
-    """Summed logistic loss."""
-    total = np.array([w[x].sum() for x in rows]) + b
-    return float(np.logaddexp(0, np.where(labels > 0, -total, total)).sum())
 
-
-def present(texts: np.ndarray, keys: np.ndarray, bits: int, n: int) -> list[np.ndarray]:
+def present(texts: np.ndarray, keys: np.ndarray, bits: int, n: int) -> Rows:
     """The distinct coordinates of each of ``n`` texts."""
     both = np.unique((texts.astype(np.uint64) << np.uint64(bits)) | (keys >> np.uint64(64 - bits)))
     at = np.searchsorted(both, np.arange(n + 1, dtype=np.uint64) << np.uint64(bits))
-    low = (both & np.uint64((1 << bits) - 1)).astype(np.int32)
-    return [low[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+    return Rows((both & np.uint64((1 << bits) - 1)).astype(np.int32), at)
 
 
 def train(docs: DataFrame, known: DataFrame, features: Features, p: Ftrl) -> Model:
@@ -151,11 +175,13 @@ def train(docs: DataFrame, known: DataFrame, features: Features, p: Ftrl) -> Mod
     weights, which scores 0 throughout. The labels are thinned out to about ``p.sample_rows`` at
     most before they are broadcast, so only texts of the sample leave their tasks.
 
-    Two passes over the stored sample. In the first, shards of rows, each within one fold, follow
-    the leader on their own; their summed gradients and squares add up over the shards, and
-    coordinates without proof in the sums get no weight. In the second one task fits the rest, from
-    the sample's rows with only those coordinates. Of several bounds one is chosen before: for each
-    fold a task proves by the shards of the other folds, fits their rows, and sums the loss over its own.
+    Coordinates are counted first, and those in too few texts to be proven are left out: summed
+    gradients are at most the root of the number of texts times the root of their squares, so that a
+    bound of c asks for more than c*c texts. What is left of the sample is stored as coordinates. Then
+    shards of rows, each within one fold, follow the leader on their own; their summed gradients and
+    squares add up over the shards, and coordinates without proof in the sums get no weight. One task fits the
+    rest. Of several bounds one is chosen before: for each fold a task proves by the shards of the
+    other folds, fits their rows, and sums the loss over its own.
     """
     total = known.count()
     key = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(1 << 40))
@@ -168,63 +194,79 @@ def train(docs: DataFrame, known: DataFrame, features: Features, p: Ftrl) -> Mod
     sample = stored(rows.select((key % shards).alias("shard"), "text", F.col("label").cast("double").alias("label")), "sample")
     if sample.isEmpty():
         return Model(p.bits)
-    size = 1 << p.bits
+    size, lowest = 1 << p.bits, min(p.proofs)
+    enough = min(int(lowest * lowest) + 1, 255)
 
-    def read(batches: Iterable[pa.RecordBatch]) -> tuple[list[np.ndarray], np.ndarray]:
-        found, labels = [], []
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(size, np.uint8)
+        for batch in batches:
+            for first, last, data, bounds in text_blocks(batch.column(0)):
+                found = present(*features(data, bounds), p.bits, last - first).at
+                more = np.minimum(np.bincount(found, minlength=size), enough).astype(np.uint8)
+                seen = np.minimum(seen.astype(np.uint16) + more, enough).astype(np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(seen.tobytes(), 1)], pa.binary())], ["seen"])
+
+    # One row of at most 2**bits bytes for each group of shards; there are 16 groups at most.
+    dealt = sample.repartition(min(shards, 16), "shard").select("text")
+    seen = np.zeros(size, np.int64)
+    for row in dealt.mapInArrow(count, "seen binary").toLocalIterator():
+        seen += np.frombuffer(zlib.decompress(row["seen"]), np.uint8)
+    index = np.flatnonzero(seen >= enough)
+    place = places(seen >= enough)
+
+    def coordinates(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, data, bounds in text_blocks(batch.column(1)):
-                found += present(*features(data, bounds), p.bits, last - first)
-            labels.append(batch.column(2).to_numpy(zero_copy_only=False))
-        return found, np.concatenate(labels) if labels else np.empty(0)
+                found = present(*features(data, bounds), p.bits, last - first).narrowed(place)
+                at = pa.ListArray.from_arrays(pa.array(found.bounds, pa.int32()), pa.array(found.at))
+                kept = [batch.column(i).slice(first, last - first) for i in (0, 2)]
+                yield pa.RecordBatch.from_arrays([*kept, at], ["shard", "label", "at"])
 
-    lowest = min(p.proofs)
+    few = stored(sample.mapInArrow(coordinates, "shard long, label double, at array<int>"), "coordinates")
+
+    def read(table: pa.Table) -> tuple[Rows, np.ndarray, np.ndarray]:
+        at = table.column("at").combine_chunks()
+        offsets = at.offsets.to_numpy().astype(np.int64)
+        rows = Rows(at.values.to_numpy()[offsets[0] : offsets[-1]], offsets - offsets[0])
+        return rows, table.column("label").to_numpy(), table.column("shard").to_numpy() % folds
 
     def learn(table: pa.Table) -> pa.Table:
-        z, n = descend(*read(table.to_batches()), p, size, 1, lowest, 0.0)
-        told = np.flatnonzero(n[:size])
-        fold = np.full(len(told), table.column(0)[0].as_py() % folds)
-        return pa.table({"fold": fold, "index": told, "z": z[told], "n": n[told]})
+        rows, labels, fold = read(table)
+        z, n = descend(rows, np.arange(len(rows)), labels, p, len(index), 1, lowest, 0.0)
+        told = np.flatnonzero(n[: len(index)])
+        return pa.table({"fold": np.full(len(told), fold[0]), "place": told, "z": z[told], "n": n[told]})
 
     # Sums over all shards (0) and, of several folds, over the shards outside each (1 and up).
-    told = sample.groupBy("shard").applyInArrow(learn, "fold long, index long, z double, n double")
+    told = few.groupBy("shard").applyInArrow(learn, "fold long, place long, z double, n double")
     inside = [F.lit(True), *[F.col("fold") != k for k in range(folds) if folds > 1]]
     sums = [F.sum(F.when(i, F.col(c)).otherwise(0.0)).alias(f"{c}{j}") for j, i in enumerate(inside) for c in "zn"]
     some = F.lit(not lowest)
     for j in range(len(inside)):
         some |= F.abs(f"z{j}") > lowest * (p.beta + F.sqrt(f"n{j}"))
-    summed = told.groupBy("index").agg(*sums).where(some).toArrow().sort_by("index")
-    index = summed.column("index").to_numpy()
-    masks = [[proven(summed.column(f"z{j}").to_numpy(), summed.column(f"n{j}").to_numpy(), c, p) for c in p.proofs] for j in range(len(inside))]
-
-    def narrow(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found, labels = read([batch])
-            kept = [np.flatnonzero(np.isin(index, row, assume_unique=True)).astype(np.int32) for row in found]
-            fold = pa.array(batch.column(0).to_numpy() % folds, pa.int64())
-            yield pa.RecordBatch.from_arrays([fold, pa.array(kept, pa.list_(pa.int32())), pa.array(labels)], ["fold", "at", "label"])
-
-    def fields(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-        at = table.column("at").combine_chunks()
-        bounds, flat = at.offsets.to_numpy(), at.values.to_numpy()
-        rows = [flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-        return rows, table.column("label").to_numpy(), table.column("fold").to_numpy()
+    summed = told.groupBy("place").agg(*sums).where(some).toArrow().sort_by("place")
+    own_place = summed.column("place").to_numpy()
+    masks = []
+    for j in range(len(inside)):
+        z, n = (summed.column(f"{c}{j}").to_numpy() for c in "zn")
+        masks.append([])
+        for bound in p.proofs:
+            kept = np.zeros(len(index), bool)
+            kept[own_place[proven(z, n, bound, p)]] = True
+            masks[-1].append(kept)
 
     def weigh(table: pa.Table) -> pa.Table:
-        rows, labels, fold = fields(table)
+        rows, labels, fold = read(table)
         k = table.column("trial")[0].as_py()
         own, others = np.flatnonzero(fold == k), np.flatnonzero(fold != k)
         losses = []
         for kept in masks[k + 1]:
-            few = narrowed(rows, kept)
-            w, b = fit_proven([few[i] for i in others], labels[others], p, int(kept.sum()))
-            losses.append(log_loss([few[i] for i in own], labels[own], w, b))
+            less = rows.narrowed(places(kept))
+            w, b = fit_proven(less, others, labels, p, int(kept.sum()))
+            losses.append(log_loss(less, own, labels, w, b))
         return pa.table({"losses": pa.array([losses], pa.list_(pa.float64()))})
 
-    few = sample.mapInArrow(narrow, "fold long, at array<int>, label double")
     best = 0
     if folds > 1:
-        few = stored(few, "narrowed")
         trials = few.withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
         losses = trials.groupBy("trial").applyInArrow(weigh, "losses array<double>").toArrow().column(0).to_pylist()
         lost = np.sum(losses, axis=0)
@@ -232,8 +274,8 @@ def train(docs: DataFrame, known: DataFrame, features: Features, p: Ftrl) -> Mod
     mask = masks[0][best]
 
     def fit(table: pa.Table) -> pa.Table:
-        rows, labels, _ = fields(table)
-        w, b = fit_proven(narrowed(rows, mask), labels, p, int(mask.sum()))
+        rows, labels, _ = read(table)
+        w, b = fit_proven(rows.narrowed(places(mask)), np.arange(len(rows)), labels, p, int(mask.sum()))
         return pa.table({"weight": [w], "intercept": [b], "n": [len(rows)]})
 
     found = few.groupBy().applyInArrow(fit, "weight array<double>, intercept double, n long").first()
@@ -254,25 +296,49 @@ def block_scores(model: Model, dense: np.ndarray, features: Features, data: np.n
     return 1 / (1 + np.exp(-np.clip(total + model.intercept, -500, 500)))
 
 
-def score(docs: DataFrame, model: Model, features: Features, *columns: str) -> DataFrame:
-    """``columns`` of every document and its ``score``; whole texts, null texts as empty ones."""
+def _scorer(docs: DataFrame, model: Model, features: Features) -> Callable[[pa.Array], np.ndarray]:
+    """Scores of a column of texts, block by block; the weights are broadcast."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    fields = [docs.schema[c] for c in columns] + [T.StructField("score", T.DoubleType())]
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scores(texts: pa.Array) -> np.ndarray:
         model = sent.value
         dense = np.zeros(1 << model.bits, np.float32)
         dense[model.index] = model.weight
+        found = [block_scores(model, dense, features, data, bounds) for _, _, data, bounds in text_blocks(texts)]
+        return np.concatenate([np.empty(0), *found])
+
+    return scores
+
+
+def score(docs: DataFrame, model: Model, features: Features, *columns: str) -> DataFrame:
+    """``columns`` of every document and its ``score``; whole texts, null texts as empty ones."""
+    scores = _scorer(docs, model, features)
+    fields = [docs.schema[c] for c in columns] + [T.StructField("score", T.DoubleType())]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last, data, bounds in text_blocks(batch.column(len(columns))):
-                scores = block_scores(model, dense, features, data, bounds)
-                kept = [batch.column(i).slice(first, last - first) for i in range(len(columns))]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(scores)], [f.name for f in fields])
+            found = pa.array(scores(batch.column(len(columns))))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], found], [f.name for f in fields])
 
     wanted = docs.select(*columns, F.col("text").cast("string").alias("text" if "text" not in columns else "text_"))
     return wanted.mapInArrow(run, T.StructType(fields))
 
 
+def below(docs: DataFrame, model: Model, features: Features, threshold: float) -> DataFrame:
+    """The rows of ``docs`` whose ``text`` scores below the ``threshold``, with all their columns.
+
+    Rows are sent to the workers once, the text among them, and only those that stay come back.
+    """
+    scores = _scorer(docs, model, features)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(scores(batch.column(at)) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """The fold of a document: crc32 of its id as text, modulo ``folds``; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds

@@ -1,10 +1,10 @@
 """Near-duplicate documents: b-bit MinHash signatures, joined by Hamming distance, links confirmed.
 
 Signatures have 64 components of 32 bits in 16 chunks of 4. Two signatures that differ in at most
-29 components have, by the pigeonhole principle, a chunk that differs in at most one; so every
+31 components have, by the pigeonhole principle, a chunk that differs in at most one; so every
 chunk is indexed four times, each time with one component left out, and all pairs within that
-distance meet under some key. Of documents as similar as 0.8 about one pair in a million is
-farther apart, and nearly all of those meet as well. What meets is confirmed on full shingle sets.
+distance meet under some key. Of documents as similar as 0.8 about one pair in ten millions is
+farther apart. What meets within the distance is confirmed on full shingle sets.
 
 Equal sets are one class from the start. A group of near copies meets under many keys, so it is
 not taken apart into pairs. First every class is compared with one other only, the most central
@@ -20,14 +20,15 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidings.llm.graph import components
 from tidings.llm.kernels import SPACED, Words, grams, mix, seeds, signed, text_blocks
 from tidings.llm.tables import stored
 
-COMPONENTS, CHUNK, DISTANCE = 64, 4, 29
+#: Two errors in each of 16 chunks take 32 differing components; with 31 one chunk has one at most.
+COMPONENTS, CHUNK, DISTANCE = 64, 4, 31
 #: Members of a key that one task compares with each other at once.
 BLOCK_MEMBERS = 1024
 #: Texts of a block; a task confirms two blocks at a time.
@@ -57,15 +58,25 @@ def _signatures(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return out
 
 
-_SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, signature binary"
+_SIGNED = (
+    "row long, doc_id long, mark_a long, mark_b long, n_shingles long, set_a long, set_b long, signature binary, packed binary"
+)
+
+
+def marks(doc_id: Column, text: Column) -> list[Column]:
+    """128 bits that tell rows apart by doc_id and text; equal rows have equal ones."""
+    told = [doc_id.cast("string"), F.lit("text"), text.cast("string")]
+    return [F.xxhash64(*told).alias("mark_a"), F.xxhash64(*told[::-1]).alias("mark_b")]
 
 
 def sign(docs: DataFrame, size: int = 4) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit hash of the shingle set, and the signature (null if empty)."""
+    """For each row its number, doc_id and :func:`marks`, n_shingles, a 128-bit hash of the shingle set,
+    the signature (null if empty) and the text, compressed for later shuffles."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for first, last, data, bounds in text_blocks(batch.column(1)):
+            for first, last, data, bounds in text_blocks(batch.column(4)):
                 sets = shingle_sets(data, bounds, size)
                 counts = np.fromiter(map(len, sets), np.int64, len(sets))
                 full = np.flatnonzero(counts)
@@ -73,23 +84,23 @@ def sign(docs: DataFrame, size: int = 4) -> DataFrame:
                 firsts = (np.cumsum(counts) - counts)[full]
                 hashes = np.zeros((2, len(sets)), np.uint64)
                 signatures: list[bytes | None] = [None] * len(sets)
+                packed: list[bytes | None] = [None] * len(sets)
                 if len(full):
                     for k, flip in enumerate(seeds(2, 33)):
                         hashes[k, full] = np.add.reduceat(mix(values ^ flip), firsts)
                     for i, row in zip(full.tolist(), _signatures(values, firsts)):
                         signatures[i] = row.astype("<u4").tobytes()
+                        packed[i] = coder.compress(data[bounds[i] : bounds[i + 1]].tobytes())
+                kept = [batch.column(i).slice(first, last - first) for i in range(4)]
+                found = [counts, signed(hashes[0]), signed(hashes[1])]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(first, last - first),
-                        pa.array(counts),
-                        pa.array(signed(hashes[0])),
-                        pa.array(signed(hashes[1])),
-                        pa.array(signatures, pa.binary()),
-                    ],
-                    ["doc_id", "n_shingles", "set_a", "set_b", "signature"],
+                    [*kept, *map(pa.array, found), pa.array(signatures, pa.binary()), pa.array(packed, pa.binary())],
+                    ["row", "doc_id", "mark_a", "mark_b", "n_shingles", "set_a", "set_b", "signature", "packed"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, _SIGNED)
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), doc_id.alias("doc_id"), *marks(doc_id, text), text.alias("text"))
+    return rows.mapInArrow(run, _SIGNED)
 
 
 def chunk_keys(classes: DataFrame) -> DataFrame:
@@ -111,23 +122,47 @@ def chunk_keys(classes: DataFrame) -> DataFrame:
     return classes.select("id", "signature").mapInArrow(run, "key long, id long")
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    """(id, packed): texts compressed for the shuffle."""
+#: Bits of the sieve of ids: 8 MB, whatever the number of ids.
+SIEVE_BITS = 26
 
-    def shrink(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = zstandard.ZstdCompressor(level=1)
+
+def _slot(ids: np.ndarray) -> np.ndarray:
+    return (mix(ids.view(np.uint64)) >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)
+
+
+def sieved(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``texts`` (id, packed) that may be among ``ids`` (id), and few others.
+
+    A bit map of a fixed size is broadcast, so that texts which no pair needs are not shuffled. It is
+    only a sieve: a join on the id follows.
+    """
+
+    def slots(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                slot = np.unique(_slot(batch.column(0).to_numpy()))
+                word, first = np.unique(slot >> 6, return_index=True)
+                bits = np.bitwise_or.reduceat(np.uint64(1) << (slot & 63).astype(np.uint64), first)
+                yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(signed(bits))], ["word", "bits"])
+
+    words = ids.select("id").mapInArrow(slots, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bits = np.zeros(1 << (SIEVE_BITS - 6), np.uint64)
+    bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    sent = texts.sparkSession.sparkContext.broadcast(bits)
+
+    def sift(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [coder.compress((t or "").encode()) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], ["id", "packed"])
+            slot = _slot(batch.column(0).to_numpy())
+            there = (sent.value[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)
+            yield batch.filter(pa.array(there.astype(bool)))
 
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
-    return texts.mapInArrow(shrink, "id long, packed binary")
+    return texts.select("id", "packed").mapInArrow(sift, "id long, packed binary")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The ``pairs`` (a, b) whose texts' full sets overlap by ``percent``: 100 |A and B| >= percent |A or B|.
 
-    Texts travel compressed, once for each end of a pair.
+    ``texts`` (id, packed) travel compressed, once for each end of a pair.
     """
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +186,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataF
             kept = pa.array(np.flatnonzero(passed))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(kept), batch.column(1).take(kept)], ["a", "b"])
 
-    texts = _packed(docs)
+    texts = sieved(texts, pairs.select(F.explode(F.array("a", "b")).alias("id")))
     one, two = (texts.select(F.col("id").alias(c), F.col("packed").alias(f"packed_{c}")) for c in "ab")
     return pairs.join(one, "a").join(two, "b").select("a", "b", "packed_a", "packed_b").mapInArrow(check, "a long, b long")
 
@@ -208,11 +243,11 @@ def block_pairs(members: DataFrame, distance: int = DISTANCE, slice_members: int
 
 
 def confirm_blocks(
-    pairs: DataFrame, placed: DataFrame, docs: DataFrame, size: int, percent: int, distance: int = DISTANCE
+    pairs: DataFrame, placed: DataFrame, texts: DataFrame, size: int, percent: int, distance: int = DISTANCE
 ) -> DataFrame:
     """Links (a, b) that join the components of the documents of each pair of blocks.
 
-    ``placed`` has id, component, block and signature. Every text goes once to each pair that its block is
+    ``placed`` has id, component, block and signature, ``texts`` id and packed. Every text goes once to each pair that its block is
     in; there its set is made once, and sets of different components within ``distance`` are
     compared, nearest signatures first, as long as no other link has joined them. A pair of blocks
     gives fewer links than it has documents.
@@ -288,9 +323,8 @@ def confirm_blocks(
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     sides = pairs.select("one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"))
-    texts = _packed(docs)
     rows = placed.join(pairs.select(F.explode(F.array("one", "two")).alias("block")).distinct(), "block", "left_semi")
-    rows = rows.join(texts, "id").join(sides, "block")
+    rows = rows.join(sieved(texts, rows.select("id")), "id").join(sides, "block")
     rows = rows.select("one", "two", "block", "id", "component", "signature", "packed")
     ordered = rows.repartition("one", "two").sortWithinPartitions("one", "two", "block", "id")
     return ordered.mapInArrow(check, "a long, b long")
@@ -301,21 +335,15 @@ def _closed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None
     yield None
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """Every document's n_shingles, component_id and kept.
-
-    Words are separated by white space, A-Z lower-cased; a document's set is its distinct shingles
-    of ``size`` words, or its whole sequence if it has fewer. Documents are linked whose sets
-    overlap by ``percent`` or more. component_id is the smallest doc_id that is linked, directly or
-    over others; kept says whether that is the document itself. Documents without words (null,
-    empty or blank texts) are linked with nothing. Equal rows get equal results; rows of one doc_id
-    with different texts are judged each for itself. A null doc_id is linked with nothing, and kept.
-    """
+def _classified(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Of every row: doc_id, its marks, n_shingles, component_id, and whether it is ``linked`` to anything
+    that has its words and the ``first`` row of its component."""
     marked = stored(sign(docs, size), "signatures")
     full = marked.where("n_shingles > 0 and doc_id is not null")
-    classes = stored(
-        full.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature")), "classes"
-    )
+    # A class is named after its first row, since rows of one doc_id may be in several classes.
+    classes = full.groupBy("set_a", "set_b", "n_shingles").agg(F.min(F.struct("doc_id", "row")).alias("top"), F.first("signature").alias("signature"))
+    classes = stored(classes.select("set_a", "set_b", "n_shingles", F.col("top.row").alias("id"), F.col("top.doc_id").alias("doc_id"), "signature"), "classes")
+    texts = marked.select(F.col("row").alias("id"), "packed")
     keys = chunk_keys(classes)
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = stored(keys.join(sizes, "key"), "shared")
@@ -327,7 +355,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     votes = shared.join(centers, "key").where("id <> center").groupBy("id", "center").agg(F.count(F.lit(1)).alias("n"))
     chosen = votes.groupBy("id").agg(F.max(F.struct("n", (-F.col("center")).alias("c"))).alias("best"))
     pairs = stored(chosen.select(F.col("id").alias("a"), (-F.col("best.c")).alias("b")), "pairs")
-    linked = stored(confirm(pairs, docs, size, percent), "links")
+    linked = stored(confirm(pairs, texts, size, percent), "links")
     first = components(linked)
 
     # Keys whose members are not all in one component yet, in blocks of what had the same center.
@@ -347,7 +375,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     placed = stored(placed.join(classes.select("id", "signature"), "id").select("id", "component", "block", "signature"), "placed")
     members = shared.select("key", "id").join(split, "key").join(placed, "id")
     blocks = stored(block_pairs(members), "blocks")
-    more = confirm_blocks(blocks, placed, docs, size, percent)
+    more = confirm_blocks(blocks, placed, texts, size, percent)
     one, two = (first.select(F.col("id").alias(c), F.col("component").alias(f"{c}_part")) for c in "ab")
     merged = more.join(one, "a", "left").join(two, "b", "left")
     merged = merged.select(F.coalesce("a_part", "a").alias("a"), F.coalesce("b_part", "b").alias("b"))
@@ -356,32 +384,55 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     labels = first.join(second.select(F.col("id").alias("component"), F.col("component").alias("top")), "component", "left")
     labels = labels.select("id", F.coalesce("top", "component").alias("component"))
     lone = second.join(first, "id", "left_anti").select("id", "component")
-    named = classes.join(labels.unionByName(lone), "id", "left").select(
-        "set_a", "set_b", "n_shingles", F.coalesce("component", "id").alias("class_component")
+    named = classes.join(labels.unionByName(lone), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    named = stored(named.select("set_a", "set_b", "n_shingles", "id", "doc_id", "component"), "named")
+    tops = named.groupBy("component").agg(F.min(F.struct("doc_id", "id")).alias("top"))
+    named = named.join(tops, "component").select(
+        "set_a", "set_b", "n_shingles", F.col("top.doc_id").alias("component_doc"), F.col("top.id").alias("component_row")
     )
-    found = marked.join(named, ["set_a", "set_b", "n_shingles"], "left")
+    found = marked.drop("signature", "packed").join(named, ["set_a", "set_b", "n_shingles"], "left")
     linked_row = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    found = found.withColumn("component_id", F.when(linked_row, F.col("class_component")).otherwise(F.col("doc_id")))
+    return found.select(
+        "doc_id",
+        "mark_a",
+        "mark_b",
+        "n_shingles",
+        F.when(linked_row, F.col("component_doc")).otherwise(F.col("doc_id")).alias("component_id"),
+        linked_row.alias("linked"),
+        (F.col("row") == F.col("component_row")).alias("first"),
+    )
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """Every document's n_shingles, component_id and kept.
+
+    Words are separated by white space, A-Z lower-cased; a document's set is its distinct shingles
+    of ``size`` words, or its whole sequence if it has fewer. Documents are linked whose sets
+    overlap by ``percent`` or more. component_id is the smallest doc_id that is linked, directly or
+    over others; kept says whether that is the document itself. Documents without words (null,
+    empty or blank texts) are linked with nothing. Equal rows get equal results; rows of one doc_id
+    with different texts are judged each for itself. A null doc_id is linked with nothing, and kept.
+    """
+    found = _classified(docs, size, percent)
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each component, its smallest id, with all columns.
+    """One row of each component, of its smallest doc_id, with all columns.
 
-    Documents without words or without an id all stay. Where a kept id has several rows, one with
-    the smallest text stays; texts are shuffled for that only if there are such ids.
+    Rows without words or without an id all stay. Rows are told apart by doc_id and text, so that a
+    row never goes because of another text under its doc_id. Of rows equal in both one stays; texts
+    are shuffled for that only if there are such rows among those that stay.
     """
-    found = stored(near_duplicates(docs, size, percent), "components")
-    named = found.where("doc_id is not null and n_shingles > 0")
-    gone = named.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
-    repeated = named.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    if repeated.isEmpty():
+    found = stored(_classified(docs, size, percent).where("linked"), "components")
+    by_mark = found.groupBy("mark_a", "mark_b").agg(F.max("first").alias("first"), F.count(F.lit(1)).alias("n"))
+    by_mark = stored(by_mark.where("not first or n > 1").select(F.col("mark_a").alias("own_a"), F.col("mark_b").alias("own_b"), "first"), "marks")
+    mark_a, mark_b = marks(F.col("doc_id").cast("long"), F.col("text"))
+    same = (mark_a == F.col("own_a")) & (mark_b == F.col("own_b"))
+    left = docs.join(by_mark.where("not first"), same, "left_anti")
+    several = by_mark.where("first")
+    if several.isEmpty():
         return left
-    ids = repeated.select(F.col("doc_id").alias("repeated_id"))
-    again = F.col("doc_id").cast("long") == F.col("repeated_id")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    several = left.join(ids, again, "left_semi")
-    one = several.groupBy("doc_id").agg(F.min_by(whole, F.col("text")).alias("row"))
-    one = one.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
-    return left.join(ids, again, "left_anti").unionByName(one)
+    again = docs.join(several, same, "left_semi").groupBy(mark_a, mark_b).agg(F.min_by(whole, F.to_json(whole)).alias("row"))
+    return left.join(several, same, "left_anti").unionByName(again.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))

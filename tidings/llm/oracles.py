@@ -4,26 +4,26 @@ from __future__ import annotations
 
 _OP4 = r"""
 WITH lines AS (
-    SELECT doc_id, coalesce(source, '') AS host, string_split(text, chr(10)) AS ls FROM documents
+    SELECT row_number() OVER () AS page, doc_id, coalesce(source, '') AS host, string_split(text, chr(10)) AS ls FROM documents
 ), single AS (
-    SELECT doc_id, host, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM lines
+    SELECT page, host, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM lines
 ), boilerplate AS (
     SELECT host, trim(line, ' ' || chr(9) || chr(13)) AS line
     FROM single JOIN (SELECT host, count(*) AS host_pages FROM lines GROUP BY host) USING (host)
     WHERE trim(line, ' ' || chr(9) || chr(13)) <> ''
     GROUP BY host, trim(line, ' ' || chr(9) || chr(13)), host_pages
-    HAVING count(DISTINCT doc_id) >= 5 AND count(DISTINCT doc_id) > 0.1 * host_pages
+    HAVING count(DISTINCT page) >= 5 AND count(DISTINCT page) > 0.02 * host_pages
 ), marked AS (
-    SELECT s.doc_id, s.i, s.line, b.line IS NOT NULL AS dropped
+    SELECT s.page, s.i, s.line, b.line IS NOT NULL AS dropped
     FROM single s LEFT JOIN boilerplate b ON b.host = s.host AND b.line = trim(s.line, ' ' || chr(9) || chr(13))
 ), cleaned AS (
-    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+    SELECT page, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
         coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped), '') AS kept
-    FROM marked GROUP BY doc_id
+    FROM marked GROUP BY page
 )
 SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped,
     sha256(coalesce(kept, '')) AS kept_sha256
-FROM documents d LEFT JOIN cleaned USING (doc_id)
+FROM lines d LEFT JOIN cleaned USING (page)
 """
 
 _OP8 = r"""

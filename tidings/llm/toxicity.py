@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidings.llm.kernels import ALNUM
-from tidings.llm.linear import Ftrl, Model, fold, known_labels, score, train, word_features
+from tidings.llm.linear import Ftrl, Model, below, fold, known_labels, score, train, word_features
 
 FOLDS, HELD_OUT, THRESHOLD = 5, 0, 0.5
 PARAMETERS = Ftrl()
@@ -41,9 +41,6 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame, p: Ftrl = PARAMETERS) -> DataFrame:
     """The rows of ``docs`` below the threshold, with all their columns.
 
-    Whole rows go through the scoring, so equal rows and null ids need no join.
+    Whole rows go through the scoring, so equal rows and null ids need no join. ``text`` is a string.
     """
-    model = train_toxicity(docs, labels, p)
-    row = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), "text")
-    kept = score(row, model, FEATURES, "row").where(F.col("score") < THRESHOLD)
-    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return below(docs, train_toxicity(docs, labels, p), FEATURES, THRESHOLD)

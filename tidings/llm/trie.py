@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.llm.contraction import subtree_totals
+from tidings.llm.numbering import numbered
 from tidings.llm.tables import stored
 
 #: Turns that one task numbers or sums together.
@@ -24,25 +25,6 @@ RUN_IDS = 256
 _PIECES = [f"p{i}" for i in range(4)]
 
 
-def numbered(rows: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
-    """``rows`` with ``name``: their number, from 1, among those of equal ``keys``, by ``order`` (nulls first).
-
-    Rows are numbered within ranges of (keys, order), and moved on by the counts of the ranges before, so
-    that a key with any number of rows is spread. Rows equal in keys and order, which may be very many as
-    well, are told apart by their place in the input.
-    """
-    by = [F.col(c).asc_nulls_first() for c in [*order, "met"]]
-    met = rows.withColumn("met", F.monotonically_increasing_id())
-    dealt = met.repartitionByRange(*[F.col(c).asc_nulls_first() for c in keys], *by).withColumn("range", F.spark_partition_id())
-    dealt = stored(dealt, "ranges")
-    inside = F.row_number().over(Window.partitionBy("range", *keys).orderBy(*by))
-    earlier = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    before = dealt.groupBy(*keys, "range").agg(F.count(F.lit(1)).alias("n"))
-    before = before.select(*keys, "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")).where("before > 0")
-    placed = dealt.withColumn("inside", inside).join(before, [*keys, "range"], "left")
-    return placed.withColumn(name, F.col("inside") + F.coalesce("before", F.lit(0))).drop("inside", "before", "range", "met")
-
-
 def rebuilt_turns(conversations: DataFrame, borrowed: Column, base: Column, most: int) -> tuple[DataFrame, DataFrame]:
     """Conversations that begin with turns of another, and their turns.
 
