@@ -24,7 +24,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that more than a tenth of their source repeats.
+    """All documents, without the lines that more than one in fifty pages of their source repeats.
 
     ``n_chars`` follows the text where it has changed.
     """
