@@ -274,3 +274,16 @@ def test_plan_chunks(spark):
     assert [(r.chunk_start.day, r.chunk_end.day) for r in single] == [(1, 12)]
     with pytest.raises(ValueError):
         plan_chunks(ranges, 0)
+
+
+def test_many_terms_equal_few(spark):
+    from tidings.operators import filter_many_terms
+
+    rows = [(1, "The Quick fox", None), (2, None, "x%y"), (3, "", ""), (4, "é É", "ab"), (5, "a", "b"), (6, "nothing", "else")]
+    df = spark.createDataFrame(rows, "id long, u string, searched string")
+    for terms in (["quick", "%Y", "é"], ["ab"], ["zz"], [""], [], [f"no{i}" for i in range(3000)] + ["FOX"]):
+        for columns in (["u", "searched", "absent"], ["absent"], []):
+            many, few = (sorted(map(tuple, f(df, terms, columns).collect())) for f in (filter_many_terms, filter_terms))
+            assert many == few
+    with pytest.raises(ValueError):
+        filter_many_terms(df, ["abc", "def"], ["u"], max_characters=5)

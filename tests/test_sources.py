@@ -13,6 +13,7 @@ from tidings.sinks import write_events
 from tidings.sources import (
     archive_events,
     archive_status,
+    count_rejects,
     expand_archives,
     fetch_files,
     parse_action_codes,
@@ -25,6 +26,7 @@ from tidings.sources import (
     read_table,
     whole_lines,
 )
+from tidings.files import opener
 from tidings.sources.fetch import body_blocks
 
 
@@ -260,7 +262,7 @@ def test_fetch_statuses(spark, tmp_path):
         "n string, file_url string, local_filepath string, size double",
     )
     fetched = fetch_files(plan, _fetch_by_value(), tasks=3)
-    assert fetched.columns == [*plan.columns, "download_status"]
+    assert fetched.columns == [*plan.columns, "download_status", "stored_bytes"]
     assert {r.n: r.download_status for r in fetched.collect()} == {
         "a": "SUCCESS",
         "b": "FAILED: Not Found",
@@ -282,3 +284,53 @@ def _fetch_by_value():
 
     cloudpickle.register_pickle_by_value(__import__(__name__, fromlist=["_"]))
     return _fetch
+
+
+def test_lost_connections_are_tried_again(spark, tmp_path):
+    plan = spark.createDataFrame([(f"http://x/{n}", f"{tmp_path}/land/{n}") for n in "abc"], "file_url string, local_filepath string")
+
+    def fetch(url, folder=str(tmp_path)):
+        """The first file comes at the third try, the second never; the third is not there at all."""
+        import os
+
+        if url.endswith("c"):
+            raise FileNotFoundError(url)
+        tries = f"{folder}/{url[-1]}.tries"
+        with open(tries, "a") as out:
+            out.write("x")
+        if url.endswith("b") or os.path.getsize(tries) < 3:
+            raise ConnectionError(url)
+        return [b"12345"]
+
+    got = {r.file_url[-1]: (r.download_status, r.stored_bytes) for r in fetch_files(plan, fetch, 1, attempts=3, wait=0.01).collect()}
+    assert got == {"a": ("SUCCESS", 5), "b": ("FAILED: Connection Error", None), "c": ("FAILED: Not Found", None)}
+    assert os.path.getsize(tmp_path / "b.tries") == 3
+
+
+def test_other_schemes_are_opened_through_an_opener(spark, tmp_path):
+    located = opener({"shelf": ""})
+    plan = spark.createDataFrame([("http://x/a", f"shelf:{tmp_path}/land/a.csv.zip")], "file_url string, local_filepath string")
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w") as archive:
+        archive.writestr("a.csv", "1\t20240101\n")
+    data = content.getvalue()
+    assert fetch_files(plan, lambda url: [data], located=located).first().stored_bytes == len(data)
+    assert (tmp_path / "land" / "a.csv.zip").read_bytes() == data
+    def watched(uri):
+        return located(uri.replace("file:", "shelf:"))
+
+    lines = expand_archives(spark, str(tmp_path / "land"), located=watched)
+    assert [r.line for r in lines.collect()] == ["1\t20240101", None]
+
+
+def test_lines_of_other_lengths_are_kept_and_counted(spark, tmp_path):
+    (tmp_path / "20240101.export.CSV").write_text("1\ta\tx\n2\tb\n3\tc\ty\tz\n4\t\t\n")
+    (tmp_path / "20240102.export.CSV").write_text("5\ta\tx\n")
+    events = read_events(spark, str(tmp_path), ["id", "u", "v"], file_date_column="day", rejected_column="bad")
+    assert events.columns == ["id", "u", "v", "bad", "day"]
+    rows = {r.id: (r.u, r.v, r.bad) for r in events.collect()}
+    assert rows == {"1": ("a", "x", None), "2": ("b", None, "2\tb"), "3": ("c", "y", "3\tc\ty\tz"), "4": (None, None, None), "5": ("a", "x", None)}
+    assert [r.id for r in events.select("id").where("bad is not null").orderBy("id").collect()] == ["2", "3"]
+    counted = count_rejects(events, "bad", 3).orderBy("file").collect()
+    assert [tuple(r) for r in counted] == [("20240101.export.CSV", 4, 1, 1), ("20240102.export.CSV", 1, 0, 0)]
+    assert read_events(spark, str(tmp_path / "none"), ["id"], rejected_column="bad").columns == ["id", "bad"]

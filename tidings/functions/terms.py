@@ -9,6 +9,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def joined_columns(columns: Sequence[Column | str], terms: Sequence[str]) -> Column:
+    """The columns as one text, joined by a character that no term contains; NULL counts as the empty string."""
+    separator = next(mark for mark in map(chr, range(1, 0x10000)) if not any(mark in term for term in terms))
+    return F.concat_ws(separator, *columns)
+
+
 def contains_any(columns: Sequence[Column | str], terms: Sequence[str]) -> Column:
     """True where any column holds any term as a substring, ignoring case.
 
@@ -23,7 +29,6 @@ def contains_any(columns: Sequence[Column | str], terms: Sequence[str]) -> Colum
     wanted = sorted({term.lower() for term in terms})
     if "" in wanted:
         return F.lit(True)
-    separator = next(mark for mark in map(chr, range(1, 0x10000)) if not any(mark in term for term in wanted))
     first_characters = "".join(sorted({re.escape(term[0]) for term in wanted}))
     pattern = f"(?=[{first_characters}])(?:{'|'.join(map(re.escape, wanted))})"
-    return F.rlike(F.lower(F.concat_ws(separator, *columns)), F.lit(pattern))
+    return F.rlike(F.lower(joined_columns(columns, wanted)), F.lit(pattern))

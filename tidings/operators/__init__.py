@@ -8,7 +8,7 @@ from tidings.operators.lookups import SizedLookup, left_lookup, size_lookup
 from tidings.operators.manifest import download_plan, in_date_range, parse_manifest, range_size, total_size
 from tidings.operators.publishers import add_publisher, one_country_per_domain, publisher_lookup
 from tidings.operators.status import status_counts
-from tidings.operators.terms import filter_terms
+from tidings.operators.terms import filter_many_terms, filter_terms
 
 __all__ = [
     "SizedLookup",
@@ -17,6 +17,7 @@ __all__ = [
     "article_lists",
     "articles_in_one_row",
     "download_plan",
+    "filter_many_terms",
     "filter_terms",
     "in_date_range",
     "left_lookup",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -10,29 +11,33 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.functions import file_date
+from tidings.files import delete, names
+from tidings.loads import FILE_DATE, commit_load, compact_changed, read_snapshot, write_load
 from tidings.operators import SizedLookup, download_plan, plan_chunks, status_counts
 from tidings.plans.enrich import enrich_events
 from tidings.schema import KEEP_SHORT, RAW_COLUMNS, SEARCH_COLUMNS
 from tidings.shared import new_folder
-from tidings.sinks import compact_table, drop_dates, load_table
-from tidings.sinks.tables import FILE_DATE
+from tidings.sinks import compact_table
 from tidings.sources import archive_events, expand_archives, fetch_files, http_get, read_events
 from tidings.sources.archives import BAD_ZIP, OK
+from tidings.sources.fetch import missing_files
 
 
 @dataclass(frozen=True)
 class Loaded:
     """What a load has done: rows written, dates replaced, and damaged archives, whose dates keep
-    the rows they had. ``statuses`` counts the downloads of a whole job."""
+    the rows they had. ``statuses`` counts the downloads of a whole job, ``rejected`` the lines of plain
+    files with too many or too few fields."""
 
     rows: int = 0
     dates: list[dt.date] = field(default_factory=list)
     damaged: list[str] = field(default_factory=list)
     statuses: DataFrame | None = None
+    rejected: int = 0
 
     def __add__(self, other: Loaded) -> Loaded:
-        return Loaded(self.rows + other.rows, self.dates + other.dates, self.damaged + other.damaged, self.statuses)
+        rows, rejected = self.rows + other.rows, self.rejected + other.rejected
+        return Loaded(rows, self.dates + other.dates, self.damaged + other.damaged, self.statuses, rejected)
 
 
 def fetch_range(
@@ -44,42 +49,58 @@ def fetch_range(
     status_path: str,
     fetch: Callable[[str], Iterable[bytes]] = http_get,
     tasks: int | None = None,
+    resume: bool = False,
+    attempts: int = 1,
 ) -> DataFrame:
     """Download the files of a date range and count them per status.
 
     The outcomes are written once, to a folder of their own below ``status_path`` that names the
     range, and counted from there, so nothing is downloaded a second time. Outcomes of other
-    ranges stay.
+    ranges stay. With ``resume`` files that have landed complete are left out of the plan and counted
+    as ``SKIPPED: Landed`` (see :func:`~tidings.sources.fetch.missing_files`).
     """
+    spark = manifest.sparkSession
     plan = download_plan(manifest, start, end, base_url, landing)
     path = f"{status_path.rstrip('/')}/range={start}_{end}"
-    fetch_files(plan, fetch, tasks).write.mode("overwrite").parquet(path)
-    return status_counts(manifest.sparkSession.read.parquet(path))
+    missing, landed = missing_files(plan, landing, status_path) if resume else (plan, plan.limit(0))
+    fetched = fetch_files(missing, fetch, tasks, attempts=attempts)
+    outcomes = new_folder(spark, "outcomes")
+    skipped = landed.withColumn("download_status", F.lit("SKIPPED: Landed"))
+    fetched.unionByName(skipped, allowMissingColumns=True).write.parquet(outcomes)
+    # Outcomes of an earlier run of the range are read until the new ones are there.
+    spark.read.schema(fetched.schema).parquet(outcomes).write.mode("overwrite").parquet(path)
+    delete(spark, outcomes)
+    return status_counts(spark.read.schema(fetched.schema).parquet(path))
+
+
+def _named_date(name: str) -> dt.date | None:
+    """The date of a daily file named ``yyyyMMdd.*``."""
+    stem = name.rsplit("/", 1)[-1].split(".", 1)[0]
+    try:
+        return dt.datetime.strptime(stem, "%Y%m%d").date() if re.fullmatch("[0-9]{8}", stem) else None
+    except ValueError:
+        return None
 
 
-def _landed_dates(spark: SparkSession, path: str, start: dt.date, end: dt.date) -> list[dt.date]:
-    """Dates in a range of the event files in ``path``, empty ones included, from the listing alone."""
-    context = spark.sparkContext
-    every = context._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/*")
-    found = every.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(every) or []
-    names = [name for name in (status.getPath().getName() for status in found) if name.lower().endswith(".csv")]
-    days = {day for day in _named_dates(spark, names).values() if day and start <= day <= end}
-    return sorted(days)
+def _landed_dates(spark: SparkSession, path: str, start: dt.date, end: dt.date, suffix: str) -> list[dt.date]:
+    """Dates in a range of the files in ``path``, empty ones included, from the listing alone."""
+    days = {_named_date(name) for name in names(spark, path) if name.lower().endswith(suffix)}
+    return sorted(day for day in days if day and start <= day <= end)
 
 
-def _replace(spark: SparkSession, enriched: DataFrame, table: str, dates: list[dt.date]) -> int:
-    """Put the rows of ``enriched`` in the place of all ``dates`` of ``table``; returns their number.
+def _written(spark: SparkSession, enriched: DataFrame, table: str) -> tuple[str, set[dt.date]]:
+    """The rows of ``enriched`` as a load without effect yet, and the dates that it has rows of."""
+    seen = Observation()
+    load = write_load(enriched.observe(seen, F.collect_set(FILE_DATE).alias("dates")), table)
+    return load, set(seen.get["dates"] or [])
 
-    Dates that have no rows any more are emptied, after the write of the others has succeeded.
-    """
-    if not dates:
-        return 0
-    rows = Observation()
-    measures = [F.count(F.lit(1)).alias("rows"), F.collect_set(FILE_DATE).alias("dates")]
-    load_table(enriched.where(F.col(FILE_DATE).isin(dates)).observe(rows, *measures), table)
-    filled = set(rows.get["dates"] or [])
-    drop_dates(spark, table, [d for d in dates if d not in filled])
-    return rows.get["rows"]
+
+def _committed(
+    spark: SparkSession, enriched: DataFrame, table: str, load: str, dates: list[dt.date], filled: set[dt.date]
+) -> int:
+    """Put the load in the place of all ``dates`` in one step; returns its number of rows, from file footers."""
+    now = commit_load(spark, table, load, enriched.schema, dates, filled)
+    return read_snapshot(spark, table, now, [d.isoformat() for d in filled.intersection(dates)]).count()
 
 
 def ingest_files(
@@ -99,12 +120,20 @@ def ingest_files(
     """Enrich the landed plain event files of a date range into ``table``.
 
     ``table`` is partitioned by the date in the file's name. The dates of the range's files are
-    replaced, also by nothing; other dates stay as they are. Files without a date are not read.
+    replaced, also by nothing, in one step (see ``tidings.loads``); other dates stay as they are. Files
+    without a date are not read. Lines with too many or too few fields are loaded as far as they go, and counted.
     """
-    dates = _landed_dates(spark, landing, start, end)
-    events = read_events(spark, landing, headers, encoding, FILE_DATE)
+    dates = _landed_dates(spark, landing, start, end, ".csv")
+    if not dates:
+        return Loaded()
+    rejects = Observation()
+    events = read_events(spark, landing, headers, encoding, FILE_DATE, rejected_column="rejected_line")
+    events = events.where(F.col(FILE_DATE).isin(dates)).observe(rejects, F.count("rejected_line").alias("n"))
+    events = events.drop("rejected_line")
     enriched = enrich_events(events, publishers, actions, columns, terms, search_columns, carry=[FILE_DATE])
-    return Loaded(_replace(spark, enriched, table, dates), dates)
+    load, filled = _written(spark, enriched, table)
+    rows = _committed(spark, enriched, table, load, dates, filled)
+    return Loaded(rows, dates, rejected=rejects.get["n"])
 
 
 def ingest_archives(
@@ -125,9 +154,11 @@ def ingest_archives(
 
     ``table`` is partitioned by the date in the archive's name, whatever its members are called.
     The dates of the range's archives are replaced, also by nothing; other dates stay as they are,
-    and so does a date with a damaged archive, which is reported. Archives are read once: their
-    rows are staged in the shared folder, and taken over when it is known which were whole.
+    and so does a date with a damaged archive, which is reported. Archives are read once and rows
+    are written once; the load is put in place when it is known which archives were whole.
     """
+    if not _landed_dates(spark, landing, start, end, ".zip"):
+        return Loaded()
     try:
         lines = expand_archives(spark, landing, encoding, dates=(start, end))
     except AnalysisException as error:
@@ -142,19 +173,12 @@ def ingest_archives(
         F.collect_set(F.when(F.col("status") == BAD_ZIP, archive)).alias("damaged"),
     )
     events = archive_events(watched, headers, FILE_DATE)
-    staged = new_folder(spark, "staged")
     enriched = enrich_events(events, publishers, actions, columns, terms, search_columns, carry=[FILE_DATE])
-    enriched.write.partitionBy(FILE_DATE).parquet(staged)
-    whole, damaged = (_named_dates(spark, states.get[k] or []) for k in ("whole", "damaged"))
-    dates = sorted(set(whole.values()) - set(damaged.values()))
-    names = sorted(path.rsplit("/", 1)[1] for path in damaged)
-    rows = spark.read.schema(enriched.schema).parquet(staged)
-    return Loaded(_replace(spark, rows, table, dates), dates, names)
-
-
-def _named_dates(spark: SparkSession, paths: list[str]) -> dict[str, dt.date]:
-    named = spark.createDataFrame([(p,) for p in paths], "path string")
-    return {r["path"]: r["day"] for r in named.select("path", file_date(F.substring_index("path", "/", -1)).alias("day")).collect()}
+    load, filled = _written(spark, enriched, table)
+    whole, damaged = ({path: _named_date(path) for path in states.get[k] or []} for k in ("whole", "damaged"))
+    dates = sorted({d for d in whole.values() if d} - set(damaged.values()))
+    broken = sorted(path.rsplit("/", 1)[1] for path in damaged)
+    return Loaded(_committed(spark, enriched, table, load, dates, filled), dates, broken)
 
 
 def run_ingest(
@@ -179,17 +203,21 @@ def run_ingest(
     download_only: bool = False,
     fetch: Callable[[str], Iterable[bytes]] = http_get,
     tasks: int | None = None,
+    resume: bool = False,
+    attempts: int = 1,
 ) -> Loaded:
     """Fetch, enrich, store and optionally compact a date range.
 
     Returns the counts by download status, the rows stored, the dates replaced and the damaged
     archives. The range is fetched and loaded as a whole, which lets Spark spread all files at once.
     ``chunk_days`` loads it window by window instead, for a landing area read in turns. The
-    compact copy has ``num_files`` files, or stays partitioned by file date if none is given.
+    compact copy has ``num_files`` files, or stays partitioned by file date if none is given: then
+    only dates that have changed are written again. With ``resume`` files that have landed are not
+    fetched again, and ``attempts`` bounds the tries of a file.
     """
     if start > end:
         raise ValueError("the start date cannot be after the end date")
-    result = Loaded(statuses=fetch_range(manifest, start, end, base_url, landing, status_path, fetch, tasks))
+    result = Loaded(statuses=fetch_range(manifest, start, end, base_url, landing, status_path, fetch, tasks, resume, attempts))
     if download_only:
         return result
     windows = [(start, end)]
@@ -202,5 +230,8 @@ def run_ingest(
             spark, first, last, landing, table, publishers, actions, columns, terms, search_columns, headers, encoding
         )
     if compacted and result.dates:
-        compact_table(spark, table, compacted, num_files, by=None if num_files else FILE_DATE)
+        if num_files:
+            compact_table(spark, table, compacted, num_files)
+        else:
+            compact_changed(spark, table, compacted)
     return result

@@ -1,5 +1,15 @@
 """Sinks: DataFrames to stored tables."""
 
+from tidings.loads import commit_load, compact_changed, write_load
 from tidings.sinks.tables import append_table, compact_table, drop_dates, load_table, write_events
 
-__all__ = ["append_table", "compact_table", "drop_dates", "load_table", "write_events"]
+__all__ = [
+    "append_table",
+    "commit_load",
+    "compact_changed",
+    "compact_table",
+    "drop_dates",
+    "load_table",
+    "write_events",
+    "write_load",
+]

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
+from tidings.files import delete
+from tidings.loads import FILE_DATE
 from tidings.sources.tables import read_table
 
-FILE_DATE = "file_date"
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 
 _UNTRIMMED = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
@@ -37,10 +38,8 @@ def load_table(df: DataFrame, path: str, by: str = FILE_DATE) -> None:
 
 def drop_dates(spark: SparkSession, path: str, dates: Iterable[dt.date], by: str = FILE_DATE) -> None:
     """Remove the partitions of ``dates`` from a table of :func:`load_table`; absent ones are skipped."""
-    context = spark.sparkContext
     for date in dates:
-        folder = context._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{by}={date.isoformat()}")
-        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        delete(spark, f"{path.rstrip('/')}/{by}={date.isoformat()}")
 
 
 def _joined(name: str, kind: DataType):

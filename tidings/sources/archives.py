@@ -9,11 +9,12 @@ further. Whether an archive is whole is known at its end, so its state is its la
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidings.files import opener
 from tidings.functions import file_date
 from tidings.schema import RAW_COLUMNS
 
@@ -28,6 +29,7 @@ def expand_archives(
     path: str,
     encoding: str = "UTF-8",
     dates: tuple[dt.date, dt.date] | None = None,
+    located: Callable[[str], tuple] | None = None,
 ) -> DataFrame:
     """Lines of all members of the ``*.zip`` files in ``path``: ``archive, member, line, status``.
 
@@ -35,9 +37,9 @@ def expand_archives(
     if it was read whole, ``BAD_ZIP`` if it is damaged. Lines in front of the damage come before
     that row, and whoever stores them has to discard them (:func:`whole_lines`, or the ingest job).
     Archives stay where they are. ``dates`` leaves out, by file name, the archives outside an
-    inclusive date range.
+    inclusive date range. ``located`` opens addresses on the workers (see ``tidings.files.opener``).
     """
-    ok, bad = OK, BAD_ZIP
+    ok, bad, located = OK, BAD_ZIP, located or opener()
 
     def lines_of(batches: Iterator) -> Iterator:
         # Imports and constants stay inside: workers need not have this package installed.
@@ -47,16 +49,10 @@ def expand_archives(
         import zlib
 
         import pyarrow as pa
-        from pyarrow.fs import FileSystem, LocalFileSystem
 
         block = 4 * 1024 * 1024
         damage = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError, ValueError)
 
-        def located(uri: str):
-            if uri.startswith("file:"):
-                return LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-            return FileSystem.from_uri(uri)
-
         def rows(archive: str, member: str | None, lines: list, status: str):
             n = len(lines)
             columns = [pa.array([archive] * n), pa.array([member] * n, pa.string())]

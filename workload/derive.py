@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidings.files import opener
 from tidings.functions import domain_of
 from tidings.schema import RAW_COLUMNS
 
@@ -158,19 +159,16 @@ def event_lines(events: DataFrame) -> DataFrame:
 
 def write_archives(lines: DataFrame, folder: str) -> int:
     """Store ``lines`` as zip archives, one per batch of a task; returns their number."""
+    located = opener()
 
     def zipped(batches):
         import io
         import zipfile
 
         import pyarrow as pa
-        from pyarrow.fs import FileSystem, LocalFileSystem
         from pyspark import TaskContext
 
-        if folder.startswith("file:"):
-            files, base = LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
-        else:
-            files, base = FileSystem.from_uri(folder)
+        files, base = located(folder)
         files.create_dir(base, recursive=True)
         for number, batch in enumerate(batches):
             stem = f"p{TaskContext.get().partitionId():06d}b{number:06d}.export.CSV"
@@ -184,58 +182,54 @@ def write_archives(lines: DataFrame, folder: str) -> int:
     return lines.mapInArrow(zipped, "archive string").count()
 
 
-def write_daily_archives(events: DataFrame, folder: str, member: str, damaged: str = "") -> None:
-    """One zip archive for each ``SQLDATE``, named after it, with all its events in ``member``.
+def write_daily_archives(events: DataFrame, folder: str, member: str, damaged: str = "", parts: int = 1) -> None:
+    """Zip archives for each ``SQLDATE``, named after it, with its events in ``member``.
 
-    Archives of days that end in ``damaged`` are cut short.
+    A day has up to ``parts`` archives, their number after the date. Archives of days that end in
+    ``damaged`` lack their end. Lines are written as they come, so a day of any size is held by no task.
     """
-    lines = events.select("SQLDATE", _line(events).alias("line"))
+    _write_daily(events, folder, ".export.CSV.zip", member, damaged, parts)
 
-    def zipped(day):
-        import io
-        import zipfile
 
-        import pyarrow as pa
-        from pyarrow.fs import FileSystem, LocalFileSystem
-
-        if folder.startswith("file:") or folder.startswith("/"):
-            files, base = LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
-        else:
-            files, base = FileSystem.from_uri(folder)
-        files.create_dir(base, recursive=True)
-        name = day.column("SQLDATE")[0].as_py()
-        content = io.BytesIO()
-        with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as archive:
-            archive.writestr(member, "".join(f"{line}\n" for line in day.column("line").to_pylist()))
-        data = content.getvalue()
-        if damaged and name.endswith(damaged):
-            data = data[: len(data) // 2]
-        with files.open_output_stream(f"{base}/{name}.export.CSV.zip") as out:
-            out.write(data)
-        return pa.table({"archive": [name]})
+def write_daily_files(events: DataFrame, folder: str, parts: int = 3) -> None:
+    """Plain event files for each ``SQLDATE``, named after it, written like the archives."""
+    _write_daily(events, folder, ".export.CSV", None, "", parts)
 
-    lines.groupBy("SQLDATE").applyInArrow(zipped, "archive string").count()
 
+def _write_daily(events: DataFrame, folder: str, ending: str, member: str | None, damaged: str, parts: int) -> None:
+    located = opener()
+    part = F.pmod(F.xxhash64(*events.columns), F.lit(parts))
+    name = F.concat("SQLDATE", F.when(part > 0, F.concat(F.lit("."), part.cast("string"))).otherwise(""), F.lit(ending))
+    lines = events.select(name.alias("name"), F.concat(_line(events), F.lit("\n")).alias("line"))
 
-def write_daily_files(events: DataFrame, folder: str) -> None:
-    """One plain event file for each ``SQLDATE``, named after it, written like the archives."""
-    lines = events.select("SQLDATE", _line(events).alias("line"))
+    def written(batches):
+        import contextlib
+        import zipfile
+        from itertools import groupby
 
-    def written(day):
         import pyarrow as pa
-        from pyarrow.fs import FileSystem, LocalFileSystem
 
-        if folder.startswith("file:") or folder.startswith("/"):
-            files, base = LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
-        else:
-            files, base = FileSystem.from_uri(folder)
+        files, base = located(folder)
         files.create_dir(base, recursive=True)
-        name = day.column("SQLDATE")[0].as_py()
-        with files.open_output_stream(f"{base}/{name}.export.CSV") as out:
-            out.write("".join(f"{line}\n" for line in day.column("line").to_pylist()).encode())
-        return pa.table({"file": [name]})
-
-    lines.groupBy("SQLDATE").applyInArrow(written, "file string").count()
+        rows = ((batch.column(0).to_pylist(), batch.column(1).to_pylist()) for batch in batches)
+        pairs = (pair for names, texts in rows for pair in zip(names, texts))
+        for name, group in groupby(pairs, key=lambda pair: pair[0]):
+            with files.open_output_stream(f"{base}/{name}") as out:
+                if member is None:
+                    for _, line in group:
+                        out.write(line.encode())
+                else:
+                    archive = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)
+                    with archive.open(member, "w") as inner:
+                        for _, line in group:
+                            inner.write(line.encode())
+                    if damaged and name[:8].endswith(damaged):
+                        archive._didModify = False  # its end, the list of members, is never written
+                    with contextlib.suppress(ValueError):
+                        archive.close()
+            yield pa.RecordBatch.from_arrays([pa.array([name])], names=["file"])
+
+    lines.repartition("name").sortWithinPartitions("name").mapInArrow(written, "file string").count()
 
 
 def _line(events: DataFrame) -> Column:
@@ -244,12 +238,7 @@ def _line(events: DataFrame) -> Column:
 
 def read_blocks(url: str):
     """Blocks of a published file on the shared file system, in the place of a server."""
-    from pyarrow.fs import FileSystem, LocalFileSystem
-
-    if url.startswith("file:") or url.startswith("/"):
-        files, path = LocalFileSystem(), "/" + url.removeprefix("file:").lstrip("/")
-    else:
-        files, path = FileSystem.from_uri(url)
+    files, path = opener()(url)
     with files.open_input_stream(path) as source:
         while block := source.read(1 << 16):
             yield block

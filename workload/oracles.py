@@ -314,6 +314,19 @@ SELECT SQLDATE AS day, count(*) AS events, 1::BIGINT AS dates FROM raw WHERE SQL
     "job_counts": """SELECT 'SUCCESS' AS download_status, count(DISTINCT CAST(ts AS DATE)) AS count, count(*) AS rows,
   count(DISTINCT CAST(ts AS DATE)) AS days FROM events""",
     "job_compacted": _loaded(),
+    "job_compacted_twice": """WITH days AS (SELECT CAST(ts AS DATE) AS d, count(*) AS n FROM events GROUP BY 1)
+SELECT strftime(d, '%Y%m%d') AS day, n AS events, n AS events_now, d >= (SELECT max(d) FROM days) - 2 AS rewritten FROM days""",
+    "fetch_again": f"""WITH {_MANIFEST}, days AS (SELECT DISTINCT day FROM manifest WHERE {_IN_RANGE})
+SELECT CASE WHEN substr(day, 7, 2) IN ('13', '29') THEN 'SUCCESS' ELSE 'SKIPPED: Landed' END AS download_status, count(*) AS count
+FROM days GROUP BY 1""",
+    "event_rejects": """SELECT count(*) AS lines, count(*) FILTER (event_id % 10 = 3) AS too_short,
+  count(*) FILTER (event_id % 10 = 7) AS too_long FROM events""",
+    "filter_terms_many": """WITH numbers AS (SELECT unnest(range(0, 10000)) * 1187 AS n),
+terms AS (SELECT string_agg(chr((97 + n // power(26, k)::BIGINT % 26)::INTEGER), '' ORDER BY k) AS term
+  FROM numbers, range(0, 5) t(k) GROUP BY n),
+grams AS (SELECT doc_id, source, unnest(list_distinct(list_transform(range(1, greatest(length(text) - 3, 1)), lambda i: lower(text)[i:i + 4]))) AS term
+  FROM documents)
+SELECT DISTINCT doc_id, source FROM grams JOIN terms USING (term)""",
     "job_empty_range": "SELECT count(*) AS events, 0::BIGINT AS files, 0::BIGINT AS rows FROM events",
     "fetch_status": f"""WITH {_MANIFEST}, days AS (SELECT DISTINCT day FROM manifest WHERE {_IN_RANGE}),
 counted AS (SELECT CASE substr(day, 7, 2) WHEN '13' THEN 'FAILED: Not Found' WHEN '29' THEN 'FAILED: Timeout'

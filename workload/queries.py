@@ -16,6 +16,7 @@ from tidings.operators import (
     article_lists,
     articles_in_one_row,
     download_plan,
+    filter_many_terms,
     filter_terms,
     in_date_range,
     left_lookup,
@@ -31,12 +32,13 @@ from tidings.operators import (
 )
 from tidings.operators.manifest import manifest_rejects
 from tidings.plans import Loaded, enrich_events, fetch_range, ingest_archives, ingest_files, run_ingest
-from tidings.schema import KEEP_LARGE, KEEP_SHORT
-from tidings.shared import new_folder
-from tidings.sinks import append_table, compact_table, load_table, write_events
+from tidings.schema import KEEP_LARGE, KEEP_SHORT, RAW_COLUMNS
+from tidings.shared import new_folder, settled
+from tidings.sinks import append_table, compact_changed, compact_table, load_table, write_events
 from tidings.sources import (
     archive_events,
     archive_status,
+    count_rejects,
     expand_archives,
     parse_action_codes,
     read_action_codes,
@@ -103,6 +105,14 @@ def filter_terms_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url")
 
 
+def filter_terms_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with any of ten thousand terms of five letters, by one automaton."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    numbers = [i * 1_187 for i in range(10_000)]
+    terms = ["".join(letters[n // 26**k % 26] for k in range(5)) for n in numbers]
+    return filter_many_terms(table(spark, sf_dir, "documents"), terms, ["text", "no_such_column"]).select("doc_id", "source")
+
+
 # Publisher domain and country
 
 
@@ -430,9 +440,9 @@ def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def archive_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archives of one day each, cut short on days that end in 5: events of the whole ones, by archive."""
+    """Archives of one day, several a day, cut short on days that end in 5: events of the whole ones, by day."""
     folder = new_folder(spark, "archives")
-    write_daily_archives(_short_events(spark, sf_dir), folder, "events.csv", damaged="5")
+    write_daily_archives(_short_events(spark, sf_dir), folder, "events.csv", damaged="5", parts=3)
     lines = whole_lines(expand_archives(spark, folder))
     events = archive_events(lines, KEEP_SHORT, "file_date")
     return events.groupBy(F.date_format("file_date", "yyyyMMdd").alias("day")).agg(
@@ -455,7 +465,7 @@ def _stored(spark: SparkSession, path: str) -> DataFrame:
 
 def _loads(spark: SparkSession, sf_dir: str, member: str = "events.csv", damaged: str = "") -> dict:
     folder = new_folder(spark, "landing")
-    write_daily_archives(_short_events(spark, sf_dir), folder, member, damaged)
+    write_daily_archives(_short_events(spark, sf_dir), folder, member, damaged, parts=3)
     return dict(
         landing=folder, table=new_folder(spark, "table"), publishers=_publishers(spark, sf_dir), actions=_actions(spark, sf_dir),
         headers=KEEP_SHORT,
@@ -492,7 +502,7 @@ def ingest_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_plain_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed plain event files, one a day, loaded twice; the stored table."""
+    """Landed plain event files, several a day, loaded twice; the stored table."""
     first, last = _bounds(spark, sf_dir)
     job = _loads(spark, sf_dir)
     plain = new_folder(spark, "plain")
@@ -530,6 +540,25 @@ def job_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, _whole_job(spark, sf_dir)[2])
 
 
+def job_compacted_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job, then its last three days again: which days the compact copy has written anew, by file names."""
+    first, last = _bounds(spark, sf_dir)
+    job = _loads(spark, sf_dir)
+    copy = new_folder(spark, "compact")
+
+    def compacted() -> DataFrame:
+        compact_changed(spark, job["table"], copy)
+        stored = read_table(spark, copy).select(F.date_format("file_date", "yyyyMMdd").alias("day"), F.col("_metadata.file_name").alias("file"))
+        return stored.groupBy("day").agg(F.count("*").alias("events"), F.collect_set("file").alias("files"))
+
+    ingest_archives(spark, first, last, **job)
+    before = settled(compacted())
+    ingest_archives(spark, last - dt.timedelta(days=2), last, **job)
+    after = compacted().select("day", F.col("events").alias("events_now"), F.col("files").alias("files_now"))
+    kept = F.size(F.array_intersect("files", "files_now"))
+    return before.join(after, "day").select("day", "events", "events_now", (kept == 0).alias("rewritten"))
+
+
 def job_empty_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A range without files: no downloads, and nothing stored; one row from ``events`` beside it."""
     first, _ = _bounds(spark, sf_dir)
@@ -564,6 +593,35 @@ def fetch_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("download_status", "count", stored)
 
 
+def fetch_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every listed day fetched twice, the second time from a publisher that has them all: only what failed is asked for."""
+
+    def failing(url: str):
+        if url.rsplit("/", 1)[1][6:8] in ("13", "29"):
+            raise TimeoutError(url)
+        return [url.encode()]
+
+    manifest = parse_manifest(manifest_lines(spark, sf_dir)).dropDuplicates(["Date"])
+    folder = new_folder(spark, "fetch")
+    places = ("http://files.example.org/", f"{folder}/landing", f"{folder}/status")
+    fetch_range(manifest, *RANGE, *places, failing)
+    return fetch_range(manifest, *RANGE, *places, lambda url: [url.encode()], resume=True)
+
+
+def event_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event files with lines of 57, 58 and 59 fields: how many of each the reader keeps."""
+    path = new_folder(spark, "rejects")
+    events = raw_events(spark, sf_dir)
+    event = F.col("GLOBALEVENTID").cast("long")
+    line = F.concat_ws("\t", *[F.coalesce(c, F.lit("")) for c in RAW_COLUMNS])
+    short = F.concat_ws("\t", *[F.coalesce(c, F.lit("")) for c in RAW_COLUMNS[:-1]])
+    line = F.when(event % 10 == 3, short).when(event % 10 == 7, F.concat(line, F.lit("\textra"))).otherwise(line)
+    events.select(line.alias("value")).write.option("compression", "none").text(f"{path}/text")
+    kept = read_events(spark, f"{path}/text", rejected_column="rejected", pattern="*.txt")
+    counted = count_rejects(kept, "rejected")
+    return counted.agg(*[F.sum(c).alias(c) for c in ("lines", "too_short", "too_long")])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -572,6 +630,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         select_large,
         filter_terms_documents,
         filter_terms_pages,
+        filter_terms_many,
         term_hits,
         domain_extract,
         country_tld,
@@ -619,7 +678,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ingest_plain_files,
         job_counts,
         job_compacted,
+        job_compacted_twice,
         job_empty_range,
         fetch_status,
+        fetch_again,
+        event_rejects,
     )
 }
