@@ -160,14 +160,6 @@ def test_scores_against_plain_sums(spark, make_docs):
         assert block_scores(model, dense, FEATURES, data, bounds)[0] == pytest.approx(plain, rel=1e-6)
 
 
-def test_rare_coordinates_that_are_left_out_could_not_be_proven():
-    """Whatever the gradients of up to c * c texts are, their sum stays within c times the root of their squares."""
-    rng = np.random.default_rng(9)
-    for c in (1.5, 2.0, 2.5, 3.0):
-        g = rng.uniform(-1, 1, (2000, int(c * c)))
-        assert (np.abs(g.sum(axis=1)) <= c * (1.0 + np.sqrt((g * g).sum(axis=1)))).all()
-
-
 def test_dropping_keeps_whole_rows(spark, make_docs):
     rows = [(i if i % 5 else None, "you bad dog" if i % 2 else "a fine day", "s") for i in range(200)]
     labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")

@@ -6,7 +6,6 @@ weights of a fixed number of coordinates. Scoring is one pass over whole texts w
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -19,6 +18,8 @@ from pyspark.sql import types as T
 from tidings.llm.kernels import Words, mix, seeds, text_blocks
 from tidings.llm.tables import stored
 
+#: Ranges of coordinates whose sums are added up side by side.
+RANGES = 64
 #: Features of a block of texts: for each, its text and its 64-bit hash; texts ascend.
 Features = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
@@ -167,6 +168,13 @@ def present(texts: np.ndarray, keys: np.ndarray, bits: int, n: int) -> Rows:
     return Rows((both & np.uint64((1 << bits) - 1)).astype(np.int32), at)
 
 
+def joined(parts: list[Rows]) -> Rows:
+    """The texts of all parts, one after the other."""
+    before = np.cumsum([0, *[len(x.at) for x in parts]])
+    bounds = [x.bounds[1:] + b for x, b in zip(parts, before)]
+    return Rows(np.concatenate([np.empty(0, np.int32), *[x.at for x in parts]]), np.concatenate([np.zeros(1, np.int64), *bounds]))
+
+
 def train(docs: DataFrame, known: DataFrame, features: Features, p: Ftrl) -> Model:
     """A model from the texts of ``docs`` (doc_id, text) whose labels are ``known`` (doc_id, label 0/1).
 
@@ -175,13 +183,11 @@ def train(docs: DataFrame, known: DataFrame, features: Features, p: Ftrl) -> Mod
     weights, which scores 0 throughout. The labels are thinned out to about ``p.sample_rows`` at
     most before they are broadcast, so only texts of the sample leave their tasks.
 
-    Coordinates are counted first, and those in too few texts to be proven are left out: summed
-    gradients are at most the root of the number of texts times the root of their squares, so that a
-    bound of c asks for more than c*c texts. What is left of the sample is stored as coordinates. Then
-    shards of rows, each within one fold, follow the leader on their own; their summed gradients and
-    squares add up over the shards, and coordinates without proof in the sums get no weight. One task fits the
-    rest. Of several bounds one is chosen before: for each fold a task proves by the shards of the
-    other folds, fits their rows, and sums the loss over its own.
+    Two passes over the stored sample. In the first, shards of rows, each within one fold, follow
+    the leader on their own; their summed gradients and squares add up over the shards, range by range of
+    coordinates, and coordinates without proof in the sums get no weight. In the second one task fits the
+    rest, from the sample's rows with only those coordinates. Of several bounds one is chosen before: for
+    each fold a task proves by the shards of the other folds, fits their rows, and sums the loss over its own.
     """
     total = known.count()
     key = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(1 << 40))
@@ -195,26 +201,37 @@ def train(docs: DataFrame, known: DataFrame, features: Features, p: Ftrl) -> Mod
     if sample.isEmpty():
         return Model(p.bits)
     size, lowest = 1 << p.bits, min(p.proofs)
-    enough = min(int(lowest * lowest) + 1, 255)
+    width = -(-size // RANGES)
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(size, np.uint8)
-        for batch in batches:
-            for first, last, data, bounds in text_blocks(batch.column(0)):
-                found = present(*features(data, bounds), p.bits, last - first).at
-                more = np.minimum(np.bincount(found, minlength=size), enough).astype(np.uint8)
-                seen = np.minimum(seen.astype(np.uint16) + more, enough).astype(np.uint8)
-        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(seen.tobytes(), 1)], pa.binary())], ["seen"])
-
-    # One row of at most 2**bits bytes for each group of shards; there are 16 groups at most.
-    dealt = sample.repartition(min(shards, 16), "shard").select("text")
-    seen = np.zeros(size, np.int64)
-    for row in dealt.mapInArrow(count, "seen binary").toLocalIterator():
-        seen += np.frombuffer(zlib.decompress(row["seen"]), np.uint8)
-    index = np.flatnonzero(seen >= enough)
-    place = places(seen >= enough)
-
-    def coordinates(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def learn(table: pa.Table) -> pa.Table:
+        rows = joined([present(*features(d, b), p.bits, j - i) for i, j, d, b in text_blocks(table.column("text"))])
+        labels = table.column("label").to_numpy()
+        z, n = descend(rows, np.arange(len(rows)), labels, p, size, 1, lowest, 0.0)
+        told = [r for r in range(RANGES) if n[: size][r * width : (r + 1) * width].any()]
+        parts = [[x[: size][r * width : (r + 1) * width].astype("<f4").tobytes() for r in told] for x in (z, n)]
+        fold = np.full(len(told), table.column("shard")[0].as_py() % folds)
+        return pa.table({"range": pa.array(told, pa.int32()), "fold": fold, "z": pa.array(parts[0], pa.binary()), "n": pa.array(parts[1], pa.binary())})
+
+    # Sums over all shards (0) and, of several folds, over the shards outside each (1 and up).
+    inside = [None, *range(folds)] if folds > 1 else [None]
+    names = [f"{c}{j}" for j in range(len(inside)) for c in "zn"]
+
+    def add(table: pa.Table) -> pa.Table:
+        fold = table.column("fold").to_numpy()
+        shard = {c: [np.frombuffer(x, "<f4").astype(np.float64) for x in table.column(c).to_pylist()] for c in "zn"}
+        sums = [sum((x for x, f in zip(shard[c], fold) if f != k), np.zeros(len(shard[c][0]))) for k in inside for c in "zn"]
+        some = np.any([proven(z, n, lowest, p) for z, n in zip(sums[::2], sums[1::2])], axis=0)
+        index = np.flatnonzero(some)
+        return pa.table({"index": index + table.column("range")[0].as_py() * width} | {name: x[index] for name, x in zip(names, sums)})
+
+    told = sample.groupBy("shard").applyInArrow(learn, "range int, fold long, z binary, n binary")
+    summed = told.groupBy("range").applyInArrow(add, "index long, " + ", ".join(f"{n} double" for n in names)).toArrow().sort_by("index")
+    index = summed.column("index").to_numpy()
+    masks = [[proven(summed.column(f"z{j}").to_numpy(), summed.column(f"n{j}").to_numpy(), c, p) for c in p.proofs] for j in range(len(inside))]
+
+    def narrow(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.full(size, -1, np.int32)
+        place[index] = np.arange(len(index))
         for batch in batches:
             for first, last, data, bounds in text_blocks(batch.column(1)):
                 found = present(*features(data, bounds), p.bits, last - first).narrowed(place)
@@ -222,7 +239,7 @@ def train(docs: DataFrame, known: DataFrame, features: Features, p: Ftrl) -> Mod
                 kept = [batch.column(i).slice(first, last - first) for i in (0, 2)]
                 yield pa.RecordBatch.from_arrays([*kept, at], ["shard", "label", "at"])
 
-    few = stored(sample.mapInArrow(coordinates, "shard long, label double, at array<int>"), "coordinates")
+    few = sample.mapInArrow(narrow, "shard long, label double, at array<int>")
 
     def read(table: pa.Table) -> tuple[Rows, np.ndarray, np.ndarray]:
         at = table.column("at").combine_chunks()
@@ -230,30 +247,6 @@ def train(docs: DataFrame, known: DataFrame, features: Features, p: Ftrl) -> Mod
         rows = Rows(at.values.to_numpy()[offsets[0] : offsets[-1]], offsets - offsets[0])
         return rows, table.column("label").to_numpy(), table.column("shard").to_numpy() % folds
 
-    def learn(table: pa.Table) -> pa.Table:
-        rows, labels, fold = read(table)
-        z, n = descend(rows, np.arange(len(rows)), labels, p, len(index), 1, lowest, 0.0)
-        told = np.flatnonzero(n[: len(index)])
-        return pa.table({"fold": np.full(len(told), fold[0]), "place": told, "z": z[told], "n": n[told]})
-
-    # Sums over all shards (0) and, of several folds, over the shards outside each (1 and up).
-    told = few.groupBy("shard").applyInArrow(learn, "fold long, place long, z double, n double")
-    inside = [F.lit(True), *[F.col("fold") != k for k in range(folds) if folds > 1]]
-    sums = [F.sum(F.when(i, F.col(c)).otherwise(0.0)).alias(f"{c}{j}") for j, i in enumerate(inside) for c in "zn"]
-    some = F.lit(not lowest)
-    for j in range(len(inside)):
-        some |= F.abs(f"z{j}") > lowest * (p.beta + F.sqrt(f"n{j}"))
-    summed = told.groupBy("place").agg(*sums).where(some).toArrow().sort_by("place")
-    own_place = summed.column("place").to_numpy()
-    masks = []
-    for j in range(len(inside)):
-        z, n = (summed.column(f"{c}{j}").to_numpy() for c in "zn")
-        masks.append([])
-        for bound in p.proofs:
-            kept = np.zeros(len(index), bool)
-            kept[own_place[proven(z, n, bound, p)]] = True
-            masks[-1].append(kept)
-
     def weigh(table: pa.Table) -> pa.Table:
         rows, labels, fold = read(table)
         k = table.column("trial")[0].as_py()
@@ -267,6 +260,7 @@ def train(docs: DataFrame, known: DataFrame, features: Features, p: Ftrl) -> Mod
 
     best = 0
     if folds > 1:
+        few = stored(few, "narrowed")
         trials = few.withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
         losses = trials.groupBy("trial").applyInArrow(weigh, "losses array<double>").toArrow().column(0).to_pylist()
         lost = np.sum(losses, axis=0)
