@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 from tidings.llm.kernels import Words, mix, seeds, text_blocks
 from tidings.llm.tables import stored
 
+#: Bytes of text whose features are made at once, some 60 times as much memory.
+BLOCK = 1 << 19
 #: Ranges of coordinates whose sums are added up side by side.
 RANGES = 64
 #: Features of a block of texts: for each, its text and its 64-bit hash; texts ascend.
@@ -108,11 +110,6 @@ class Rows:
         np.cumsum(kept, dtype=np.int32, out=before[1:])
         return Rows(moved[kept], before[self.bounds])
 
-    def totals(self, w: np.ndarray) -> np.ndarray:
-        """For each text the sum of the weights of its coordinates."""
-        sums = np.concatenate([[0.0], np.cumsum(w[self.at], dtype=np.float64)])
-        return sums[self.bounds[1:]] - sums[self.bounds[:-1]]
-
 
 def places(kept: np.ndarray) -> np.ndarray:
     """For each coordinate its place among those that the mask ``kept`` has, or -1."""
@@ -157,7 +154,7 @@ def proven(z: np.ndarray, n: np.ndarray, proof: float, p: Ftrl) -> np.ndarray:
 
 def log_loss(rows: Rows, chosen: np.ndarray, labels: np.ndarray, w: np.ndarray, b: float) -> float:
     """Summed logistic loss over the ``chosen`` rows."""
-    total = rows.totals(w)[chosen] + b
+    total = np.array([w[rows.at[rows.bounds[i] : rows.bounds[i + 1]]].sum() for i in chosen.tolist()]) + b
     return float(np.logaddexp(0, np.where(labels[chosen] > 0, -total, total)).sum())
 
 
@@ -204,7 +201,7 @@ def train(docs: DataFrame, known: DataFrame, features: Features, p: Ftrl) -> Mod
     width = -(-size // RANGES)
 
     def learn(table: pa.Table) -> pa.Table:
-        rows = joined([present(*features(d, b), p.bits, j - i) for i, j, d, b in text_blocks(table.column("text"))])
+        rows = joined([present(*features(d, b), p.bits, j - i) for i, j, d, b in text_blocks(table.column("text"), BLOCK)])
         labels = table.column("label").to_numpy()
         z, n = descend(rows, np.arange(len(rows)), labels, p, size, 1, lowest, 0.0)
         told = [r for r in range(RANGES) if n[: size][r * width : (r + 1) * width].any()]
@@ -233,7 +230,7 @@ def train(docs: DataFrame, known: DataFrame, features: Features, p: Ftrl) -> Mod
         place = np.full(size, -1, np.int32)
         place[index] = np.arange(len(index))
         for batch in batches:
-            for first, last, data, bounds in text_blocks(batch.column(1)):
+            for first, last, data, bounds in text_blocks(batch.column(1), BLOCK):
                 found = present(*features(data, bounds), p.bits, last - first).narrowed(place)
                 at = pa.ListArray.from_arrays(pa.array(found.bounds, pa.int32()), pa.array(found.at))
                 kept = [batch.column(i).slice(first, last - first) for i in (0, 2)]
@@ -241,19 +238,21 @@ def train(docs: DataFrame, known: DataFrame, features: Features, p: Ftrl) -> Mod
 
     few = sample.mapInArrow(narrow, "shard long, label double, at array<int>")
 
-    def read(table: pa.Table) -> tuple[Rows, np.ndarray, np.ndarray]:
-        at = table.column("at").combine_chunks()
-        offsets = at.offsets.to_numpy().astype(np.int64)
-        rows = Rows(at.values.to_numpy()[offsets[0] : offsets[-1]], offsets - offsets[0])
-        return rows, table.column("label").to_numpy(), table.column("shard").to_numpy() % folds
+    def narrowed(table: pa.Table, kept: np.ndarray) -> Rows:
+        """The rows with the coordinates of the mask, batch by batch, so that the others are never copied."""
+        place, parts = places(kept), []
+        for at in table.column("at").chunks:
+            offsets = at.offsets.to_numpy().astype(np.int64)
+            parts.append(Rows(at.values.to_numpy()[offsets[0] : offsets[-1]], offsets - offsets[0]).narrowed(place))
+        return joined(parts)
 
     def weigh(table: pa.Table) -> pa.Table:
-        rows, labels, fold = read(table)
+        labels, fold = table.column("label").to_numpy(), table.column("shard").to_numpy() % folds
         k = table.column("trial")[0].as_py()
         own, others = np.flatnonzero(fold == k), np.flatnonzero(fold != k)
         losses = []
         for kept in masks[k + 1]:
-            less = rows.narrowed(places(kept))
+            less = narrowed(table, kept)
             w, b = fit_proven(less, others, labels, p, int(kept.sum()))
             losses.append(log_loss(less, own, labels, w, b))
         return pa.table({"losses": pa.array([losses], pa.list_(pa.float64()))})
@@ -268,8 +267,8 @@ def train(docs: DataFrame, known: DataFrame, features: Features, p: Ftrl) -> Mod
     mask = masks[0][best]
 
     def fit(table: pa.Table) -> pa.Table:
-        rows, labels, _ = read(table)
-        w, b = fit_proven(rows.narrowed(places(mask)), np.arange(len(rows)), labels, p, int(mask.sum()))
+        rows, labels = narrowed(table, mask), table.column("label").to_numpy()
+        w, b = fit_proven(rows, np.arange(len(rows)), labels, p, int(mask.sum()))
         return pa.table({"weight": [w], "intercept": [b], "n": [len(rows)]})
 
     found = few.groupBy().applyInArrow(fit, "weight array<double>, intercept double, n long").first()
@@ -298,7 +297,7 @@ def _scorer(docs: DataFrame, model: Model, features: Features) -> Callable[[pa.A
         model = sent.value
         dense = np.zeros(1 << model.bits, np.float32)
         dense[model.index] = model.weight
-        found = [block_scores(model, dense, features, data, bounds) for _, _, data, bounds in text_blocks(texts)]
+        found = [block_scores(model, dense, features, data, bounds) for _, _, data, bounds in text_blocks(texts, BLOCK)]
         return np.concatenate([np.empty(0), *found])
 
     return scores

@@ -29,6 +29,8 @@ from tidings.llm.tables import stored
 
 #: Two errors in each of 16 chunks take 32 differing components; with 31 one chunk has one at most.
 COMPONENTS, CHUNK, DISTANCE = 64, 4, 31
+#: Bytes of text whose shingles are made at once.
+SIGN_BYTES = 1 << 19
 #: Members of a key that one task compares with each other at once.
 BLOCK_MEMBERS = 1024
 #: Texts of a block; a task confirms two blocks at a time.
@@ -76,7 +78,7 @@ def sign(docs: DataFrame, size: int = 4) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for first, last, data, bounds in text_blocks(batch.column(4)):
+            for first, last, data, bounds in text_blocks(batch.column(4), SIGN_BYTES):
                 sets = shingle_sets(data, bounds, size)
                 counts = np.fromiter(map(len, sets), np.int64, len(sets))
                 full = np.flatnonzero(counts)
