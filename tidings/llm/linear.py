@@ -259,7 +259,7 @@ def train(docs: DataFrame, known: DataFrame, features: Features, p: Ftrl) -> Mod
 
     best = 0
     if folds > 1:
-        few = stored(few, "narrowed")
+        few = stored(few, "narrowed", 1000)
         trials = few.withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
         losses = trials.groupBy("trial").applyInArrow(weigh, "losses array<double>").toArrow().column(0).to_pylist()
         lost = np.sum(losses, axis=0)

@@ -31,6 +31,8 @@ from tidings.llm.tables import stored
 COMPONENTS, CHUNK, DISTANCE = 64, 4, 31
 #: Bytes of text whose shingles are made at once.
 SIGN_BYTES = 1 << 19
+#: Rows with texts that a Python worker gets at once.
+TEXT_ROWS = 1000
 #: Members of a key that one task compares with each other at once.
 BLOCK_MEMBERS = 1024
 #: Texts of a block; a task confirms two blocks at a time.
@@ -340,7 +342,7 @@ def _closed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None
 def _classified(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Of every row: doc_id, its marks, n_shingles, component_id, and whether it is ``linked`` to anything
     that has its words and the ``first`` row of its component."""
-    marked = stored(sign(docs, size), "signatures")
+    marked = stored(sign(docs, size), "signatures", TEXT_ROWS)
     full = marked.where("n_shingles > 0 and doc_id is not null")
     # A class is named after its first row, since rows of one doc_id may be in several classes.
     classes = full.groupBy("set_a", "set_b", "n_shingles").agg(F.min(F.struct("doc_id", "row")).alias("top"), F.first("signature").alias("signature"))
@@ -357,7 +359,7 @@ def _classified(docs: DataFrame, size: int, percent: int) -> DataFrame:
     votes = shared.join(centers, "key").where("id <> center").groupBy("id", "center").agg(F.count(F.lit(1)).alias("n"))
     chosen = votes.groupBy("id").agg(F.max(F.struct("n", (-F.col("center")).alias("c"))).alias("best"))
     pairs = stored(chosen.select(F.col("id").alias("a"), (-F.col("best.c")).alias("b")), "pairs")
-    linked = stored(confirm(pairs, texts, size, percent), "links")
+    linked = stored(confirm(pairs, texts, size, percent), "links", TEXT_ROWS)
     first = components(linked)
 
     # Keys whose members are not all in one component yet, in blocks of what had the same center.
@@ -377,7 +379,7 @@ def _classified(docs: DataFrame, size: int, percent: int) -> DataFrame:
     placed = stored(placed.join(classes.select("id", "signature"), "id").select("id", "component", "block", "signature"), "placed")
     members = shared.select("key", "id").join(split, "key").join(placed, "id")
     blocks = stored(block_pairs(members), "blocks")
-    more = confirm_blocks(blocks, placed, texts, size, percent)
+    more = stored(confirm_blocks(blocks, placed, texts, size, percent), "links", TEXT_ROWS)
     one, two = (first.select(F.col("id").alias(c), F.col("component").alias(f"{c}_part")) for c in "ab")
     merged = more.join(one, "a", "left").join(two, "b", "left")
     merged = merged.select(F.coalesce("a_part", "a").alias("a"), F.coalesce("b_part", "b").alias("b"))

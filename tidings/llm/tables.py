@@ -7,8 +7,22 @@ from pyspark.sql import DataFrame
 from tidings.shared import new_folder
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` computed once, written to the shared folder and reread: it survives lost executors."""
-    path = new_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def stored(df: DataFrame, purpose: str, batch_rows: int | None = None) -> DataFrame:
+    """``df`` computed once, written to the shared folder and reread: it survives lost executors.
+
+    ``batch_rows`` bounds the rows that go to a Python worker at once while it is computed, for rows
+    with texts: what a batch takes beside the heap of an executor follows from it. The session's own
+    setting is put back afterwards.
+    """
+    conf, path = df.sparkSession.conf, new_folder(df.sparkSession, purpose)
+    before = conf.get(_BATCH_ROWS)
+    if batch_rows:
+        conf.set(_BATCH_ROWS, min(batch_rows, int(before)) if int(before) > 0 else batch_rows)
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_BATCH_ROWS, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
