@@ -4,7 +4,14 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tidings.operators import article_lists, articles_in_one_row, summarize_articles
+from tidings.operators import (
+    article_lists,
+    article_parts,
+    article_states,
+    articles_in_one_row,
+    merge_articles,
+    summarize_articles,
+)
 from tidings.operators.articles import DEFAULT_MAX_ITEMS, LIST_COLUMNS, SCALAR_COLUMNS
 
 SCHEMA = (
@@ -130,6 +137,52 @@ def test_one_row_equals_brute_force(spark):
     assert _lists(summary) == {url: row[4:] for url, row in expected.items()}
 
 
+@pytest.mark.parametrize("max_items", [DEFAULT_MAX_ITEMS, 20, 1])
+def test_parts_have_the_scalars_of_the_whole_article(spark, max_items):
+    events, df = _events(spark)
+    parts = article_parts(df, max_items)
+    assert parts.columns == ["SOURCEURL", "part", *COLUMNS[1:]]
+    expected = _expected(events)
+    scalars = parts.select(*SCALAR_COLUMNS).withColumns({m: F.round(m, 9) for m in ("GoldsteinMean", "AvgToneMean")})
+    assert _scalars(scalars.distinct()) == {url: row[:4] for url, row in expected.items()}
+    assert _lists(parts) == {url: row[4:] for url, row in expected.items()}
+
+
+def test_articles_that_share_the_hash_of_a_large_one(spark, monkeypatch):
+    """All addresses in one bucket: small articles go the way of large ones, with the same rows."""
+    monkeypatch.setattr("tidings.operators.articles.ADDRESS_BUCKETS", 1)
+    events, df = _events(spark)
+    lists = article_lists(df, 200)
+    assert _lists(lists) == {url: row[4:] for url, row in _expected(events).items()}
+    sizes = Counter(e[2] for e in events)
+    assert {url: n for url, n in lists.groupBy("SOURCEURL").count().collect()} == {u: -(-n // 200) for u, n in sizes.items()}
+
+
+def test_lists_need_no_scores_and_keep_off_other_columns(spark):
+    _, df = _events(spark)
+    lean = df.drop("SQLDATE", "GoldsteinScale", "AvgTone").withColumns({c: F.lit(-1) for c in ("large", "n", "part", "item", "run")})
+    assert _lists(article_lists(lean, 20)) == _lists(article_lists(df, 20))
+
+
+def test_events_of_small_articles_are_shuffled_once(spark, capsys):
+    _, df = _events(spark)
+    lists = article_lists(df)
+    lists.collect()
+    lists.explain()
+    final = capsys.readouterr().out.split("+- == Initial Plan ==")[0]
+    items = [line for line in final.splitlines() if " Exchange hashpartitioning(SOURCEURL" in line]
+    assert "left_anti" not in final.lower() and len(items) == 1
+
+
+def test_states_of_parts_merge_to_the_scalars(spark):
+    events, df = _events(spark)
+    expected = {url: row[:4] for url, row in _expected(events).items()}
+    assert _scalars(merge_articles(article_states(df, "SQLDATE"))) == expected
+    pieces = [article_states(df.where(F.pmod(F.hash("GLOBALEVENTID"), F.lit(3)) == i)) for i in range(3)]
+    assert _scalars(merge_articles(pieces[0].unionByName(pieces[1]).unionByName(pieces[2]))) == expected
+    assert merge_articles(article_states(df.limit(0))).collect() == []
+
+
 def test_grain_does_not_follow_the_data(spark):
     """An article beyond the default bound keeps one scalar row with its whole count."""
     big = spark.range(DEFAULT_MAX_ITEMS + 1).select(

@@ -7,7 +7,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidings import files, loads
-from tidings.loads import commit_load, compact_changed, read_snapshot, snapshot, undo_unfinished, write_load
+from tidings.loads import (
+    commit_load,
+    compact_changed,
+    derive_changed,
+    load_dates,
+    read_snapshot,
+    snapshot,
+    undo_unfinished,
+    write_load,
+)
+from tidings.operators import merge_articles
+from tidings.plans import update_article_states
 from tidings.sinks import load_table
 from tidings.sources import read_table
 
@@ -157,3 +168,43 @@ def test_small_files(spark, tmp_path):
     files.delete(spark, str(tmp_path / "x"))
     files.delete(spark, str(tmp_path / "x"))
     assert files.names(spark, str(tmp_path / "x")) == []
+
+
+def _article_day(spark, day, *tones):
+    rows = [(str(i), f"2024010{day + 1}", "u" if i % 2 else None, t, t, DAYS[day]) for i, t in enumerate(tones)]
+    columns = "GLOBALEVENTID string, SQLDATE string, SOURCEURL string, GoldsteinScale string, AvgTone string, file_date date"
+    return spark.createDataFrame(rows, columns)
+
+
+def test_article_states_follow_the_dates_that_changed(spark, tmp_path):
+    events, states = str(tmp_path / "events"), str(tmp_path / "states")
+
+    def merged():
+        return {r.SOURCEURL: tuple(r)[1:] for r in merge_articles(read_table(spark, states)).collect()}
+
+    load_dates(_article_day(spark, 0, "1", "2").unionByName(_article_day(spark, 1, "3", "bad", "5")), events)
+    assert update_article_states(spark, events, states) == DAYS[:2]
+    assert merged() == {None: ("20240101", 3, 3.0, 3.0), "u": ("20240101", 2, 2.0, 2.0)}
+    before = _files(states)
+    assert update_article_states(spark, events, states) == [] and _files(states) == before
+
+    load_dates(_article_day(spark, 1, "7"), events)
+    assert update_article_states(spark, events, states) == [DAYS[1]]
+    assert merged() == {None: ("20240101", 2, 4.0, 4.0), "u": ("20240101", 1, 2.0, 2.0)}
+    kept = [f for f in before if "2024-01-01" in f]
+    assert kept and set(kept) <= set(_files(states))
+
+    load_dates(_article_day(spark, 0, "9").limit(0), events, [DAYS[0]])
+    assert update_article_states(spark, events, states) == []
+    assert merged() == {None: ("20240102", 1, 7.0, 7.0)}
+
+
+def test_a_date_may_end_without_rows_in_what_is_derived(spark, tmp_path):
+    origin, derived = str(tmp_path / "a"), str(tmp_path / "b")
+    load_dates(_rows(spark, (0, "a"), (1, "b"), (1, "a")), origin)
+    only_a = F.col("v") == "a"
+    assert derive_changed(spark, origin, derived, lambda rows: rows.where(only_a)) == DAYS[:2]
+    load_dates(_rows(spark, (1, "b")), origin)
+    assert derive_changed(spark, origin, derived, lambda rows: rows.where(only_a)) == [DAYS[1]]
+    assert _seen(spark, derived) == [(0, "a")]
+    assert derive_changed(spark, origin, derived, lambda rows: rows.where(only_a)) == []

@@ -16,10 +16,10 @@ import datetime as dt
 import json
 import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -140,22 +140,50 @@ def commit_load(
     return now
 
 
-def compact_changed(spark: SparkSession, origin: str, destination: str) -> list[dt.date]:
-    """Bring ``destination``, a compact copy of the loaded table ``origin``, up to date; returns the dates rewritten.
+def write_observed(df: DataFrame, table: str) -> tuple[str, set[dt.date]]:
+    """The rows of ``df`` as a load without effect yet, and the dates that it has rows of."""
+    seen = Observation()
+    load = write_load(df.observe(seen, F.collect_set(FILE_DATE).alias("dates")), table)
+    return load, set(seen.get["dates"] or [])
+
+
+def load_dates(df: DataFrame, table: str, dates: Iterable[dt.date] = ()) -> Snapshot:
+    """Put the rows of ``df`` in the place of their dates, in one step; further ``dates`` are emptied in the same step.
+
+    The file_date must not be null. Rows are written once, by the tasks that hold them.
+    """
+    load, filled = write_observed(df, table)
+    return commit_load(df.sparkSession, table, load, df.schema, filled.union(dates), filled)
+
 
-    The copy remembers which load each of its dates was made from. Only dates that have another load
-    since are read and packed into files of Spark's advisory partition size, as one load of the
-    copy; dates that are gone go there too; all others keep their files.
+def derive_changed(
+    spark: SparkSession, origin: str, destination: str, derive: Callable[[DataFrame], DataFrame]
+) -> list[dt.date]:
+    """Bring ``destination``, made by ``derive`` from the loaded table ``origin``, up to date; returns the dates rewritten.
+
+    The result remembers which load each of its dates was made from. Only dates that have another load
+    since are read, and what ``derive`` makes of their rows is written as one load of the
+    result; dates that are gone go there too; all others keep their files. ``derive`` must treat
+    each file_date by itself and keep the column; a date may end without rows.
     """
     if origin.rstrip("/") == destination.rstrip("/"):
-        raise ValueError("a table cannot be compacted onto itself")
+        raise ValueError("a table cannot be derived onto itself")
     now, held = snapshot(spark, origin) or Snapshot(), snapshot(spark, destination) or Snapshot()
     changed = {d for d, load in now.loads.items() if held.sources.get(d) != load}
     gone = held.loads.keys() - now.loads.keys()
     if not changed and not gone:
         return []
-    rows = read_snapshot(spark, origin, now, changed)
-    load = write_load(rows.hint("rebalance", FILE_DATE), destination)
+    rows = derive(read_snapshot(spark, origin, now, changed))
+    load, filled = write_observed(rows.hint("rebalance", FILE_DATE), destination)
     dates = {d: dt.date.fromisoformat(d) for d in changed | gone}
-    commit_load(spark, destination, load, rows.schema, dates.values(), [dates[d] for d in changed], now.loads)
+    commit_load(spark, destination, load, rows.schema, dates.values(), filled, now.loads)
     return sorted(dates[d] for d in changed)
+
+
+def compact_changed(spark: SparkSession, origin: str, destination: str) -> list[dt.date]:
+    """Bring ``destination``, a compact copy of the loaded table ``origin``, up to date; returns the dates rewritten.
+
+    The rows of dates that have another load since are packed into files of Spark's advisory
+    partition size (see :func:`derive_changed`).
+    """
+    return derive_changed(spark, origin, destination, lambda rows: rows)

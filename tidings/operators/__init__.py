@@ -1,7 +1,14 @@
 """Operators: DataFrame in, DataFrame out."""
 
 from tidings.operators.actions import add_actions
-from tidings.operators.articles import article_lists, articles_in_one_row, summarize_articles
+from tidings.operators.articles import (
+    article_lists,
+    article_parts,
+    article_states,
+    articles_in_one_row,
+    merge_articles,
+    summarize_articles,
+)
 from tidings.operators.chunks import plan_chunks
 from tidings.operators.columns import select_existing
 from tidings.operators.lookups import SizedLookup, left_lookup, size_lookup
@@ -15,12 +22,15 @@ __all__ = [
     "add_actions",
     "add_publisher",
     "article_lists",
+    "article_parts",
+    "article_states",
     "articles_in_one_row",
     "download_plan",
     "filter_many_terms",
     "filter_terms",
     "in_date_range",
     "left_lookup",
+    "merge_articles",
     "one_country_per_domain",
     "parse_manifest",
     "plan_chunks",

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.files import delete, names
-from tidings.loads import FILE_DATE, commit_load, compact_changed, read_snapshot, write_load
+from tidings.loads import FILE_DATE, commit_load, compact_changed, read_snapshot, write_observed
 from tidings.operators import SizedLookup, download_plan, plan_chunks, status_counts
 from tidings.plans.enrich import enrich_events
 from tidings.schema import KEEP_SHORT, RAW_COLUMNS, SEARCH_COLUMNS
@@ -88,13 +88,6 @@ def _landed_dates(spark: SparkSession, path: str, start: dt.date, end: dt.date,
     return sorted(day for day in days if day and start <= day <= end)
 
 
-def _written(spark: SparkSession, enriched: DataFrame, table: str) -> tuple[str, set[dt.date]]:
-    """The rows of ``enriched`` as a load without effect yet, and the dates that it has rows of."""
-    seen = Observation()
-    load = write_load(enriched.observe(seen, F.collect_set(FILE_DATE).alias("dates")), table)
-    return load, set(seen.get["dates"] or [])
-
-
 def _committed(
     spark: SparkSession, enriched: DataFrame, table: str, load: str, dates: list[dt.date], filled: set[dt.date]
 ) -> int:
@@ -131,7 +124,7 @@ def ingest_files(
     events = events.where(F.col(FILE_DATE).isin(dates)).observe(rejects, F.count("rejected_line").alias("n"))
     events = events.drop("rejected_line")
     enriched = enrich_events(events, publishers, actions, columns, terms, search_columns, carry=[FILE_DATE])
-    load, filled = _written(spark, enriched, table)
+    load, filled = write_observed(enriched, table)
     rows = _committed(spark, enriched, table, load, dates, filled)
     return Loaded(rows, dates, rejected=rejects.get["n"])
 
@@ -174,7 +167,7 @@ def ingest_archives(
     )
     events = archive_events(watched, headers, FILE_DATE)
     enriched = enrich_events(events, publishers, actions, columns, terms, search_columns, carry=[FILE_DATE])
-    load, filled = _written(spark, enriched, table)
+    load, filled = write_observed(enriched, table)
     whole, damaged = ({path: _named_date(path) for path in states.get[k] or []} for k in ("whole", "damaged"))
     dates = sorted({d for d in whole.values() if d} - set(damaged.values()))
     broken = sorted(path.rsplit("/", 1)[1] for path in damaged)

@@ -138,6 +138,14 @@ SELECT SOURCEURL, min(SQLDATE) AS FirstEventDate, count(GLOBALEVENTID) AS EventC
 FROM enriched GROUP BY SOURCEURL"""
 
 
+_ARTICLE_SCALARS = f"""WITH {_enriched('label')}
+SELECT SOURCEURL, min(SQLDATE) AS FirstEventDate, count(GLOBALEVENTID) AS EventCount,
+  round(avg(CAST(GoldsteinScale AS DOUBLE)) + 1e-9, 6) AS GoldsteinMean,
+  round(avg(CAST(AvgTone AS DOUBLE)) + 1e-9, 6) AS AvgToneMean,
+  (SELECT count(*) FROM enriched)::BIGINT AS AllEvents
+FROM enriched GROUP BY SOURCEURL"""
+
+
 def _lists_together(bound: int) -> str:
     """All list columns of each article, sorted, with the number and the longest of its parts."""
     actors = "coalesce(Actor1Name, '-') || '|' || coalesce(Actor2Name, '-')"
@@ -243,12 +251,8 @@ SELECT code, description FROM actions WHERE code <> '106' UNION ALL SELECT '106'
 SELECT regexp_extract(EventCode, '^[0-9]{{2}}') AS root, count(*) AS events FROM raw GROUP BY 1""",
     "article_summary": _summary("page"),
     "article_summary_labels": _summary("label"),
-    "article_scalars": f"""WITH {_enriched('label')}
-SELECT SOURCEURL, min(SQLDATE) AS FirstEventDate, count(GLOBALEVENTID) AS EventCount,
-  round(avg(CAST(GoldsteinScale AS DOUBLE)) + 1e-9, 6) AS GoldsteinMean,
-  round(avg(CAST(AvgTone AS DOUBLE)) + 1e-9, 6) AS AvgToneMean,
-  (SELECT count(*) FROM enriched)::BIGINT AS AllEvents
-FROM enriched GROUP BY SOURCEURL""",
+    "article_scalars": _ARTICLE_SCALARS,
+    "article_scalars_merged": _ARTICLE_SCALARS,
     "article_lists_whole": _lists_together(50_000),
     "article_summary_split": _lists_together(10),
     "enrich_all": f"WITH {_enriched('page')} SELECT {_ENRICHED_COLUMNS} FROM enriched",

@@ -14,12 +14,13 @@ from tidings.operators import (
     add_actions,
     add_publisher,
     article_lists,
-    articles_in_one_row,
+    article_parts,
     download_plan,
     filter_many_terms,
     filter_terms,
     in_date_range,
     left_lookup,
+    merge_articles,
     one_country_per_domain,
     parse_manifest,
     plan_chunks,
@@ -31,10 +32,10 @@ from tidings.operators import (
     summarize_articles,
 )
 from tidings.operators.manifest import manifest_rejects
-from tidings.plans import Loaded, enrich_events, fetch_range, ingest_archives, ingest_files, run_ingest
+from tidings.plans import Loaded, enrich_events, fetch_range, ingest_archives, ingest_files, run_ingest, update_article_states
 from tidings.schema import KEEP_LARGE, KEEP_SHORT, RAW_COLUMNS
 from tidings.shared import new_folder, settled
-from tidings.sinks import append_table, compact_changed, compact_table, load_table, write_events
+from tidings.sinks import append_table, compact_changed, compact_table, load_dates, load_table, write_events
 from tidings.sources import (
     archive_events,
     archive_status,
@@ -227,16 +228,31 @@ def _flat(summary: DataFrame) -> DataFrame:
 
 
 def article_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(articles_in_one_row(_enriched(spark, sf_dir, "page")))
+    return _flat(article_parts(_enriched(spark, sf_dir, "page")))
 
 
 def article_summary_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(articles_in_one_row(_enriched(spark, sf_dir)))
+    return _flat(article_parts(_enriched(spark, sf_dir)))
 
 
 def article_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scalars of every article, with their number of events over the whole result."""
-    summary = summarize_articles(_enriched(spark, sf_dir))
+    return _with_total(summarize_articles(_enriched(spark, sf_dir)))
+
+
+def article_scalars_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from states by date: the first days of the months are loaded in half, then whole, and only their states are made anew."""
+    events = _enriched(spark, sf_dir).withColumn("file_date", F.to_date("SQLDATE", "yyyyMMdd"))
+    loaded, states = new_folder(spark, "table"), new_folder(spark, "states")
+    again = F.dayofmonth("file_date") == 1
+    load_dates(events.where(~again | (F.pmod(F.xxhash64("GLOBALEVENTID"), F.lit(2)) == 0)), loaded)
+    update_article_states(spark, loaded, states)
+    load_dates(events.where(again), loaded)
+    update_article_states(spark, loaded, states)
+    return _with_total(merge_articles(read_table(spark, states)))
+
+
+def _with_total(summary: DataFrame) -> DataFrame:
     total = summary.agg(F.sum("EventCount")).scalar().alias("AllEvents")
     return summary.select("SOURCEURL", "FirstEventDate", "EventCount", _mean("GoldsteinMean"), _mean("AvgToneMean"), total)
 
@@ -382,7 +398,7 @@ def latin1_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The article summary as CSV, arrays joined."""
     path = new_folder(spark, "csv")
-    write_events(articles_in_one_row(_enriched(spark, sf_dir, "page")), path, "csv")
+    write_events(article_parts(_enriched(spark, sf_dir, "page")).drop("part"), path, "csv")
     columns = (
         "SOURCEURL string, FirstEventDate string, EventCount long, EventIDs string, GoldsteinMean double, "
         "AvgToneMean double, EventDescriptions string, ActorPairs string, GeoPairs string"
@@ -648,6 +664,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         article_summary,
         article_summary_labels,
         article_scalars,
+        article_scalars_merged,
         article_lists_whole,
         article_summary_split,
         enrich_all,
