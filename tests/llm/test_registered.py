@@ -12,6 +12,7 @@ from tests.llm.test_decontamination import brute as contaminated
 from tests.llm.test_near_duplicates import brute as near
 from tidings.llm.oracles import ORACLES
 from tidings.llm.queries import QUERIES
+from tidings.llm.tables import stored
 
 SF = "/root/testdata/sf0.01"
 
@@ -40,7 +41,7 @@ def test_pipeline_stages_against_plain_steps(spark):
     stages = dict(corpus_pipeline.STAGES)
     columns, seen = docs.columns, {"documents": {r["doc_id"]: r["text"] for r in docs.collect()}}
     for name in list(stages)[:-1]:
-        docs = corpus_pipeline.stored(stages[name](spark, docs, sf), name)
+        docs = stored(stages[name](spark, docs, sf), name)
         assert docs.columns == columns
         seen[name] = {r["doc_id"]: r["text"] for r in docs.collect()}
     assert seen["line_dedup"].keys() == seen["toxicity"].keys() <= seen["documents"].keys()
@@ -54,10 +55,17 @@ def test_pipeline_stages_against_plain_steps(spark):
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 1024").count() == 0
 
 
+def test_pipeline_leaves_only_what_its_result_reads(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidings.shared.shared_folder", lambda spark: str(tmp_path))
+    packed = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert sorted(p.name.split("-")[0] for p in tmp_path.iterdir()) == ["decontamination", "pieces"]
+    assert packed.count()
+
+
 def test_pipeline_takes_extra_columns_and_no_rows(spark, odd_docs, no_docs):
     sf = "/root/testdata/sf0.001"
     for docs in (odd_docs, no_docs):
         for name, stage in corpus_pipeline.STAGES:
             columns = docs.columns
-            docs = corpus_pipeline.stored(stage(spark, docs, sf), name)
+            docs = stored(stage(spark, docs, sf), name)
             assert name == "packing" or docs.columns == columns

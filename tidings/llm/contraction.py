@@ -19,8 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.tables import stored
-from tidings.shared import new_folder
+from tidings.llm.tables import made_folder, stored
 
 
 def _rank(node: Column, round_number: int) -> Column:
@@ -69,7 +68,7 @@ def subtree_totals(nodes: DataFrame, values: Sequence[str]) -> DataFrame:
         active = stored(kept.select("id", "parent", *[(F.col(o) + F.coalesce(f"add_{o}", zero)).alias(o) for o in own], *edge), "tree")
 
     # Back from the last round: totals are written once, those of later rounds are read for earlier ones.
-    folder = new_folder(spark, "totals")
+    folder = made_folder(spark, "totals")
     rest = active.select("id", *own)
     rest.write.parquet(f"{folder}/rest")
     known = spark.read.option("recursiveFileLookup", True).schema(rest.schema)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidings.llm.graph import components
 from tidings.llm.kernels import SPACED, Words, grams, mix, seeds, signed, text_blocks
-from tidings.llm.tables import stored
+from tidings.llm.tables import stored, stored_alone
 
 #: Two errors in each of 16 chunks take 32 differing components; with 31 one chunk has one at most.
 COMPONENTS, CHUNK, DISTANCE = 64, 4, 31
@@ -339,10 +339,8 @@ def _closed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None
     yield None
 
 
-def _classified(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Of every row: doc_id, its marks, n_shingles, component_id, and whether it is ``linked`` to anything
-    that has its words and the ``first`` row of its component."""
-    marked = stored(sign(docs, size), "signatures", TEXT_ROWS)
+def _named(marked: DataFrame, size: int, percent: int) -> DataFrame:
+    """Of every class of rows with one set: the set's marks, n_shingles, id, doc_id and component."""
     full = marked.where("n_shingles > 0 and doc_id is not null")
     # A class is named after its first row, since rows of one doc_id may be in several classes.
     classes = full.groupBy("set_a", "set_b", "n_shingles").agg(F.min(F.struct("doc_id", "row")).alias("top"), F.first("signature").alias("signature"))
@@ -389,7 +387,14 @@ def _classified(docs: DataFrame, size: int, percent: int) -> DataFrame:
     labels = labels.select("id", F.coalesce("top", "component").alias("component"))
     lone = second.join(first, "id", "left_anti").select("id", "component")
     named = classes.join(labels.unionByName(lone), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    named = stored(named.select("set_a", "set_b", "n_shingles", "id", "doc_id", "component"), "named")
+    return named.select("set_a", "set_b", "n_shingles", "id", "doc_id", "component")
+
+
+def _classified(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Of every row: doc_id, its marks, n_shingles, component_id, and whether it is ``linked`` to anything
+    that has its words and the ``first`` row of its component."""
+    marked = stored(sign(docs, size), "signatures", TEXT_ROWS)
+    named = stored_alone(lambda: _named(marked, size, percent), "named")
     tops = named.groupBy("component").agg(F.min(F.struct("doc_id", "id")).alias("top"))
     named = named.join(tops, "component").select(
         "set_a", "set_b", "n_shingles", F.col("top.doc_id").alias("component_doc"), F.col("top.id").alias("component_row")
@@ -428,7 +433,7 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> D
     row never goes because of another text under its doc_id. Of rows equal in both one stays; texts
     are shuffled for that only if there are such rows among those that stay.
     """
-    found = stored(_classified(docs, size, percent).where("linked"), "components")
+    found = stored_alone(lambda: _classified(docs, size, percent).where("linked"), "components")
     by_mark = found.groupBy("mark_a", "mark_b").agg(F.max("first").alias("first"), F.count(F.lit(1)).alias("n"))
     by_mark = stored(by_mark.where("not first or n > 1").select(F.col("mark_a").alias("own_a"), F.col("mark_b").alias("own_b"), "first"), "marks")
     mark_a, mark_b = marks(F.col("doc_id").cast("long"), F.col("text"))

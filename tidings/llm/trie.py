@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidings.llm.contraction import subtree_totals
 from tidings.llm.numbering import numbered
-from tidings.llm.tables import stored
+from tidings.llm.tables import stored, stored_alone
 
 #: Turns that one task numbers or sums together.
 CHUNK_TURNS = 4096
@@ -155,7 +155,7 @@ def prefix_trie(sizes: DataFrame, turns: DataFrame) -> DataFrame:
         (F.col("n_children") == 0).cast("long").alias("n_leaves"),
         ((F.col("n_convs") - 1) * F.col("n_bytes")).alias("saved_tokens"),
     )
-    totals = subtree_totals(tree, ["n_leaves", "saved_tokens"]).withColumnRenamed("id", "node")
+    totals = stored_alone(lambda: subtree_totals(tree, ["n_leaves", "saved_tokens"]), "totals").withColumnRenamed("id", "node")
     last = begun.join(sizes, "conv_id").where(F.col("depth") == F.col("turns")).select("node", "conv_id")
     last = last.unionByName(sizes.where("turns = 0").select(root.alias("node"), "conv_id"))
     return (
