@@ -14,7 +14,7 @@ from tidings.llm.lines import drop_boilerplate
 from tidings.llm.near_duplicates import drop_near_duplicates
 from tidings.llm.packing import pack_documents
 from tidings.llm.queries import table, tokenizer
-from tidings.llm.tables import stored
+from tidings.llm.tables import stored_alone
 from tidings.llm.toxicity import drop_toxic
 
 
@@ -61,8 +61,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each but the last written to the shared folder and reread."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages over ``documents``, each but the last written to the shared folder and reread.
+
+    What a stage stored on its way, and the documents that it got, are removed when its own are written.
+    """
+
+    def kept(done: int) -> DataFrame:
+        if not done:
+            return table(spark, sf_dir, "documents")
+        name, stage = STAGES[done - 1]
+        return stored_alone(lambda: stage(spark, kept(done - 1), sf_dir), name)
+
+    return STAGES[-1][1](spark, kept(len(STAGES) - 1), sf_dir)
