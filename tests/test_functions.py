@@ -77,6 +77,11 @@ def test_file_date(spark):
     assert _map(spark, file_stem("v"), names) == ["20240229", "20241399", "2006", "200601", "", "20240101", None]
 
 
+def test_file_date_of_odd_names(spark):
+    names = ["20240101\n.csv", " 0240101.csv", "2024 1 1.csv", "+2024010.csv", "٢٠٢٤٠١٠١.csv", "20230229.csv", "20240431.csv", "00010101.csv", "99991231.csv"]
+    assert _map(spark, file_date("v"), names) == [None] * 7 + [dt.date(1, 1, 1), dt.date(9999, 12, 31)]
+
+
 @pytest.mark.parametrize(
     ("terms", "hits"),
     [

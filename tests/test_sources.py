@@ -8,6 +8,7 @@ from urllib.error import HTTPError, URLError
 import pytest
 from pyspark.sql import functions as F
 
+from tidings.operators import filter_terms
 from tidings.schema import RAW_COLUMNS, RAW_SCHEMA
 from tidings.sinks import write_events
 from tidings.sources import (
@@ -193,6 +194,20 @@ def test_archives_equal_files(spark, tmp_path):
     assert zipped.exceptAll(plain).isEmpty()
 
 
+def test_a_condition_on_events_of_archives_parses_no_line_again(spark, tmp_path, capsys):
+    rows = [("1", "Café", "x"), ("2", "", "caf"), ("3", "z", None), ("4", None, "CAFÉ")]
+    text = "\n".join("\t".join(cell or "" for cell in row) for row in rows) + "\n \t\x01\n\n5\n"
+    _zip(tmp_path / "20240101.zip", {"a.csv": text.encode()})
+    events = archive_events(expand_archives(spark, str(tmp_path)), ["n", "a", "b"], "file_date", carry=["member"])
+    assert events.columns == ["n", "a", "b", "file_date", "member"]
+    found = filter_terms(events, ["café", "z"], ["a", "b"])
+    assert sorted((r.n, r.file_date.day, r.member) for r in found.collect()) == [(n, 1, "a.csv") for n in "134"]
+    assert sorted(tuple(r)[:3] for r in events.where("a IS NULL").collect()) == [("2", None, "caf"), ("4", None, "CAFÉ"), ("5", None, None)]
+    capsys.readouterr()
+    found.explain()
+    assert capsys.readouterr().out.count("from_csv(") == 1
+
+
 def test_any_text_survives(spark, tmp_path):
     """Plain files, and zipped ones in a folder with a blank, keep every character of a field."""
     rng = random.Random(11)

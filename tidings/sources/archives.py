@@ -113,14 +113,15 @@ def archive_events(
     """
     member = F.lower(F.substring_index("member", "/", -1))
     # Text files have no rows for lines of blanks and control characters.
-    filled = F.rlike("line", F.lit(r"[^\x00-\x20]"))
+    filled = F.ltrim("line", F.lit("".join(map(chr, range(0x21))))) != ""
     listed = lines.filter(F.endswith(member, F.lit(".csv")) & filled)
     columns = ", ".join(f"`{header}` string" for header in headers)
-    event = F.from_csv("line", columns, {"sep": "\t", "quote": ""}).alias("event")
+    event = F.from_csv("line", columns, {"sep": "\t", "quote": ""})
     archive = F.substring_index("archive", "/", -1)
     dated = [file_date(archive).alias(file_date_column)] if file_date_column else []
-    kept = [*([file_date_column] if dated else []), *carry]
-    return listed.select(event, *dated, *carry).select("event.*", *kept)
+    # As a generator a condition on columns, such as a term search, is not moved below the parsing, which
+    # would parse each line once more for every column in it.
+    return listed.select(F.inline(F.array(event)), *dated, *carry)
 
 
 def archive_status(lines: DataFrame) -> DataFrame:

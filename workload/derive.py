@@ -191,6 +191,36 @@ def write_daily_archives(events: DataFrame, folder: str, member: str, damaged: s
     _write_daily(events, folder, ".export.CSV.zip", member, damaged, parts)
 
 
+def cut_archives(spark: SparkSession, folder: str, target: str, days: str) -> None:
+    """The archives of ``folder`` once more in ``target``; those of days that end in ``days`` lack their end.
+
+    What is left out is what ``damaged`` archives of :func:`write_daily_archives` lack, the list of members.
+    """
+    located = opener()
+
+    def copied(batches):
+        import zipfile
+
+        import pyarrow as pa
+
+        files, base = located(target)
+        files.create_dir(base, recursive=True)
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                origin, place = located(path)
+                name = place.rsplit("/", 1)[1]
+                with origin.open_input_file(place) as source, files.open_output_stream(f"{base}/{name}") as out:
+                    left = zipfile.ZipFile(source).start_dir if name[:8].endswith(days) else source.size()
+                    source.seek(0)
+                    while block := source.read(min(left, 1 << 22)):
+                        out.write(block)
+                        left -= len(block)
+                yield pa.RecordBatch.from_arrays([pa.array([name])], names=["file"])
+
+    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder)
+    archives.select("path").mapInArrow(copied, "file string").count()
+
+
 def write_daily_files(events: DataFrame, folder: str, parts: int = 3) -> None:
     """Plain event files for each ``SQLDATE``, named after it, written like the archives."""
     _write_daily(events, folder, ".export.CSV", None, "", parts)
@@ -208,21 +238,27 @@ def _write_daily(events: DataFrame, folder: str, ending: str, member: str | None
         from itertools import groupby
 
         import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def blocks():
+            """The lines of a batch that go to one file, joined."""
+            for batch in batches:
+                runs = pc.run_end_encode(batch.column(0))
+                ends = pa.concat_arrays([pa.array([0], pa.int32()), runs.run_ends])
+                yield from zip(runs.values.to_pylist(), pc.binary_join(pa.ListArray.from_arrays(ends, batch.column(1)), ""))
 
         files, base = located(folder)
         files.create_dir(base, recursive=True)
-        rows = ((batch.column(0).to_pylist(), batch.column(1).to_pylist()) for batch in batches)
-        pairs = (pair for names, texts in rows for pair in zip(names, texts))
-        for name, group in groupby(pairs, key=lambda pair: pair[0]):
+        for name, group in groupby(blocks(), key=lambda pair: pair[0]):
             with files.open_output_stream(f"{base}/{name}") as out:
                 if member is None:
-                    for _, line in group:
-                        out.write(line.encode())
+                    for _, block in group:
+                        out.write(block.as_buffer())
                 else:
                     archive = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)
                     with archive.open(member, "w") as inner:
-                        for _, line in group:
-                            inner.write(line.encode())
+                        for _, block in group:
+                            inner.write(block.as_buffer())
                     if damaged and name[:8].endswith(damaged):
                         archive._didModify = False  # its end, the list of members, is never written
                     with contextlib.suppress(ValueError):

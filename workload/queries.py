@@ -53,6 +53,7 @@ from tidings.sources import (
 )
 from workload.derive import (
     action_documents,
+    cut_archives,
     event_lines,
     lookups,
     manifest_lines,
@@ -479,9 +480,13 @@ def _stored(spark: SparkSession, path: str) -> DataFrame:
     return stored.select("GLOBALEVENTID", "SOURCEURL", "news_source_country", F.date_format("file_date", "yyyyMMdd").alias("day"))
 
 
-def _loads(spark: SparkSession, sf_dir: str, member: str = "events.csv", damaged: str = "") -> dict:
+def _loads(spark: SparkSession, sf_dir: str, landed: str = "", damaged: str = "") -> dict:
+    """A landing area of all days, or with those archives of ``landed``, cut short on days that end in ``damaged``."""
     folder = new_folder(spark, "landing")
-    write_daily_archives(_short_events(spark, sf_dir), folder, member, damaged, parts=3)
+    if landed:
+        cut_archives(spark, landed, folder, damaged)
+    else:
+        write_daily_archives(_short_events(spark, sf_dir), folder, "events.csv", parts=3)
     return dict(
         landing=folder, table=new_folder(spark, "table"), publishers=_publishers(spark, sf_dir), actions=_actions(spark, sf_dir),
         headers=KEEP_SHORT,
@@ -512,7 +517,7 @@ def ingest_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, last = _bounds(spark, sf_dir)
     job = _loads(spark, sf_dir)
     ingest_archives(spark, first, last, **job)
-    again = _loads(spark, sf_dir, damaged="5") | {"table": job["table"]}
+    again = _loads(spark, sf_dir, landed=job["landing"], damaged="5") | {"table": job["table"]}
     ingest_archives(spark, first, last, **again, terms=["user7"])
     return _stored(spark, job["table"])
 
